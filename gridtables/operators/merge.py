@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtables.operators.ids import assign_ids, max_id
+from gridtables.session import cut_lineage
 
 
 class KeyColumnError(ValueError):
@@ -131,13 +132,14 @@ def get_or_create_keys(
 ) -> tuple[DataFrame, DataFrame]:
     """Surrogate keys for the key combinations of ``source``; nulls count as equal.
 
-    Returns the dimension with the missing combinations added and ``source`` with ``id_col``.
+    Returns the dimension with the missing combinations added and ``source`` with ``id_col``. The new
+    combinations are stored once where a checkpoint folder is set, as both results use them.
     """
     check_keys(source, keys)
     check_keys(dim, keys)
     combos = source.select(*keys).distinct()
-    new = assign_ids(absent(combos, dim, keys, null_safe=True), keys, id_col, max_id(dim, id_col))
-    grown = append(dim, new)
+    new = cut_lineage(absent(combos, dim, keys, null_safe=True))
+    grown = append(dim, cut_lineage(assign_ids(new, keys, id_col, max_id(dim, id_col))))
     known = tagged(grown.select(*keys, id_col))
     found = source.join(known, same_key(keys, null_safe=True), "left")
     return grown, found.select(*source.columns, F.col(f"_r_{id_col}").alias(id_col))

@@ -104,7 +104,8 @@ def scan(
 
     ``part`` columns must not be null and ``order`` must be unique within them. ``chunk`` has to grow
     with ``order``; by default it is ``order`` divided into runs of ``chunk_rows``, which suits line
-    numbers and other dense integers.
+    numbers and other dense integers. ``df`` is evaluated twice (summaries and rows): cut its lineage first
+    (``session.cut_lineage``) if it is itself the result of a scan or another costly plan.
     """
     part = list(part)
     cut = chunk if chunk is not None else F.floor(F.col(order) / F.lit(chunk_rows))
@@ -141,21 +142,27 @@ def blocks(
 ) -> DataFrame:
     """Rows between separator rows, with ``block`` (1-based), ``block_row`` (1-based) and ``closed``.
 
-    Rows before the first separator and the separators themselves are left out, as they belong to no
-    block. ``closed`` tells whether another separator follows the block.
+    ``order`` must count rows without gaps. Rows before the first separator and the separators themselves
+    are left out, as they belong to no block. ``closed`` tells whether another separator follows the block.
     """
-    is_sep = F.coalesce(separator, F.lit(False))
-    marked = df.withColumn("_sep", is_sep)
-    counted = scan(
+    marked = df.withColumn("_sep", F.coalesce(separator, F.lit(False)))
+    is_sep = F.col("_sep").cast("long")
+    placed = scan(
         marked, part, order, chunk, chunk_rows,
-        block=running(F.col("_sep").cast("long")),
-        _seps=whole_sum(F.col("_sep").cast("long")),
-        _row=running(F.lit(1).cast("long")),
+        block=running(is_sep),
+        _seps=whole_sum(is_sep),
+        _at=carry(F.when(F.col("_sep"), F.col(order))),
     )
-    placed = scan(counted, part, order, chunk, chunk_rows, _at=carry(F.when(F.col("_sep"), F.col("_row"))))
     return (
         placed.filter(~F.col("_sep") & (F.col("block") > 0))
-        .withColumn("block_row", F.col("_row") - F.col("_at"))
+        .withColumn("block_row", F.col(order) - F.col("_at"))
         .withColumn("closed", F.col("block") < F.col("_seps"))
-        .drop("_sep", "_seps", "_row", "_at")
+        .drop("_sep", "_seps", "_at")
     )
+
+
+def numbered(df: DataFrame, part: Sequence[str], order: str, chunk: Column | None = None, chunk_rows: int = CHUNK_ROWS,
+             name: str = "row_no") -> DataFrame:
+    """Adds a gapless row number (from 0) within each group."""
+    counted = scan(df, part, order, chunk, chunk_rows, **{name: running(F.lit(1).cast("long"))})
+    return counted.withColumn(name, F.col(name) - 1)

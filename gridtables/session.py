@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # long rule expressions are built several times faster without call-site tracking
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
