@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtables.operators.ids import assign_ids, assign_ids_to_copies, max_id
+from gridtables.operators.ids import assign_ids, assign_ids_to_copies
 from gridtables.operators.merge import absent, any_null, check_keys, same_key, tagged
 from gridtables.session import cut_lineage
 
@@ -50,8 +50,17 @@ def definition(source: T.StructType) -> T.StructType:
 
 def init(source: DataFrame, keys: Sequence[str], now: datetime | str) -> DataFrame:
     """First load into an empty versioned table."""
-    empty = source.sparkSession.createDataFrame([], definition(source.schema))
-    return merge(empty, source, keys, now).current
+    check_keys(source, keys)
+    columns = source.columns
+    data = [c for c in columns if c not in keys]
+    life = [instant(now).alias(FROM), instant(OPEN_END).alias(TO)]
+    keyed = _unique(source, keys, data).select(*keys, *[F.col(f"_s.{c}").alias(c) for c in data])
+    given_null = source.filter(any_null(keys))
+    loose = given_null.count()
+    table = assign_ids(keyed, keys, ID, F.lit(loose)).select(ID, *columns, *life)
+    if loose:
+        table = table.unionByName(assign_ids_to_copies(given_null, ID, F.lit(0)).select(ID, *columns, *life))
+    return table
 
 
 def _unique(source: DataFrame, keys: Sequence[str], data: Sequence[str]) -> DataFrame:
@@ -70,7 +79,6 @@ def merge(
     point_in_time: bool = True,
     remove_if_not_found: bool = True,
     resurrect: bool = True,
-    checkpoint: bool = False,
 ) -> MergeResult:
     """Synchronise the versioned ``target`` with a full snapshot ``source``.
 
@@ -80,8 +88,8 @@ def merge(
     * ``point_in_time``: the replaced or removed values stay as a closed version with a new id.
 
     Data columns are compared null-safely, keys plainly (a null key never matches). A repeated source
-    key makes the job fail. ``checkpoint=True`` stores the change set once instead of computing
-    it for both outputs, which pays off when the result is written.
+    key makes the job fail. The change set, which is small beside the table and feeds every output, is
+    stored once (see ``session.cut_lineage``).
     """
     check_keys(source, keys)
     if not keys:
@@ -115,9 +123,7 @@ def merge(
         TO,
     )
     kept = sides.filter("merge_action = 'KEEP'").select(ID, *columns, FROM, TO)
-    moved = sides.filter("merge_action <> 'KEEP'")
-    if checkpoint:
-        moved = cut_lineage(moved)
+    moved = cut_lineage(sides.filter("merge_action <> 'KEEP'"))
     if not resurrect:
         fresh = absent(moved.filter("merge_action = 'INSERT'"), history, keys, null_safe=False)
         moved = fresh.unionByName(moved.filter("merge_action <> 'INSERT'"))
@@ -142,20 +148,20 @@ def merge(
     if point_in_time:
         ending = moved.filter("merge_action <> 'INSERT'").select(F.lit(1).alias("_kind"), *columns, FROM, at.alias(TO))
         starting = starting.unionByName(ending)
-    top = max_id(target, ID)
-    first_free = top + loose.agg(F.count("*")).scalar()
-    added = assign_ids(starting, keys, ID, first_free, lead="_kind").select(ID, *columns, FROM, TO)
-    added = added.unionByName(assign_ids_to_copies(loose, ID, top).select(ID, *columns, FROM, TO))
+    top = held.agg(F.coalesce(F.max(ID), F.lit(0))).first()[0]
+    loose_rows = loose.count()
+    added = assign_ids(starting, keys, ID, F.lit(top + loose_rows), lead="_kind").select(ID, *columns, FROM, TO)
+    if loose_rows:
+        added = added.unionByName(assign_ids_to_copies(loose, ID, F.lit(top)).select(ID, *columns, FROM, TO))
     open_rows = added.filter(F.col(TO) == late)
     closed = added.filter(F.col(TO) != late)
 
     nothing = [F.lit(None).cast("timestamp_ntz").alias(c) for c in (FROM, TO)]
     no_data = [F.col(c) if c in keys else F.lit(None).cast(source.schema[c].dataType).alias(c) for c in columns]
-    log = (
-        moved.select("merge_action", *columns, FROM, TO)
-        .unionByName(given_null.select(F.lit("INSERT").alias("merge_action"), *no_data, *nothing))
-        .unionByName(held_null.select(F.lit("DELETE").alias("merge_action"), *columns, FROM, TO))
-    )
+    log = moved.select("merge_action", *columns, FROM, TO)
+    if loose_rows or not point_in_time:
+        log = log.unionByName(given_null.select(F.lit("INSERT").alias("merge_action"), *no_data, *nothing))
+        log = log.unionByName(held_null.select(F.lit("DELETE").alias("merge_action"), *columns, FROM, TO))
     return MergeResult(kept.unionByName(updated).unionByName(open_rows), closed, log, history)
 
 

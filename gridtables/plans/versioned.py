@@ -45,7 +45,7 @@ def synchronise(
             table = spark.createDataFrame([], scd2.definition(source.schema))
         version = max(finished_versions(spark, f"{root}/current"), default=0) + 1
         log.append((datetime.now(), "Commencing merge"))
-        result = scd2.merge(table, source, keys, now, checkpoint=True, **options)
+        result = scd2.merge(table, source, keys, now, **options)
         audit = scd2.audit(result.changes, source, process, now, datetime.now()).first()
         write_version(result.closed, f"{root}/history", version)
         write_version(result.current, f"{root}/current", version)

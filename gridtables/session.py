@@ -6,6 +6,8 @@ adaptive execution split skewed join sides and keep partitions small enough to s
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -32,13 +34,16 @@ def session(app: str = "gridtables", master: str | None = None, **settings: str)
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Without that setting the plan is returned uncut: a machine-local folder would be lost with
-    its executor, so none is made up here.
+    Where that is unset, a local session gets a temporary folder of its own; on a cluster, where such a
+    folder would be lost with its machine, the plan is returned uncut.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="gridtables-")
+        if not folder:
+            return df
+        context.setCheckpointDir(folder)
     return df.checkpoint()
