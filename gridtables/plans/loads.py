@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.functions.expr import normalise_columns
 from gridtables.operators import control
 from gridtables.operators.merge import append, check_keys, insert_absent, upsert
 from gridtables.session import cut_lineage
@@ -169,9 +168,6 @@ def added_at(df: DataFrame, now: str) -> DataFrame:
 
 def read_daily(spark: SparkSession, folder: str, feeds: Sequence[str] = DAILY, days: str = "*") -> dict[str, Parsed]:
     """The daily files of a folder, all days of a feed in one read; a feed without files is left out."""
-    names = [r.file_name for r in control.list_files(spark, folder).select("file_name").distinct().limit(1).collect()]
-    if not names:
-        return {}
     found = {}
     for feed in feeds:
         glob = FEEDS[feed].glob.format(date=days)
@@ -179,8 +175,3 @@ def read_daily(spark: SparkSession, folder: str, feeds: Sequence[str] = DAILY, d
         if present:
             found[feed] = FEEDS[feed].read(cut_lineage(numbered_lines(spark, folder, pathGlobFilter=glob)))
     return found
-
-
-def config_table(df: DataFrame) -> DataFrame:
-    """A configuration or manifest table with normalised column names."""
-    return normalise_columns(df)
