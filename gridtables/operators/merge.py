@@ -139,7 +139,7 @@ def get_or_create_keys(
     check_keys(dim, keys)
     combos = source.select(*keys).distinct()
     new = cut_lineage(absent(combos, dim, keys, null_safe=True))
-    grown = append(dim, cut_lineage(assign_ids(new, keys, id_col, max_id(dim, id_col))))
+    grown = append(dim, assign_ids(new, keys, id_col, max_id(dim, id_col)))
     known = tagged(grown.select(*keys, id_col))
     found = source.join(known, same_key(keys, null_safe=True), "left")
     return grown, found.select(*source.columns, F.col(f"_r_{id_col}").alias(id_col))

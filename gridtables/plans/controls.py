@@ -36,7 +36,7 @@ def not_downloaded(spark, folder):
     return control.work_list(_links(spark, folder), _manifest(spark, folder))
 
 
-@query("redownload", f"WITH {_LINKS} SELECT * FROM links WHERE lower(file_name) GLOB '*[aeiou]?'")
+@query("redownload", f"WITH {_LINKS} SELECT * FROM links WHERE regexp_matches(file_name, '(?is)^.*[aeiou].$')")
 def redownload(spark, folder):
     return control.work_list(_links(spark, folder), _manifest(spark, folder), "*[AEIOU]?", redownload=True)
 

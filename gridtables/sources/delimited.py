@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtables.functions.expr import heading, null_tokens, strip
-from gridtables.sources.lines import Parsed, cells, parse_delimited, payload_between, refused, scan_file
+from gridtables.sources.lines import Parsed, parse_delimited, payload_between, scan_file
 from gridtables.operators import positional
 
-MAX_COLUMNS = 512
-
 
 @dataclass(frozen=True)
 class Delimited:
@@ -52,11 +51,14 @@ KEYS = {
     "trade_log": (),
 }
 
-# Date texts the feeds use, tried in this order.
-_YEAR_FIRST = ("yyyy/M/d H:m:s", "yyyy-M-d H:m:s", "yyyy/M/d H:m", "yyyy-M-d H:m", "yyyy/M/d", "yyyy-M-d",
-               "yyyyMMddHHmmss", "yyyyMMddHHmm", "yyyyMMdd HHmm", "yyyyMMdd H:m", "yyyyMMdd")
-_DAY_FIRST = ("d/M/yyyy H:m:s", "d/M/yyyy H:m", "d/M/yyyy", "d-M-yyyy")
-_MONTH_FIRST = ("M/d/yyyy H:m:s", "M/d/yyyy H:m", "M/d/yyyy")
+# Date texts the feeds use: shape of the text and its pattern.
+_TIME = ((r"", ""), (r" \d{1,2}:\d{2}", " H:m"), (r" \d{1,2}:\d{2}:\d{2}", " H:m:s"))
+_YEAR_FIRST = tuple(
+    (rf"\d{{4}}{s}\d{{1,2}}{s}\d{{1,2}}{shape}", f"yyyy{s}M{s}d{time}") for s in "/-" for shape, time in _TIME
+) + ((r"\d{8}", "yyyyMMdd"), (r"\d{8} \d{4}", "yyyyMMdd HHmm"), (r"\d{8} \d{1,2}:\d{2}", "yyyyMMdd H:m"),
+     (r"\d{12}", "yyyyMMddHHmm"), (r"\d{14}", "yyyyMMddHHmmss"))
+_DAY_FIRST = tuple((rf"\d{{1,2}}{s}\d{{1,2}}{s}\d{{4}}{shape}", f"d{s}M{s}yyyy{time}") for s in "/-" for shape, time in _TIME)
+_MONTH_FIRST = tuple((rf"\d{{1,2}}{s}\d{{1,2}}{s}\d{{4}}{shape}", f"M{s}d{s}yyyy{time}") for s in "/-" for shape, time in _TIME)
 
 
 class HeadingError(ValueError):
@@ -64,39 +66,37 @@ class HeadingError(ValueError):
 
 
 def headings(lines: DataFrame, header_lines: Sequence[int] = (0,), sep: str = ",") -> list[str]:
-    """Normalised column names from the heading rows, which all files of the read must share."""
+    """Normalised column names from the heading rows, which all files of the read must share.
+
+    Only the distinct headings reach the driver, and only two of them.
+    """
     rows = lines.filter(F.col("line_no").isin(*header_lines))
-    split = cells(F.col("line"), MAX_COLUMNS, sep, True)
-    width = F.size(F.split(F.col("line"), "[" + ("\t" if sep == "\t" else sep) + "]"))
-    texts = F.slice(F.array(*[split[f"c{i}"] for i in range(MAX_COLUMNS)]), 1, F.least(width, F.lit(MAX_COLUMNS)))
-    per_file = rows.select("file", F.struct("line_no", texts.alias("texts")).alias("row")).groupBy("file").agg(
-        F.sort_array(F.collect_list("row")).alias("rows")
-    )
-    variants = per_file.select(F.col("rows.texts").alias("texts")).distinct().take(2)
+    per_file = rows.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("rows"))
+    variants = per_file.select(F.col("rows.line").alias("texts")).distinct().take(2)
     if len(variants) != 1:
         raise HeadingError("no heading found" if not variants else "files with different headings in one read")
-    levels = variants[0].texts
+    levels = list(csv.reader(variants[0].texts, delimiter=sep, skipinitialspace=True))
     names = []
     for i in range(max(len(level) for level in levels)):
-        parts = [(level[i] if i < len(level) else None) for level in levels]
-        if len(parts) == 1:
-            names.append(heading(parts[0] or f"Unnamed: {i}"))
-        else:
-            joined = heading([p if p else "Unnamed" for p in parts])
-            names.append(joined or f"unnamed_{i}")
+        parts = [level[i] if i < len(level) else "" for level in levels]
+        name = heading(parts[0]) if len(parts) == 1 else heading([p or "Unnamed" for p in parts])
+        names.append(name or f"unnamed_{i}")
     return names
 
 
-def _moment(text, day_first: bool):
-    patterns = (*(_DAY_FIRST if day_first else ()), *_YEAR_FIRST, *(() if day_first else _MONTH_FIRST + _DAY_FIRST))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in patterns])
+def _moment(text: Column, day_first: bool) -> Column:
+    """A text is parsed only by the patterns of its shape; ambiguous dates follow ``day_first`` where they can."""
+    either = _DAY_FIRST + _MONTH_FIRST if day_first else _MONTH_FIRST + _DAY_FIRST
+    tries = [F.when(text.rlike(f"^{shape}$"), F.try_to_timestamp(text, F.lit(p))) for shape, p in _YEAR_FIRST + either]
+    return F.coalesce(*tries).cast("timestamp_ntz")
 
 
 def read_delimited(lines: DataFrame, spec: Delimited, names: Sequence[str] | None = None) -> Parsed:
     """Data rows of headed files. Files of one read share a heading unless ``names`` fixes the columns."""
-    payload, rejects = payload_between(lines, spec.top, spec.tail)
     if spec.top is None and spec.tail is None:
-        payload = lines
+        payload, rejects = lines, lines.select("file", F.lit("").alias("reason")).filter(F.lit(False))
+    else:
+        payload, rejects = payload_between(lines, spec.top, spec.tail)
     if spec.skip_rows:
         payload = payload.filter(F.col("line_no") >= spec.skip_rows).withColumn(
             "line_no", F.col("line_no") - spec.skip_rows
