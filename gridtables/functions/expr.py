@@ -88,6 +88,16 @@ def date_and_time(date: Column, time: Column) -> Column:
     return F.concat(date.cast("string"), F.lit(" "), time).try_cast("timestamp_ntz")
 
 
+def plain_path(path: Column) -> Column:
+    """Path without the scheme of a local file and without a closing slash."""
+    return F.regexp_replace(F.regexp_replace(F.trim(path), "^file:/+", "/"), "(?<=.)/+$", "")
+
+
+def metadata_path(path: Column) -> Column:
+    """The plain path behind the encoded one that file sources give in their metadata."""
+    return plain_path(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))))
+
+
 def file_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

@@ -8,17 +8,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.functions.expr import absolute_url, expand_template, file_name, glob_match, hrefs, last_characters, listing_names
+from gridtables.functions.expr import absolute_url, expand_template, file_name, glob_match, hrefs, last_characters, listing_names, plain_path
 from gridtables.operators.ids import assign_ids, max_id
 
 QUEUE_ORDER = ("priority", "mtime", "size", "path")
 
 
-def plain_path(path: Column) -> Column:
-    """Path without the scheme of a local file and without a closing slash."""
-    return F.regexp_replace(F.regexp_replace(F.trim(path), "^file:/+", "/"), "(?<=.)/+$", "")
-
-
 def list_files(spark: SparkSession, folders: str | Sequence[str]) -> DataFrame:
     """``path, folder, file_name, mtime, size`` of files; their contents are not read."""
     found = spark.read.format("binaryFile").load(folders if isinstance(folders, str) else list(folders))

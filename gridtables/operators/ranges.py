@@ -20,18 +20,26 @@ def range_join(
     end: str,
     width: int = 16,
     how: str = "left",
+    salts: int = 1,
 ) -> DataFrame:
     """Points with the ranges of the same key that hold them (both ends included).
 
     Ranges are laid out over cells of ``width`` positions and joined on key and cell, so one key with
-    very many points or ranges is spread over its cells and no row meets all ranges of its key.
+    very many points or ranges is spread over its cells and no row meets all ranges of its key. Where a hot
+    key has only few cells, ``salts`` spreads its points further at the price of as many copies of the ranges.
     """
     cell = F.floor(F.col(point) / F.lit(width))
     cells = F.sequence(F.floor(F.col(start) / F.lit(width)), F.floor(F.col(end) / F.lit(width)))
     laid = tagged(ranges.filter(F.col(start) <= F.col(end)).withColumn("_cell", F.explode(cells)))
-    on = same_key([*keys, "_cell"], null_safe=False)
+    points_at = points.withColumn("_cell", cell)
+    matched = [*keys, "_cell"]
+    if salts > 1:
+        points_at = points_at.withColumn("_salt", F.pmod(F.xxhash64(*points.columns), F.lit(salts)).cast("int"))
+        laid = laid.withColumn("_r__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        matched.append("_salt")
+    on = same_key(matched, null_safe=False)
     inside = F.col(point).between(F.col(f"_r_{start}"), F.col(f"_r_{end}"))
-    joined = points.withColumn("_cell", cell).join(laid, on & inside, how)
+    joined = points_at.join(laid, on & inside, how)
     extra = [c for c in ranges.columns if c not in keys]
     return joined.select(*points.columns, *[F.col(f"_r_{c}").alias(c) for c in extra])
 

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridtables.functions.expr import plain_path
 from gridtables.operators import control
 from gridtables.operators.merge import append, check_keys, insert_absent, upsert
 from gridtables.session import cut_lineage
@@ -110,7 +111,7 @@ def _meter(spark: SparkSession, paths: Paths, mode: str = "atomic", archived: bo
 
 def _move_only(spark: SparkSession, paths: Paths) -> Parsed:
     files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    return Parsed(files.select(F.col("path").alias("file")).filter(F.lit(False)), _no_rejects(spark))
+    return Parsed(files.select(plain_path(F.col("path")).alias("file")).filter(F.lit(False)), _no_rejects(spark))
 
 
 def _no_rejects(spark: SparkSession) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridtables.operators import positional
 from gridtables.plans.registry import query, table
+from gridtables.session import cut_lineage
 from gridtables.sources import delimited, environmental, exchange, meter
 
 CHUNK = 256
@@ -18,7 +19,8 @@ def _lines(*parts):
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    return rows.withColumn("line_no", F.col("line_no").cast("long")).withColumn("chunk", F.floor(F.col("line_no") / CHUNK))
+    rows = rows.withColumn("line_no", F.col("line_no").cast("long")).withColumn("chunk", F.floor(F.col("line_no") / CHUNK))
+    return cut_lineage(rows)  # stands for the files, which are written once
 
 
 def _at(files, line_no, line):

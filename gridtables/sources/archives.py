@@ -8,12 +8,15 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridtables.functions.expr import plain_path
 
 BATCH_LINES = 10_000
 
 
 def _archives(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path", "content")
+    return spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select(plain_path(F.col("path")).alias("path"), "content")
 
 
 def expand(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

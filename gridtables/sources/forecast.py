@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.functions.expr import heading
+from gridtables.functions.expr import heading, metadata_path
 
 # Attributes and element types of the forecast product.
 AREA_ATTRIBUTES = ("aac", "description", "type", "parent-aac")
@@ -47,7 +47,7 @@ def read_forecasts(
     areas = (
         spark.read.format("xml").option("rowTag", "area").schema(_schema())
         .load(paths if isinstance(paths, str) else list(paths))
-        .withColumn("file", F.col("_metadata.file_path"))
+        .withColumn("file", metadata_path(F.col("_metadata.file_path")))
     )
     none = F.array().cast("array<struct<_VALUE: string, _type: string>>")
 

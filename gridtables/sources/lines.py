@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridtables.functions.expr import strip
+from gridtables.functions.expr import metadata_path, strip
 from gridtables.operators import positional
 from gridtables.session import cut_lineage
 
@@ -29,7 +29,7 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str], **options: s
     raw = (
         spark.read.format("text").options(**options).load(paths if isinstance(paths, str) else list(paths))
         .select(
-            F.col("_metadata.file_path").alias("file"),
+            metadata_path(F.col("_metadata.file_path")).alias("file"),
             F.col("_metadata.file_block_start").alias("chunk"),
             F.monotonically_increasing_id().alias("_id"),
             F.col("value").alias("line"),

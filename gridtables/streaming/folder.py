@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gridtables.functions.expr import plain_path
 from gridtables.plans.loads import dispatch, store
-from gridtables.sources.tables import finished_versions, read_latest, write_version
+from gridtables.sources.tables import finished_versions, read_latest, upsert_partitions, write_version
 
 _FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -25,15 +26,18 @@ def load_folder(
     glob: str = "*",
     max_files: int = 1000,
     null_safe: bool = False,
+    partitions: Sequence[str] = (),
     **trigger,
 ) -> StreamingQuery:
-    """Loads each new file of ``folder`` once into the versioned Parquet table under ``root``.
+    """Loads each new file of ``folder`` once into the Parquet table under ``root``.
 
     The stream only lists files (their contents are not read by it); a batch hands its paths, at most
     ``max_files``, to the handler. Batch ``n`` writes table version ``n + 1``, so a batch that is repeated
-    after a failure is not applied twice, whatever the kind of write. A file rewritten under an old name is not
-    seen again: such feeds are loaded from the queue and ledger instead. Refused files are appended to
-    ``root/rejects``. Default trigger: everything there is, then stop.
+    after a failure is not applied twice, whatever the kind of write. With ``partitions`` (key columns) the
+    table is not versioned: a batch rewrites only the partitions it touches, the way for large tables; repeating
+    such an upsert gives the same rows. A file rewritten under an old name is not seen again: such
+    feeds are loaded from the queue and ledger instead. Refused files go to ``root.rejects``. Default
+    trigger: everything there is, then stop.
     """
     files = (
         spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", glob)
@@ -43,19 +47,23 @@ def load_folder(
     def load(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         version = epoch + 1
-        if version in finished_versions(session, root):
+        if not partitions and version in finished_versions(session, root):
             return
         paths = [r.path for r in batch.select("path").collect()]
-        old = read_latest(session, root)
         if not paths:
             return
         rows, rejects = dispatch(session, handler, paths, params)
-        rejects.withColumn("batch", F.lit(epoch)).write.mode("overwrite").parquet(f"{root}/rejects/batch={epoch}")
-        order = queue_order(session, paths)
-        ranked = rows.join(order, "file", "left") if keys else rows
+        rejects.withColumn("batch", F.lit(epoch)).write.mode("overwrite").parquet(f"{root}.rejects/batch={epoch}")
+        order = ("mtime", "size", "file", "line_no") if keys else ()
+        if keys:
+            rows = rows.join(queue_order(session, paths), "file", "left")
+        if partitions:
+            upsert_partitions(session, root, rows.drop("member"), keys, partitions, order)
+            return
+        old = read_latest(session, root)
         if old is None:
-            old = session.createDataFrame([], rows.schema)
-        write_version(store(old, ranked, keys, ("mtime", "size", "file", "line_no") if keys else (), null_safe=null_safe), root, version)
+            old = session.createDataFrame([], rows.drop(*order).schema)
+        write_version(store(old, rows, keys, order, null_safe=null_safe), root, version)
 
     return (
         files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
@@ -67,5 +75,5 @@ def queue_order(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Modification time and size of the batch's files: later files overwrite earlier ones."""
     listed = spark.read.format("binaryFile").load(list(paths))
     return listed.select(
-        F.col("path").alias("file"), F.col("modificationTime").alias("mtime"), F.col("length").alias("size")
+        plain_path(F.col("path")).alias("file"), F.col("modificationTime").alias("mtime"), F.col("length").alias("size")
     )

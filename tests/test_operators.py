@@ -230,8 +230,10 @@ def test_range_join_over_cells(spark):
     random.seed(1)
     points = spark.createDataFrame([("k", random.randint(-50, 200)) for _ in range(200)], "k string, p int")
     held = spark.createDataFrame([("k", a, a + random.randint(-3, 90), i) for i, a in enumerate(random.sample(range(-60, 200), 40))], "k string, a int, b int, i int")
-    got = ranges.range_join(points, held, ["k"], "p", "a", "b", how="inner")
-    assert rows(got, "p", "i") == rows(points.alias("p").join(held.alias("h"), F.expr("p.k = h.k AND p.p BETWEEN a AND b")), "p", "i")
+    expected = rows(points.alias("p").join(held.alias("h"), F.expr("p.k = h.k AND p.p BETWEEN a AND b")), "p", "i")
+    for salts in (1, 3):
+        got = ranges.range_join(points, held, ["k"], "p", "a", "b", how="inner", salts=salts)
+        assert rows(got, "p", "i") == expected
 
 
 # --- quality ----------------------------------------------------------------------------------------------

@@ -24,8 +24,24 @@ def test_folder_is_loaded_once_and_upserted(spark, tmp_path):
     put("bad.csv", "[d]\nk,v\n9,x\n", 2_000_000)
     put("skip.txt", "?", 1_000_000)
     assert run() == [("1", "new"), ("2", "b")]
-    assert [r.reason for r in spark.read.parquet(f"{root}/rejects").collect()] == ["footer text not found"]
+    assert [r.reason for r in spark.read.parquet(f"{root}.rejects").collect()] == ["footer text not found"]
     versions = finished_versions(spark, root)
     assert run() == [("1", "new"), ("2", "b")] and finished_versions(spark, root) == versions
     put("c.csv", "[d]\nk,v\n2,bb\n3,c\n[$]", 3_000_000)
     assert run() == [("1", "new"), ("2", "bb"), ("3", "c")]
+
+
+def test_partitioned_folder_load(spark, tmp_path):
+    folder, root, checkpoint = (str(tmp_path / n) for n in ("in", "table", "checkpoint"))
+    os.mkdir(folder)
+
+    def run():
+        load_folder(spark, folder, "delimited", root, checkpoint, keys=["day", "k"], partitions=["day"], params={}).awaitTermination()
+        return sorted((r.day, r.k, r.v) for r in spark.read.schema("k string, v string, day string").parquet(root).collect())
+
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write("day,k,v\nmon,1,a\ntue,1,b\n")
+    assert run() == [("mon", "1", "a"), ("tue", "1", "b")]
+    with open(os.path.join(folder, "b.csv"), "w") as f:
+        f.write("day,k,v\ntue,1,c\ntue,2,d\n")
+    assert run() == [("mon", "1", "a"), ("tue", "1", "c"), ("tue", "2", "d")]
