@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+# A group of 10^11 rows gives a million chunks, still few for the one task that carries values across them.
 CHUNK_ROWS = 100_000
 
 _START, _HERE = Window.unboundedPreceding, Window.currentRow
@@ -108,7 +109,7 @@ def scan(
     (``session.cut_lineage``) if it is itself the result of a scan or another costly plan.
     """
     part = list(part)
-    cut = chunk if chunk is not None else F.floor(F.col(order) / F.lit(chunk_rows))
+    cut = chunk if chunk is not None else F.expr(f"`{order}` div {int(chunk_rows)}L")
     keys = [*part, "_chunk"]
     rows = df.withColumn("_chunk", cut)
 

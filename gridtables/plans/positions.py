@@ -9,7 +9,6 @@ from gridtables.operators import positional, ranges
 from gridtables.plans.registry import query, table
 from gridtables.sources.lines import lines_of, payload_between
 
-CHUNK = 64
 
 
 @query("numbered_lines", """
@@ -29,7 +28,7 @@ WHERE trim(line, E' \\t\\r\\n\\f\\v') <> ''""")
 def payload_lines(spark, folder):
     """Markup split at tag ends as the lines of a file; the payload is what stands inside the first nav element."""
     lines = lines_of(table(spark, folder, "pages"), ["page_id"], "html", ">")
-    files = lines.select(F.col("page_id").cast("string").alias("file"), "line_no", "line", F.floor(F.col("line_no") / CHUNK).alias("chunk"))
+    files = lines.select(F.col("page_id").cast("string").alias("file"), "line_no", "line", F.expr(f"line_no div {positional.CHUNK_ROWS}").alias("chunk"))
     return payload_between(files, "<nav", "</nav").rows.select("file", "line_no", "line")
 
 
@@ -39,7 +38,7 @@ _EVENTS = "SELECT user_id, event_id, event_type, value, row_number() OVER (PARTI
 @query("row_numbers", f"SELECT user_id, event_id, n AS row_no FROM ({_EVENTS})")
 def row_numbers(spark, folder):
     events = table(spark, folder, "events").select("user_id", "event_id")
-    return positional.numbered(events, ["user_id"], "event_id", chunk_rows=1000)
+    return positional.numbered(events, ["user_id"], "event_id")
 
 
 @query("block_split", f"""
@@ -53,10 +52,10 @@ SELECT user_id, event_id, value, CAST(block AS BIGINT) AS block, block_row, lead
 def block_split(spark, folder):
     """Runs of events closed by errors on both sides; the first event leads its block and is no data row."""
     events = table(spark, folder, "events").select("user_id", "event_id", "event_type", "value")
-    rows = positional.numbered(events, ["user_id"], "event_id", chunk_rows=1000)
-    found = positional.blocks(rows, ["user_id"], "row_no", F.col("event_type") == "error", chunk_rows=CHUNK).filter("closed")
+    rows = positional.numbered(events, ["user_id"], "event_id")
+    found = positional.blocks(rows, ["user_id"], "row_no", F.col("event_type") == "error").filter("closed")
     led = positional.scan(
-        found, ["user_id"], "row_no", chunk_rows=CHUNK, lead=positional.carry(F.when(F.col("block_row") == 1, F.col("event_type"))))
+        found, ["user_id"], "row_no", lead=positional.carry(F.when(F.col("block_row") == 1, F.col("event_type"))))
     return led.filter("block_row > 1").select("user_id", "event_id", "value", "block", "block_row", "lead")
 
 
@@ -67,7 +66,7 @@ WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING
 def carry_forward_parent(spark, folder):
     user = F.when(F.col("role") == "user", F.struct("turn", "text"))
     carried = positional.scan(
-        table(spark, folder, "conversations"), ["conv_id"], "turn", chunk_rows=CHUNK, parent=positional.carry_before(user))
+        table(spark, folder, "conversations"), ["conv_id"], "turn", parent=positional.carry_before(user))
     return carried.select("conv_id", "turn", "role", F.col("parent.turn").alias("parent_turn"), F.col("parent.text").alias("parent_text"))
 
 
@@ -80,7 +79,7 @@ def carry_forward_events(spark, folder):
     kind = F.col("event_type")
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
     return positional.scan(
-        events, ["user_id"], "event_id", chunk_rows=1000,
+        events, ["user_id"], "event_id",
         parent=positional.carry(F.when(kind == "signup", F.col("event_id"))), before=positional.previous(kind),
         clicks=positional.running((kind == "click").cast("long")), top=positional.whole_max(F.col("value")),
     ).drop("event_type", "value")
@@ -98,7 +97,7 @@ _TURNS = {"system": (None,), "user": (None, "assistant"), "assistant": ("user",)
 
 def _turns(spark, folder):
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role")
-    found = positional.scan(turns, ["conv_id"], "turn", chunk_rows=CHUNK, _before=positional.previous(F.col("role")))
+    found = positional.scan(turns, ["conv_id"], "turn", _before=positional.previous(F.col("role")))
     return found.withColumn("error", rules.order_error(F.col("role"), F.col("_before"), _TURNS)).drop("_before")
 
 
@@ -112,12 +111,12 @@ _BAD = "SELECT conv_id, min(turn) AS bad FROM t WHERE error IS NOT NULL GROUP BY
 
 @query("first_error_prefix", f"WITH t AS ({_TURN_ERRORS}), b AS ({_BAD}) SELECT t.* FROM t LEFT JOIN b USING (conv_id) WHERE bad IS NULL OR turn < bad")
 def first_error_prefix(spark, folder):
-    return rules.until_first_error(_turns(spark, folder), ["conv_id"], "turn", "error", "prefix", chunk_rows=CHUNK)
+    return rules.until_first_error(_turns(spark, folder), ["conv_id"], "turn", "error", "prefix")
 
 
 @query("first_error_atomic", f"WITH t AS ({_TURN_ERRORS}), b AS ({_BAD}) SELECT t.* FROM t LEFT JOIN b USING (conv_id) WHERE bad IS NULL")
 def first_error_atomic(spark, folder):
-    return rules.until_first_error(_turns(spark, folder), ["conv_id"], "turn", "error", "atomic", chunk_rows=CHUNK)
+    return rules.until_first_error(_turns(spark, folder), ["conv_id"], "turn", "error", "atomic")
 
 
 _FIELDS = (
@@ -199,4 +198,4 @@ def contiguous_ranges(spark, folder):
     month = F.month("o_orderdate").cast("long")
     rows = table(spark, folder, "orders").select(
         "o_custkey", "o_orderkey", month.alias("first"), (month + F.when(F.col("o_orderstatus") == "F", -1).otherwise(1)).alias("last"))
-    return ranges.contiguous_error(rows, ["o_custkey"], "o_orderkey", "first", "last", chunk_rows=1000)
+    return ranges.contiguous_error(rows, ["o_custkey"], "o_orderkey", "first", "last")

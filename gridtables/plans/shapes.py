@@ -10,7 +10,6 @@ from gridtables.plans.registry import query, table
 from gridtables.session import cut_lineage
 from gridtables.sources import delimited, environmental, exchange, meter
 
-CHUNK = 256
 _END = 1_000_000_000_000
 
 
@@ -19,7 +18,7 @@ def _lines(*parts):
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    rows = rows.withColumn("line_no", F.col("line_no").cast("long")).withColumn("chunk", F.floor(F.col("line_no") / CHUNK))
+    rows = rows.withColumn("line_no", F.col("line_no").cast("long")).withColumn("chunk", F.expr(f"line_no div {positional.CHUNK_ROWS}"))
     return cut_lineage(rows)  # stands for the files, which are written once
 
 
@@ -159,7 +158,7 @@ def option_blocks(spark, folder):
     """Errors print as empty lines and signups as region lines; a block counts if it starts with one."""
     events = table(spark, folder, "events").select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("file"), "event_id", "event_type", "value")
-    rows = positional.numbered(events, ["file"], "event_id", chunk_rows=1000)
+    rows = positional.numbered(events, ["file"], "event_id")
     line = (
         F.when(F.col("event_type") == "error", "")
         .when(F.col("event_type") == "signup", F.concat(F.lit("NSW\t"), F.col("event_id").cast("string"), F.lit("\t\tVIC\tQ1\t")))

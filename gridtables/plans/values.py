@@ -213,7 +213,7 @@ def pivot_carry_forward(spark, folder):
     """Attributes per user and day; one that is absent on a day keeps its latest earlier value."""
     events = table(spark, folder, "events").withColumn("day", F.unix_date(F.col("ts").cast("date")).cast("long"))
     wide = quality.pivot_attributes(events, ["user_id", "day"], "event_type", "value", _TYPES, "event_id")
-    carried = scan(wide, ["user_id"], "day", chunk_rows=7, **{f"_{t}": carry(F.col(t)) for t in _TYPES})
+    carried = scan(wide, ["user_id"], "day", **{f"_{t}": carry(F.col(t)) for t in _TYPES})
     return carried.select("user_id", "day", *[F.col(f"_{t}").alias(t) for t in _TYPES])
 
 

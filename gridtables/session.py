@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # checkpoint files go when the plans that read them do
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # long rule expressions are built several times faster without call-site tracking
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
