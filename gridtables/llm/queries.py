@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import importlib.util
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.llm import decontamination
+from gridtables.llm import bpe, dac, decontamination
 from gridtables.llm.registry import query, table
 
+
+
+def tokenizer() -> str:
+    """The vocabulary file of the installed package of public tokenizers."""
+    return os.path.join(os.path.dirname(importlib.util.find_spec("public_tokenizers").origin), "byte_bpe_50k.json")
+
+
+@query("op3_bpe")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, folder, "documents"), tokenizer())
+
+
+@query("op10_token_files")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return dac.stored(table(spark, folder, "documents"), tokenizer())
+
+
 OP8 = """
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
