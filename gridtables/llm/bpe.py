@@ -30,8 +30,8 @@ from gridtables.llm.common import slices, utf8
 
 #: The pattern of the byte-level pre-tokenizer (fixed by the format).
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-#: Units and words that a task remembers, each.
-CACHE = 600_000
+#: Words that a worker remembers.
+CACHE = 800_000
 LONG = 64
 #: Bytes of text that a task encodes as one batch.
 BATCH = 24 << 20
@@ -148,10 +148,10 @@ class Trie:
             known = self.whole[token] = self.v.merge(self.v.tokens[token]) == [token]
         return known
 
-    def encode(self, words: Iterable[bytes]) -> dict[bytes, list[int]]:
-        """Ids of distinct words."""
+    def encode(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of distinct words."""
         node, token_at, length, follows, may_follow = self.node, self.token, self.length, self.follows, self.may_follow
-        out: dict[bytes, list[int]] = {}
+        out: dict[bytes, bytes] = {}
         last: list[int] = [-1]
         before = b""
         for word in sorted(words):
@@ -189,7 +189,7 @@ class Trie:
                 ids.append(t)
                 place -= length[t]
             ids.reverse()
-            out[word] = ids
+            out[word] = array.array("I", ids).tobytes()
             before = word
         return out
 
@@ -214,103 +214,125 @@ def cutter(text: str) -> Callable[[str], list[str]]:
 
 
 class UnitEncoder:
-    """Packed little-endian 32-bit ids of texts. ``encode_words`` gives those of distinct words; units seen before come from the cache.
+    """Ids of texts. ``encode_words`` gives those of distinct words; words seen before come from a cache.
 
-    A unit is what stands between two single spaces, with the space before it; it neither starts nor ends with a blank, so its words
-    do not depend on its neighbours. A text with a unit that does is cut as a whole.
+    A unit is what stands between two single spaces, with the space before it; where it neither starts nor ends with a blank, its words
+    do not depend on its neighbours. A text with a unit that does is cut as a whole. Units are made distinct, and most of them (letters,
+    with a mark behind them or not) cut, by array operations.
     """
 
-    def __init__(self, encode_words: Callable[[set[str]], dict[str, bytes]], cut: Callable[[str], list[str]], special: dict[str, int]):
+    def __init__(self, encode_words: Callable[[list[str]], list[bytes]], cut: Callable[[str], list[str]], special: dict[str, int]):
         self.encode_words, self.cut = encode_words, cut
         self.special = {name: np.uint32(i).tobytes() for name, i in special.items()}
         self.names = sorted(special, key=len, reverse=True)
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, self.names)) + ")") if special else None
-        self.cache: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
-    def _words(self, unit: str) -> list[str]:
-        """Words of a unit that follows a space."""
-        if max(unit) < SETTLED:
-            if unit.isalpha():
-                return [" " + unit]
-            if unit[-1] in MARKS and unit[:-1].isalpha():
-                return [" " + unit[:-1], unit[-1]]
-        return self.cut(" " + unit)
-
-    def _encoded(self, units: list[list[str]]) -> list[bytes]:
-        """Packed ids of word sequences, through the words known so far."""
-        words = {w for own in units for w in own}
-        fresh = words.difference(self.known)
+    def _packed(self, words: list[str]) -> list[bytes]:
+        fresh = [w for w in words if w not in self.known]
         if len(self.known) + len(fresh) > CACHE:
             self.known, fresh = {}, words
-        self.known.update(self.encode_words(fresh))
-        get = self.known.__getitem__
-        out = [get(own[0]) if len(own) == 1 else b"".join(map(get, own)) for own in units]
+        self.known |= self.special
+        self.known.update(zip(fresh, self.encode_words(fresh), strict=True))
+        out = [*map(self.known.__getitem__, words)]
         for w in fresh:
             if len(w) > LONG:
                 del self.known[w]
         return out
 
-    def _of_units(self, units: list[str]) -> list[bytes]:
-        missing = [u for u in units if u not in self.cache]
-        if len(self.cache) + len(missing) > CACHE:
-            self.cache, missing = {}, units
-        self.cache.update(zip(missing, self._encoded([*map(self._words, missing)]), strict=True))
-        out = [*map(self.cache.__getitem__, units)]
-        for u in missing:
-            if len(u) > LONG:
-                del self.cache[u]
-        return out
+    def _whole(self, text: str) -> list[str]:
+        pieces = self.at_special.split(text) if self.at_special else [text]
+        return [w for p in pieces if p for w in ([p] if p in self.special else self.cut(p))]
 
     def batch(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, offsets by text) of a string column without nulls."""
         n = len(column)
         pieces = pc.split_pattern(column, " ")
-        offsets = pieces.offsets.to_numpy().astype(np.int64)
-        flat = pieces.flatten()
-        offsets = offsets - offsets[0]
-        first = offsets[:-1]
-        rest = np.ones(len(flat), bool)
-        rest[first] = False
-        encoded = flat.dictionary_encode()
-        codes = encoded.indices.to_numpy().astype(np.int64)
-        distinct = encoded.dictionary.to_pylist()
-        bad = np.fromiter((not u or u[0].isspace() or u[-1].isspace() for u in distinct), bool, len(distinct))
-        heads = flat.take(pa.array(first)).to_pylist()
+        bounds = pieces.offsets.to_numpy().astype(np.int64)
+        flat, bounds = pieces.flatten(), bounds - bounds[0]
+        first = bounds[:-1]
+        units = flat.dictionary_encode()
+        codes = units.indices.to_numpy().astype(np.int64)
+        units = units.dictionary
+        total = len(units)
+
+        # letters below SETTLED, perhaps with one mark behind them
+        buf, offsets = utf8(units)
+        size = np.diff(offsets)
+        last = np.zeros(total, np.uint8)
+        last[size > 0] = buf[offsets[1:][size > 0] - 1]
+        marked = _MARK[last] & (size > 1)
+        base = pc.utf8_rtrim(units, "".join(sorted(MARKS)))
+        plain = pc.utf8_is_alpha(base).to_numpy(zero_copy_only=False) & (np.diff(utf8(base)[1]) + marked == size)
+        high = np.concatenate([[0], np.cumsum(buf >= _HIGH)])
+        plain &= high[offsets[1:]] == high[offsets[:-1]]
+        base = pc.binary_join_element_wise(pa.scalar(" ", base.type), base.filter(pa.array(plain)), pa.scalar("", base.type)).dictionary_encode()
+        index = {w: i for i, w in enumerate(base.dictionary.to_pylist())}
+        for mark in MARKS:
+            index.setdefault(mark, len(index))
+        code_of = np.zeros(256, np.int64)
+        for mark in MARKS:
+            code_of[ord(mark)] = index[mark]
+        count = np.zeros(total + n, np.int64)
+        count[:total][plain] = 1 + marked[plain]
+        start = np.cumsum(count) - count
+        words = np.zeros(int(count.sum()), np.int64)
+        words[start[:total][plain]] = base.indices.to_numpy()
+        words[start[:total][plain & marked] + 1] = code_of[last[plain & marked]]
+
+        # the others one by one
+        more: list[int] = []
         odd = np.zeros(n + 1, np.int64)
-        np.add.at(odd, np.searchsorted(first, np.flatnonzero(bad[codes] & rest), "right") - 1, 1)
-        odd[np.flatnonzero([h[-1:].isspace() for h in heads])] += 1
+        other = np.flatnonzero(~plain)
+        bad = np.zeros(total, bool)
+        for i, unit in zip(other.tolist(), units.take(pa.array(other)).to_pylist(), strict=True):
+            if not unit or unit[0].isspace() or unit[-1].isspace():
+                bad[i] = True
+                continue
+            own = [index.setdefault(w, len(index)) for w in self.cut(" " + unit)]
+            start[i], count[i] = len(words) + len(more), len(own)
+            more += own
+        doc = np.repeat(np.arange(n), np.diff(bounds))
+        is_first = np.zeros(len(flat), bool)
+        is_first[first] = True
+        odd[doc[bad[codes] & ~is_first]] = 1
+        heads = flat.take(pa.array(first)).to_pylist()
+        odd[np.flatnonzero([h[-1:].isspace() for h in heads])] = 1
         for name in self.names:
-            odd[np.flatnonzero(pc.match_substring(column, name).to_numpy(zero_copy_only=False))] += 1
-        whole = np.flatnonzero(odd).tolist()
-
-        used = np.zeros(len(distinct), bool)
-        used[codes[rest]] = True
-        used &= ~bad
-        parts = [b""] * len(distinct)
-        at = np.flatnonzero(used).tolist()
-        for i, packed in zip(at, self._of_units([distinct[i] for i in at]), strict=True):
-            parts[i] = packed
-        codes[first] = len(parts) + np.arange(n)
-        parts += self._encoded([self.cut(h) if h and not o else [] for h, o in zip(heads, odd[:-1].tolist(), strict=True)])
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        source = np.frombuffer(b"".join(parts), "<u4")
-        starts = np.cumsum(lengths) - lengths
-        count = lengths[codes]
-        ends = np.cumsum(count)
-        ids = source[np.repeat(starts[codes] - ends + count, count) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[offsets]
-        if not whole:
-            return ids, bounds
-        runs, sizes, before = [], np.diff(bounds), 0
-        for i in whole:
-            own = b"".join(
-                self.special[p] if p in self.special else b"".join(self._encoded([self.cut(p)]))
-                for p in (self.at_special.split(column[i].as_py()) if self.at_special else [column[i].as_py()]) if p)
-            runs += [ids[bounds[before] : bounds[i]], np.frombuffer(own, "<u4")]
-            sizes[i], before = len(own) // 4, i + 1
-        runs.append(ids[bounds[before] :])
-        return np.concatenate(runs), np.concatenate([[0], np.cumsum(sizes)])
+            odd[np.flatnonzero(pc.match_substring(column, name).to_numpy(zero_copy_only=False))] = 1
+        for i, (head, whole) in enumerate(zip(heads, odd[:-1].tolist(), strict=True)):
+            own = [index.setdefault(w, len(index)) for w in (self._whole(column[i].as_py()) if whole else self.cut(head) if head else ())]
+            start[total + i], count[total + i] = len(words) + len(more), len(own)
+            more += own
+        codes[first] = total + np.arange(n)
+        words = np.concatenate([words, np.array(more, np.int64)])
+        reps = np.where(is_first | (odd[doc] == 0), count[codes], 0)
+
+        packed = self._packed([*index])
+        lengths = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        source = np.frombuffer(b"".join(packed), "<u4")
+        places = np.cumsum(lengths) - lengths
+        ids, ends = [], [np.zeros(1, np.int64)]
+        # texts in runs, so that index arrays stay small
+        for low, high in slices(bounds, 1 << 18):
+            a, b = bounds[low], bounds[high]
+            seq = words[_spread(start[codes[a:b]], reps[a:b])]
+            upto = np.concatenate([[0], np.cumsum(lengths[seq])])
+            ids.append(source[_spread(places[seq], lengths[seq])])
+            ends.append(upto[np.concatenate([[0], np.cumsum(reps[a:b])])[bounds[low + 1 : high + 1] - a]] + ends[-1][-1])
+        return np.concatenate(ids) if ids else np.zeros(0, np.uint32), np.concatenate(ends)
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... (counts[0] of them), then those of starts[1], and so on."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - ends + counts, counts) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+#: Lead bytes from here on may begin a character from SETTLED on.
+_HIGH = 0xD4
+_MARK = np.zeros(256, bool)
+_MARK[[ord(m) for m in MARKS]] = True
 
 
 @functools.lru_cache(1)  # a worker keeps it from task to task
@@ -318,9 +340,10 @@ def trie_encoder(text: str) -> tuple[Vocabulary, UnitEncoder]:
     vocabulary = Vocabulary(text)
     trie = Trie(vocabulary)
 
-    def words(missing: set[str]) -> dict[str, bytes]:
-        raw = {w.encode(): w for w in missing}
-        return {raw[w]: array.array("I", ids).tobytes() for w, ids in trie.encode(raw).items()}
+    def words(missing: list[str]) -> list[bytes]:
+        raw = [w.encode() for w in missing]
+        ids = trie.encode(set(raw))
+        return [ids[w] for w in raw]
 
     return vocabulary, UnitEncoder(words, cutter(text), vocabulary.special)
 
@@ -334,10 +357,13 @@ def library_encoder(text: str) -> UnitEncoder:
     to_alphabet = {b: c for c, b in byte_alphabet().items()}
     special = {t["content"]: t["id"] for t in json.loads(text)["added_tokens"]}
 
-    def words(missing: set[str]) -> dict[str, bytes]:
-        return {
-            w: array.array("I", [t.id for t in tokenize(w.encode().decode("latin-1").translate(to_alphabet))]).tobytes()
-            for w in missing}
+    space = to_alphabet[0x20]
+
+    def words(missing: list[str]) -> list[bytes]:
+        names = [
+            space + w[1:] if w[0] == " " and w.isascii() and w[1:].isalpha() else w.encode().decode("latin-1").translate(to_alphabet)
+            for w in missing]
+        return [array.array("I", [t.id for t in tokenize(w)]).tobytes() for w in names]
 
     return UnitEncoder(words, cutter(text), special)
 
