@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.llm import bpe, dac, decontamination
+from gridtables.llm import bpe, dac, decontamination, kdtree, urlrules
 from gridtables.llm.registry import query, table
 
 
@@ -56,3 +56,21 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op9_kd_shards")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = kdtree.shards(table(spark, folder, "documents"), ["n_chars", "source", "lang"], n_shards=16)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+URL_RULES = [
+    ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
+]
+
+
+@query("op4_url_rules")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = urlrules.judge(table(spark, folder, "pages"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "confidence", "mined_rule")
