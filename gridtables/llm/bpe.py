@@ -31,10 +31,10 @@ from gridtables.llm.common import slices, utf8
 #: The pattern of the byte-level pre-tokenizer (fixed by the format).
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 #: Words that a worker remembers.
-CACHE = 800_000
+CACHE = 250_000
 LONG = 64
 #: Bytes of text that a task encodes as one batch.
-BATCH = 24 << 20
+BATCH = 8 << 20
 
 
 def byte_alphabet() -> dict[str, int]:

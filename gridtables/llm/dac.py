@@ -28,10 +28,10 @@ from gridtables.llm.common import shared_folder, staged
 
 MAGIC = b"DACODES1"
 HEADER = struct.Struct("<8sQQQQQ")
-SEGMENT = 4 << 20
+SEGMENT = 2 << 20
 WORD = 512
-#: Bytes of text for one writing task.
-TASK = 64 << 20
+#: Bytes of input files for one writing task.
+TASK = 16 << 20
 
 
 def pack(ids: np.ndarray) -> list[bytes]:
@@ -140,7 +140,7 @@ def write_ids(
             return pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["value"])
 
         for batch in batches:
-            for low, texts in text_batches(batch["body"], TASK // 4):
+            for low, texts in text_batches(batch["body"]):
                 ids, bounds = encoder.batch(texts)
                 lengths = np.diff(bounds) + 1
                 with_end = np.insert(ids, bounds[1:], end_id).astype("<u4")
@@ -168,7 +168,7 @@ def write_ids(
 def _tasks(docs: DataFrame) -> int:
     """Writing tasks by the size of the input files: what one task holds does not grow with the input."""
     size = docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return max(1, min(1_000_000, int(size) // (TASK // 4) + 1))
+    return max(1, min(1_000_000, int(size) // (TASK) + 1))
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
