@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.llm import bpe, dac, decontamination, kdtree, urlrules
+from gridtables.llm import bpe, dac, decontamination, jaccard, kdtree, urlrules
 from gridtables.llm.registry import query, table
 
 
@@ -74,3 +74,25 @@ URL_RULES = [
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     found = urlrules.judge(table(spark, folder, "pages"), URL_RULES)
     return found.select("page_id", "host", "path", "rule", "verdict", "confidence", "mined_rule")
+
+
+OP7 = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_n FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both_n >= 80 * (x.n + y.n - both_n)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
+"""
+
+
+@query("op7_jaccard_join", OP7)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
