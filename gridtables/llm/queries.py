@@ -8,8 +8,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.llm import bpe, dac, decontamination, jaccard, kdtree, urlrules
+from gridtables.llm import bpe, dac, decontamination, jaccard, kdtree, quality, toxicity, urlrules
+from gridtables.llm.common import held_out, staged
 from gridtables.llm.registry import query, table
+from gridtables.llm.samples import labelled_sample
 
 
 
@@ -96,3 +98,30 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(reached) AS component
 @query("op7_jaccard_join", OP7)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted: fitted on labelled rows that are not held out."""
+    stats = staged(quality.statistics(docs))
+    sample = labelled_sample(labels, "doc_id", "quality", ~held_out("doc_id", 5, 0))
+    rows = staged(stats.join(F.broadcast(sample), "id").select("stats", "label", "weight"))
+    score = quality.fit(rows).score()
+    return stats.select(F.col("id").alias("doc_id"), held_out("id", 5, 0).alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op1_quality_rules")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    sample = labelled_sample(table(spark, folder, "labels"), "doc_id", "toxic", ~held_out("doc_id", 4, 2))
+    rows = docs.join(F.broadcast(sample), docs["doc_id"] == sample["id"]).select("id", "text", "label", "weight")
+    model = toxicity.learn(rows)
+    found = toxicity.evidence(docs, model)
+    return found.select(
+        F.col("id").alias("doc_id"), held_out("id", 4, 2).alias("held_out"), model.score().alias("score"),
+        F.size("matches").alias("n_matches")).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
