@@ -237,7 +237,22 @@ def _runs(texts: list[str | None], size: int = 1 << 20) -> Iterator[list[str]]:
         yield run
 
 
-def _needed(texts: DataFrame, lexicon: dict[str, float], enough: int = 4, share: float = 0.3) -> dict[str, float]:
+def _apart(found: dict[str, tuple[float, int]]) -> dict[str, float]:
+    """Of a beginning and its words one kind stays: the word if it makes up most of the beginning, else the (shortest) beginning."""
+    begins = {t[:-1]: n for t, (_, n) in found.items() if t.endswith("*")}
+    begins = {b: n for b, n in begins.items() if b[:-1] not in begins}
+    top = dict.fromkeys(begins, 0)
+    for word, (_, n) in found.items():
+        for size in range(BEGIN, min(len(word), BEGIN + 3) + 1):
+            if not word.endswith("*") and word[:size] in top:
+                top[word[:size]] = max(top[word[:size]], n)
+    begins = {b for b, n in begins.items() if top[b] < 0.8 * n}
+    return {
+        t: odds for t, (odds, _) in found.items()
+        if (t[:-1] in begins if t.endswith("*") else not any(t[:size] in begins for size in range(BEGIN, BEGIN + 4)))}
+
+
+def _needed(texts: DataFrame, lexicon: dict[str, float], enough: int = 5, share: float = 0.3) -> dict[str, float]:
     """Terms, best first, that toxic texts need: those that mostly stand in texts with ``enough`` better terms are chance finds."""
     shared = texts.sparkSession.sparkContext.broadcast(lexicon)
 
@@ -303,9 +318,7 @@ def learn(rows: DataFrame, min_texts: int = 2, min_share: float = 0.004, min_odd
     chosen = counts.withColumn("odds", odds).where(
         (F.col("toxic") >= max(min_texts, min_share * n_toxic)) & (F.col("odds") >= min_odds) & (F.length("word") >= 3))
     rows = chosen.orderBy(F.desc(odds - 1.96 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))), "word").limit(max_terms).collect()
-    lexicon = {r.word: float(r.odds) for r in rows}
-    lexicon = {w: o for w, o in lexicon.items() if not (w.endswith("*") and w[:-2] + "*" in lexicon)}  # the shortest beginning does
-    lexicon = _needed(texts, lexicon)
+    lexicon = _needed(texts, _apart({r.word: (float(r.odds), r.toxic) for r in rows}))
     top = max(lexicon.values(), default=1.0)
     lexicon = {w: o / top for w, o in lexicon.items()}
 
