@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.llm import bpe, dac, decontamination, jaccard, kdtree, quality, toxicity, urlrules
+from gridtables.llm import bpe, dac, decontamination, jaccard, kdtree, quality, repeats, toxicity, urlrules
 from gridtables.llm.common import held_out, staged
 from gridtables.llm.registry import query, table
 from gridtables.llm.samples import labelled_sample
@@ -125,3 +125,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), held_out("id", 4, 2).alias("held_out"), model.score().alias("score"),
         F.size("matches").alias("n_matches")).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op5_repeats")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(table(spark, folder, "documents"))
