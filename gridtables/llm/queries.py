@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.llm import bpe, dac, decontamination, jaccard, kdtree, quality, repeats, toxicity, urlrules
+from gridtables.llm import bpe, dac, decontamination, jaccard, kdtree, quality, repeats, search, toxicity, urlrules
 from gridtables.llm.common import held_out, staged
 from gridtables.llm.registry import query, table
 from gridtables.llm.samples import labelled_sample
@@ -130,3 +130,26 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_repeats")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.digests(table(spark, folder, "documents"))
+
+
+OP6 = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+s AS (SELECT count(*) AS n, greatest(avg(len(w)), 1e-9) AS mean FROM d),
+tf AS (SELECT doc_id, term, count(*) AS c FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+p AS (
+  SELECT tf.doc_id, tf.term, ln(1 + (n - df + 0.5) / (df + 0.5)) * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(w) / mean)) AS impact
+  FROM tf JOIN df USING (term) JOIN d USING (doc_id), s),
+r AS (
+  SELECT q.doc_id AS query_id, p.doc_id, round(sum(impact), 6) AS score
+  FROM tf q JOIN p USING (term) WHERE q.doc_id % 20 = 0 GROUP BY q.doc_id, p.doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
+@query("op6_bm25_search", OP6)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), F.col("doc_id") % 20 == 0)
