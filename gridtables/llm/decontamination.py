@@ -224,3 +224,10 @@ def hits(found: DataFrame) -> DataFrame:
     """Adds n_hit and contaminated (a twentieth of the words or more) to the rows of ``contamination``."""
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return found.withColumn("n_hit", n_hit).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("own_id"), F.col(text_col).alias("own_text"))
+    found = contamination(row, benchmark, "own_id", "own_text", keep=("row",), **options)
+    return hits(found).where(~F.col("contaminated")).select("row.*")

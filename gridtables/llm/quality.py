@@ -17,6 +17,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtables.llm.common import BLANKS, Words, slices, utf8, word_class
 
@@ -92,21 +93,37 @@ def _statistics(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.stack([columns[c] for c in STATISTICS], axis=1)
 
 
+def _array(column: pa.Array) -> pa.Array:
+    buf, offsets = utf8(column)
+    found = [_statistics(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)]
+    flat = pa.array(np.concatenate(found).ravel() if found else np.zeros(0))
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(column) + 1, dtype=np.int32) * len(STATISTICS)), flat)
+
+
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, stats array<double>) of every whole text; null and empty texts have only zeros."""
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offsets = utf8(batch["body"])
-            found = [_statistics(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)]
-            flat = pa.array(np.concatenate(found).ravel() if found else np.zeros(0))
-            stats = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * len(STATISTICS)), flat)
-            yield pa.RecordBatch.from_arrays([batch["id"], stats], names=["id", "stats"])
+            yield pa.RecordBatch.from_arrays([batch["id"], _array(batch["body"])], names=["id", "stats"])
 
     return narrow.mapInArrow(run, f"id {narrow.schema['id'].dataType.simpleString()}, stats array<double>")
 
 
+def with_statistics(docs: DataFrame, text_col: str = "text", stats_col: str = "stats") -> DataFrame:
+    """All columns of ``docs`` plus their statistics, in one pass over the rows. A clashing column name is an error."""
+    if stats_col in docs.columns:
+        raise ValueError(f"{stats_col} is already a column")
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, _array(batch.column(at))], names=[*batch.schema.names, stats_col])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(stats_col, T.ArrayType(T.DoubleType()))]))
+
+
 @dataclass(frozen=True)
 class Rules:
     """Kept rules: each a conjunction of (statistic, is upper bound, bound), its weight, and the intercept."""

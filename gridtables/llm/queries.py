@@ -100,19 +100,19 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted: fitted on labelled rows that are not held out."""
-    stats = staged(quality.statistics(docs))
-    sample = labelled_sample(labels, "doc_id", "quality", ~held_out("doc_id", 5, 0))
-    rows = staged(stats.join(F.broadcast(sample), "id").select("stats", "label", "weight"))
-    score = quality.fit(rows).score()
-    return stats.select(F.col("id").alias("doc_id"), held_out("id", 5, 0).alias("held_out"), score.alias("score")).withColumn(
-        "predicted", (F.col("score") >= 0.3).cast("int"))
+def quality_rules(docs: DataFrame, labels: DataFrame) -> quality.Rules:
+    """Rules fitted on labelled rows that are not held out."""
+    sample = labelled_sample(labels, "doc_id", "quality", ~held_out("doc_id", 5, 0)).withColumnRenamed("id", "sample_id")
+    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("sample_id"))
+    return quality.fit(staged(quality.with_statistics(chosen).select("stats", "label", "weight")))
 
 
 @query("op1_quality_rules")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    docs = table(spark, folder, "documents")
+    score = quality_rules(docs, table(spark, folder, "labels")).score()
+    found = quality.statistics(docs).select(F.col("id").alias("doc_id"), held_out("id", 5, 0).alias("held_out"), score.alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
 @query("op2_toxicity")

@@ -368,13 +368,14 @@ def _union(spans: list[dict] | None) -> list[list[int]]:
 
 
 def without_repeats(docs: DataFrame, text_col: str = "text", crowd: int = CROWD) -> DataFrame:
-    """All columns of ``docs`` plus kept (binary: the bytes that stay), n_bytes and removed (array of maximal spans of removed bytes).
+    """All columns of ``docs`` plus kept (binary: the bytes that stay), kept_text (their characters that no cut split),
+    n_bytes and removed (array of maximal spans of removed bytes).
 
     Null texts count as empty. Equal texts of 200 bytes or more lose everything, each being the other's repeat; a repeated row is
     such a text. Clashing column names are an error.
     """
-    if {"kept", "removed", "n_bytes"} & set(docs.columns):
-        raise ValueError("kept, removed or n_bytes is already a column")
+    if clash := {"kept", "kept_text", "removed", "n_bytes"} & set(docs.columns):
+        raise ValueError(f"{sorted(clash)} are columns already")
     spans = repeated_spans(docs, text_col, crowd)
     names = docs.columns
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -396,12 +397,23 @@ def without_repeats(docs: DataFrame, text_col: str = "text", crowd: int = CROWD)
                 removed.append([{"start": a, "end": b} for a, b in merged])
                 sizes.append(raw.size)
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array(kept, pa.binary()), pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(sizes, pa.int64())],
-                names=["row", "kept", "removed", "n_bytes"])
+                [batch["row"], pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()), pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(sizes, pa.int64())],
+                names=["row", "kept", "kept_text", "removed", "n_bytes"])
 
-    schema = T.StructType([joined.schema["row"], T.StructField("kept", T.BinaryType()),
+    schema = T.StructType([joined.schema["row"], T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType()),
                            T.StructField("removed", T._parse_datatype_string("array<struct<start:int,end:int>>")), T.StructField("n_bytes", T.LongType())])
-    return joined.mapInArrow(run, schema).select("row.*", "kept", "removed", "n_bytes")
+    return joined.mapInArrow(run, schema).select("row.*", "kept", "kept_text", "removed", "n_bytes")
+
+
+def cut_documents(docs: DataFrame, text_col: str = "text", n_chars_col: str | None = "n_chars") -> DataFrame:
+    """``docs`` with the repeated strings cut out of their texts. A character that a cut splits goes. A document of which nothing is
+    left goes; one that was empty or null before stays as it is."""
+    done = without_repeats(docs, text_col)
+    some = F.size("removed") > 0
+    done = done.where(~some | (F.length("kept_text") > 0)).withColumn(text_col, F.when(some, F.col("kept_text")).otherwise(F.col(text_col)))
+    if n_chars_col in docs.columns:
+        done = done.withColumn(n_chars_col, F.when(some, F.char_length(text_col).cast(docs.schema[n_chars_col].dataType)).otherwise(F.col(n_chars_col)))
+    return done.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
