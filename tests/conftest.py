@@ -14,7 +14,7 @@ def spark():
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="/tmp/run-"),
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="/tmp/run-"),
-            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=512m",
         },
     )
     s.sparkContext.setLogLevel("ERROR")
