@@ -7,9 +7,11 @@ each pair of frequent tokens. It is extended until rare + max(0, frequent - 1) >
 spoil all signatures, so linked sets share one, of the prefix of the smaller with tau = n // 9 and of the larger with tau = n // 5.
 Frequencies come from sets counted within tasks and summed in a table of fixed size; they steer the order only, any order is exact.
 
-Signatures that one node holds alone go. Each node is first verified against the pivot it shares most signatures with (the least node by
-signature and size class). Then only signatures whose nodes fell into different components are joined, in cells of bounded size,
-and pairs in different components are verified. Pairs within a component cannot change it; copies are never expanded.
+Signatures that no two nodes of fitting size hold go. Each node is first verified against the pivot it shares most signatures with (the
+least node by signature and size class). Then only signatures whose nodes fell into different components matter, for pairs within a
+component cannot change it. Pairs that a signature of few nodes gives are listed and verified. Signatures of many nodes tie these
+into clusters; a cluster's sets meet in cells of two blocks, where all intersections are one matrix product and only links that
+connect something come out. Copies are never expanded.
 """
 
 from __future__ import annotations
@@ -28,7 +30,9 @@ SHINGLE = 5
 BUCKETS = 1 << 20  # of the frequency table
 FREQUENT = 64
 SHORT = 128  # sets up to this size pair their frequent tokens
-CELL = 256
+CROWD = 64  # nodes from which a signature's pairs are not listed but met in cells
+CELL = 128  # sets in a block
+KEPT_BYTES = 6  # of a token's hash, in the sets that are moved for verification
 BITS = 1 << 27  # of the table of nodes whose sets are wanted
 
 _IS_WORD = word_class(BLANKS)
@@ -196,6 +200,18 @@ def _bit(node: Column) -> Column:
     return F.shiftrightunsigned(node, 37)
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """The first ``KEPT_BYTES`` bytes of each hash, in order."""
+    return tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES].tobytes()
+
+
+def unpacked(data: pa.BinaryScalar) -> np.ndarray:
+    short = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, KEPT_BYTES)
+    wide = np.zeros((len(short), 8), np.uint8)
+    wide[:, :KEPT_BYTES] = short
+    return wide.view(">u8").ravel().astype(np.uint64)
+
+
 def sets_of(docs: DataFrame, text_col: str, size: int, nodes: DataFrame) -> DataFrame:
     """(node, tokens) of the wanted nodes: a table of ``BITS`` bits, never larger, keeps most others from the shuffle, the join all."""
     words = nodes.select(_bit(F.col("node")).alias("bit")).groupBy(F.shiftrightunsigned("bit", 6).alias("word")).agg(
@@ -209,7 +225,7 @@ def sets_of(docs: DataFrame, text_col: str, size: int, nodes: DataFrame) -> Data
         bits = shared.value
         for batch in batches:
             found = [
-                (node, tokens.tobytes()) for node, tokens in _distinct_sets(batch["body"], size, seen)
+                (node, packed(tokens)) for node, tokens in _distinct_sets(batch["body"], size, seen)
                 if bits[(node & 0xFFFFFFFFFFFFFFFF) >> 40] >> ((node & 0xFFFFFFFFFFFFFFFF) >> 37 & 7) & 1]
             if found:
                 yield pa.RecordBatch.from_arrays(
@@ -228,7 +244,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch["x"], batch["y"], strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                x, y = unpacked(x), unpacked(y)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= 80 * (len(x) + len(y) - both))
             chosen = pa.array(keep, pa.bool_())
@@ -242,38 +258,103 @@ def links(docs: DataFrame, text_col: str, size: int, table: np.ndarray) -> DataF
     every = staged(postings(docs, text_col, size, table))
     met = every.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
     shared = staged(every.join(met.select("sig"), "sig", "left_semi").groupBy("sig", "node").agg(F.max("n").alias("n"), F.max("small").alias("small")))
-    nodes = staged(shared.select("node").distinct())
-    sets = sets_of(docs, text_col, size, nodes)
-
-    # sizes of one class, or of one class of the other cut, are at most a quarter apart
+    # sizes of one class, or of one class of the other cut, are at most a quarter apart; any two fitting sizes are in neighbouring ones
     scale = F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))
+    low = F.floor(scale - 1e-6).cast("int")
+    fitting = shared.withColumn("near", F.explode(F.array(low, low + 1))).groupBy("sig", "near").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.max("small").alias("small")).where("low != high AND small")
+    kept = shared.withColumn("near", F.explode(F.array(low, low + 1))).join(fitting.select("sig", "near"), ["sig", "near"], "left_semi")
+    shared = staged(kept.drop("near").distinct())
+    sets = sets_of(docs, text_col, size, staged(shared.select("node").distinct()))
+
     classes = F.array((F.floor(scale) * 2).cast("int"), (F.floor(scale + 0.5) * 2 + 1).cast("int"))
     by_class = shared.withColumn("class", F.explode(classes))
     pivots = by_class.groupBy("sig", "class").agg(F.min("node").alias("pivot"))
     near = by_class.join(pivots, ["sig", "class"]).where("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("shared"))
     star = near.groupBy("node").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("pivot"))
-    star = star.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    first = staged(verified(star, sets))
-
-    root = components(first)
-    placed = shared.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = staged(placed)
-    mixed = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), F.max("small").alias("small"))
-    mixed = mixed.where("low != high AND small").select("sig", F.ceil(F.col("size") / CELL).cast("int").alias("blocks"))
-    rest = placed.join(mixed, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    i, j = F.sequence(F.lit(0), F.col("block")), F.sequence(F.col("block"), F.col("blocks") - 1)
-    rows = rest.withColumn("i", F.explode(i)).select(
-        "sig", "i", F.col("block").alias("j"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("small").alias("sa"), F.col("root").alias("ra"))
-    others = rest.withColumn("j", F.explode(j)).select(
-        "sig", F.col("block").alias("i"), "j", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("small").alias("sb"), F.col("root").alias("rb"))
-    meet = rows.join(others, ["sig", "i", "j"]).where(
-        (F.col("ra") != F.col("rb")) & ((F.col("i") != F.col("j")) | (F.col("a") < F.col("b")))
-        & (5 * F.least("na", "nb") >= 4 * F.greatest("na", "nb"))
-        & F.when(F.col("na") < F.col("nb"), F.col("sa")).when(F.col("na") > F.col("nb"), F.col("sb")).otherwise(F.col("sa") | F.col("sb")))
-    pairs = meet.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    star = staged(star.select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+    root = components(staged(verified(star, sets)))
+
+    placed = staged(shared.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    mixed = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("holders"), F.max("small").alias("small"))
+    mixed = staged(mixed.where("low != high AND small").select("sig", "holders"))
+    few = placed.join(mixed.where(F.col("holders") <= CROWD), "sig")
+    left, right = few.select("sig", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "small", "root"))), few.select("sig", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "small", "root")))
+    pairs = left.join(right, "sig").where(
+        (F.col("root_a") != F.col("root_b")) & (F.col("node_a") < F.col("node_b")) & (5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b"))
+        & F.when(F.col("n_a") < F.col("n_b"), F.col("small_a")).when(F.col("n_a") > F.col("n_b"), F.col("small_b")).otherwise(F.col("small_a") | F.col("small_b")))
+    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = verified(staged(pairs.join(tried, ["a", "b"], "left_anti")), sets)
-    return root.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second)
+    listed = verified(staged(pairs.join(tried, ["a", "b"], "left_anti")), sets)
+
+    crowded = staged(placed.join(mixed.where(F.col("holders") > CROWD), "sig").select("sig", "node", "root", "n"))
+    ties = crowded.join(crowded.groupBy("sig").agg(F.min("node").alias("least")), "sig")
+    cluster = components(ties.select(F.col("node").alias("a"), F.col("least").alias("b")))
+    members = crowded.select("node", "root", "n").distinct().join(cluster.select("node", F.col("root").alias("cluster")), "node", "left")
+    in_cells = cell_links(members.withColumn("cluster", F.coalesce("cluster", "node")), sets)
+    return root.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(listed).unionByName(in_cells)
+
+
+def cell_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between different roots within each cluster, from cells of two blocks of at most about ``CELL`` sets.
+
+    Blocks follow the sets' sizes, so that cells of blocks whose sizes cannot fit are left out.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
+    members = staged(members.withColumn("band", band))
+    counts = members.groupBy("cluster", "band").agg(F.ceil(F.count("*") / CELL).cast("int").alias("blocks"))
+    after = counts.select("cluster", (F.col("band") - 1).alias("band"), F.col("blocks").alias("next_blocks"))
+    before = counts.select("cluster", (F.col("band") + 1).alias("band"), F.col("blocks").alias("last_blocks"))
+    counts = counts.join(after, ["cluster", "band"], "left").join(before, ["cluster", "band"], "left")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = members.join(counts, ["cluster", "band"]).withColumn("block", block)
+
+    def cells(low_band: Column, i: Column, high_band: Column, j: Column, side: Column) -> Column:
+        return F.struct(low_band.alias("low_band"), i.alias("i"), high_band.alias("high_band"), j.alias("j"), side.alias("side"))
+
+    b, own = F.col("band"), F.col("block")
+    upto = lambda n: F.when(F.coalesce(n, F.lit(0)) > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    within = F.transform(upto(F.col("blocks")), lambda o: cells(b, F.least(own, o), b, F.greatest(own, o), F.when(own <= o, 0).otherwise(1)))
+    up = F.transform(upto(F.col("next_blocks")), lambda o: cells(b, own, b + 1, o, F.lit(0)))
+    down = F.transform(upto(F.col("last_blocks")), lambda o: cells(b - 1, o, b, own, F.lit(1)))
+    rows = dealt.select("cluster", "node", "root", F.explode(F.concat(within, up, down)).alias("cell")).select("cluster", "cell.*", "node", "root")
+
+    def link(table: pa.Table) -> pa.Table:
+        found = _cell(table["node"].to_numpy(), table["root"].to_numpy(), table["side"].to_numpy(), [unpacked(x) for x in table["tokens"]])
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return rows.join(sets, "node").groupBy("cluster", "low_band", "i", "high_band", "j").applyInArrow(link, "a long, b long")
+
+
+def _cell(node: np.ndarray, root: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between the two sides (or within the only one) that join different roots, as few as connect the same."""
+    sizes = np.array([len(s) for s in sets])
+    one = len(set(side.tolist())) == 1
+    left, right = (np.arange(len(node)),) * 2 if one else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    both = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, len(tokens), 4096):
+        part = np.zeros((len(sets), min(4096, len(tokens) - low)), np.float32)
+        on = (column >= low) & (column < low + 4096)
+        part[owner[on], column[on] - low] = 1
+        both += part[left] @ part[right].T
+    union = sizes[left][:, None] + sizes[right][None, :] - both
+    x, y = np.nonzero((100 * both >= 80 * union) & (root[left][:, None] != root[right][None, :]))
+    parent: dict[int, int] = {}
+
+    def find(r: int) -> int:
+        while parent.get(r, r) != r:
+            r = parent[r]
+        return r
+
+    found = []
+    for a, b in zip(left[x].tolist(), right[y].tolist(), strict=True):
+        ra, rb = find(int(root[a])), find(int(root[b]))
+        if ra != rb:
+            parent[ra] = rb
+            found.append((int(node[a]), int(node[b])))
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:

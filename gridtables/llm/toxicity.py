@@ -164,8 +164,8 @@ class Automaton:
 def context(tokens: Tokens, word: int, low: int, high: int, text_start: int, text_end: int) -> float:
     """1 for plain use, less where the window shows quotation or report. The document's words are low to high."""
     a, b = max(low, word - WINDOW), min(high - 1, word + WINDOW)
-    left = tokens.text[tokens.starts[a] - 1 if tokens.starts[a] > text_start else text_start : tokens.starts[word]]
-    right = tokens.text[tokens.ends[word] : min(tokens.ends[b] + 1, text_end)]
+    left = tokens.text[tokens.ends[a - 1] if a > low else text_start : tokens.starts[word]]
+    right = tokens.text[tokens.ends[word] : tokens.starts[b + 1] if b < high - 1 else text_end]
     opened = any(c in OPENING for c in left) and any(c in CLOSING for c in right)
     # an even number of straight marks to the left opens nothing
     if opened and not any(c in "“„«‘" for c in left):
