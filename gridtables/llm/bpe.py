@@ -229,9 +229,9 @@ class UnitEncoder:
         self.known: dict[str, bytes] = {}
 
     def _packed(self, words: list[str]) -> list[bytes]:
-        fresh = [w for w in words if w not in self.known]
+        fresh = [w for w in words if w not in self.known and w not in self.special]
         if len(self.known) + len(fresh) > CACHE:
-            self.known, fresh = {}, words
+            self.known, fresh = {}, [w for w in words if w not in self.special]
         self.known |= self.special
         self.known.update(zip(fresh, self.encode_words(fresh), strict=True))
         out = [*map(self.known.__getitem__, words)]
