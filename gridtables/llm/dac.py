@@ -97,6 +97,12 @@ class Segment:
         return value
 
 
+def extent(blob: bytes) -> tuple[int, int, int]:
+    """(partition, first place, places) of a segment, from its header."""
+    _, _, size, _, partition, before = HEADER.unpack_from(blob)
+    return partition, before, size
+
+
 def segment(doc_ids: np.ndarray, nulls: np.ndarray, lengths: np.ndarray, ids: np.ndarray, partition: int, before: int) -> bytes:
     levels = pack(ids)
     head = HEADER.pack(MAGIC, len(doc_ids), len(ids), len(levels), partition, before)
@@ -197,7 +203,7 @@ def read_tokens(spark: SparkSession, folder: str, places: DataFrame) -> DataFram
     def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, blob in zip(batch["path"].to_pylist(), batch["content"], strict=True):
-                _, _, size, _, partition, before = HEADER.unpack_from(blob.as_buffer().to_pybytes()[: HEADER.size])
+                partition, before, size = extent(blob.as_buffer().slice(0, 64).to_pybytes())
                 yield pa.RecordBatch.from_pydict({"path": [path], "partition": [partition], "low": [before], "high": [before + size]})
 
     heads = _files(spark, folder).select("path", "content").mapInArrow(head, "path string, partition long, low long, high long")

@@ -1,6 +1,6 @@
 """URL filtering: given rules by host and path, and for the rest association rules mined with Spark's FP-growth.
 
-A url is a set of tokens: scheme, host labels and host suffixes, path segments by their shape, query names. Urls that the given
+A url is a set of tokens: scheme, first host label and host suffixes, path segments by their shape, query names. Urls that the given
 rules judge are the labelled ones. FP-growth over their token sets, each with its verdict as one more item, gives the frequent
 combinations; a rule "tokens -> verdict" stays if support and confidence reach their thresholds and no part of its tokens already
 says as much. Rules match through an inverted index: token -> rules, a rule fits when all its tokens met.
@@ -47,16 +47,19 @@ def given_rule(rules: Sequence[tuple[str, str]], host_col: str = "host", path_co
 
 
 def tokens(url: Column, host_col: Column, path_col: Column) -> Column:
-    """Distinct tokens; runs of digits in paths are one shape, so a token says something about more than one url."""
+    """Distinct tokens, 15 at most, so a rule set stays small whatever the urls: the scheme, the first host label, host suffixes of up to
+    four labels, the first three path segments by shape (runs of digits are one), and the first six query names."""
     labels = F.split(host_col, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(F.lit("host:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
-    segments = F.filter(F.split(path_col, "/"), lambda s: s != "")
+    sizes = F.sequence(F.lit(1), F.least(F.size(labels), F.lit(4)))
+    suffixes = F.transform(sizes, lambda n: F.concat(F.lit("host:"), F.array_join(F.slice(labels, -n, n), ".")))
+    segments = F.slice(F.filter(F.split(path_col, "/"), lambda s: s != ""), 1, 3)
     shapes = F.transform(segments, lambda s, i: F.concat(F.lit("path"), i.cast("string"), F.lit(":"), F.regexp_replace(s, "[0-9]+", "0")))
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^[^?#]*\?([^#]*)", 1)
     names = F.transform(F.filter(F.split(query, "&"), lambda s: s != ""), lambda s: F.concat(F.lit("query:"), F.regexp_extract(s, r"(?s)^([^=]*)", 1)))
-    scheme = F.concat(F.lit("scheme:"), F.substring_index(F.coalesce(url, F.lit("")), "://", 1))
-    named = F.transform(labels, lambda s: F.concat(F.lit("label:"), s))
-    return F.array_distinct(F.concat(F.when(F.instr(url, "://") > 0, F.array(scheme)).otherwise(F.array().cast("array<string>")), named, suffixes, shapes, names))
+    scheme = F.concat(F.lit("scheme:"), F.substring_index(url, "://", 1))
+    first = F.concat(F.lit("sub:"), F.get(labels, F.lit(0)))
+    some = F.array_distinct(F.concat(F.array(scheme, first), suffixes, shapes, F.slice(F.array_distinct(names), 1, 6)))
+    return F.when(F.instr(url, "://") > 0, some).otherwise(F.array().cast("array<string>"))
 
 
 def mine(labelled: DataFrame, min_support: float, min_confidence: float, max_tokens: int) -> DataFrame:

@@ -103,7 +103,7 @@ def test_automaton_finds_all_words_within_one_edit():
 
 def test_quotation_weighs_less_than_abuse(spark):
     model = toxicity.Model({"idiot": 1.0}, weights=(1.0, 0.0, 0.0))
-    texts = ["you idiot", 'he wrote "you idiot" to me', "the word idiot", "« idiot »", 'a "quote" then idiot', "idiot\x00idiot", "IDIOT!", "id1ot"]
+    texts = ["you idiot", 'he wrote "you idiot" to me', "the word idiot", "« idiot »", 'a "thing" then idiot', "idiot\x00idiot", "IDIOT!", "id1ot"]
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, features int")
     got = {r.id: [m.weight for m in r.matches] for r in toxicity.evidence(df, model).collect()}
     assert got[0] == [1.0] and got[2] == [toxicity.REPORTED] and got[3] == [toxicity.QUOTED] and got[4] == [1.0]
