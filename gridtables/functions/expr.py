@@ -161,6 +161,11 @@ def glob_pattern(glob: Column) -> Column:
     return F.concat(F.lit("(?is)^"), body, F.lit("$"))
 
 
+def literal_path(path: str) -> str:
+    """A listed path as a pattern that means this file only."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def glob_match(name: Column, glob: Column | str) -> Column:
     pattern = glob_pattern(F.lit(glob) if isinstance(glob, str) else glob)
     return F.regexp_like(name, pattern)

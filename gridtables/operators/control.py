@@ -61,7 +61,10 @@ def start_loads(queue: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def finish_loads(started: DataFrame, loaded: DataFrame, refused: DataFrame) -> DataFrame:
-    """The started rows with their outcome. ``loaded`` and ``refused`` carry ``source_file_id``."""
+    """The started rows with their outcome. ``loaded`` and ``refused`` carry ``source_file_id``; a reject with a line number is a
+    fault of that line and leaves the file loaded."""
+    if "line_no" in refused.columns:
+        refused = refused.filter("line_no IS NULL")
     counts = loaded.groupBy(F.col("source_file_id").alias("id")).agg(F.count("*").alias("_n"))
     bad = refused.select(F.col("source_file_id").alias("id"), F.lit(True).alias("_bad")).distinct()
     done = started.join(counts, "id", "left").join(bad, "id", "left")

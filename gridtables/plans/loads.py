@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.functions.expr import plain_path
+from gridtables.functions.expr import literal_path, plain_path
 from gridtables.operators import control
 from gridtables.operators.merge import append, check_keys, insert_absent, upsert
 from gridtables.session import cut_lineage
@@ -172,7 +172,8 @@ def read_daily(spark: SparkSession, folder: str, feeds: Sequence[str] = DAILY, d
     found = {}
     for feed in feeds:
         glob = FEEDS[feed].glob.format(date=days)
-        present = control.list_files(spark, folder).filter(control.glob_match(F.col("file_name"), glob)).limit(1).count()
-        if present:
-            found[feed] = FEEDS[feed].read(cut_lineage(numbered_lines(spark, folder, pathGlobFilter=glob)))
+        listed = control.list_files(spark, folder).filter(control.glob_match(F.col("file_name"), glob))
+        paths = [literal_path(r.path) for r in listed.select("path").collect()]  # a name per day of the feed
+        if paths:
+            found[feed] = FEEDS[feed].read(cut_lineage(numbered_lines(spark, paths)))
     return found

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from itertools import islice
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from gridtables.functions.expr import literal_path
 from gridtables.operators import control
-from gridtables.plans.loads import dispatch, with_lineage
+from gridtables.plans.loads import HandlerError, dispatch, with_lineage
 from gridtables.session import cut_lineage
 from gridtables.sources.lines import Parsed
 
@@ -26,11 +29,12 @@ def process_queue(
     write: Callable[[Row, Parsed], None],
     max_files: int = 1000,
 ) -> DataFrame:
-    """Loads the next ``max_files`` files of each active job and returns their finished ledger rows.
+    """Loads all waiting files of each active job, ``max_files`` at a time, and returns their finished ledger rows.
 
     Jobs are configuration and run by priority. ``write`` gets the job and its parsed rows and rejects, both with
-    ``source_file_id`` and, for last-row-wins, ``priority``, ``mtime`` and ``size``. A fault of one job, such as bad
-    parameters, fails that job's files and leaves the others alone; a refused file fails by itself.
+    ``source_file_id`` and, for last-row-wins, ``priority``, ``mtime`` and ``size``, once for each set of files that were read
+    together. A fault of one job, such as bad parameters, fails that job's files and leaves the others alone. Any other fault
+    is narrowed down to the files that have it, and these fail alone.
     """
     active = control.active_jobs(jobs).orderBy("priority", "id").collect()
     if not active:
@@ -41,13 +45,33 @@ def process_queue(
     waiting = cut_lineage(queue.join(started.drop("process_status", "records_processed"), ["job_id", "folder", "file_name", "mtime"]))
     done = spark.createDataFrame([], LEDGER)
     for job in active:
-        batch = waiting.filter(F.col("job_id") == job.id).orderBy(*control.QUEUE_ORDER).limit(max_files)
-        paths = [r.path for r in batch.select("path").collect()]
-        if paths:
-            done = done.unionByName(_load(spark, job, batch, paths, write))
+        own = waiting.filter(F.col("job_id") == job.id)
+        # the driver holds one batch of paths at a time
+        rows = own.orderBy(*control.QUEUE_ORDER).select("path").toLocalIterator()
+        while paths := [r.path for r in islice(rows, max_files)]:
+            wanted = spark.createDataFrame([(p,) for p in paths], "path string")
+            done = done.unionByName(_load(spark, job, own.join(wanted, "path", "left_semi"), paths, write))
     return done
 
 
+#: What reading or writing files may raise; a fault of the job's own parameters is not among them.
+FAULTS = (PySparkException, ValueError, LookupError, ArithmeticError, TypeError, Py4JJavaError)
+
+
+def isolated(paths: Sequence[str], attempt: Callable[[Sequence[str]], object]) -> tuple[list[tuple[Sequence[str], object]], dict[str, str]]:
+    """Results of ``attempt`` over sets of paths, and the reasons of the paths that fail alone: a set that fails is halved."""
+    try:
+        return [(paths, attempt(paths))], {}
+    except HandlerError:
+        raise
+    except FAULTS as fault:
+        if len(paths) == 1:
+            return [], {paths[0]: str(fault).splitlines()[0][:300] if str(fault) else type(fault).__name__}
+    half = len(paths) // 2
+    first, second = isolated(paths[:half], attempt), isolated(paths[half:], attempt)
+    return first[0] + second[0], first[1] | second[1]
+
+
 def _load(spark: SparkSession, job: Row, batch: DataFrame, paths: list[str], write: Callable[[Row, Parsed], None]) -> DataFrame:
     started = batch.select(
         "id", "job_id", "file_name", F.col("folder").alias("source_folder"), F.lit("STARTED").alias("process_status"),
@@ -58,11 +82,26 @@ def _load(spark: SparkSession, job: Row, batch: DataFrame, paths: list[str], wri
         """A member of an archive belongs to the archive's entry."""
         return df.withColumn("member", F.col("file")).withColumn("file", F.regexp_replace("file", "!/.*$", ""))
 
-    try:
-        parsed = dispatch(spark, job.handler, paths, job.handler_params)
+    def attempt(some: Sequence[str]) -> Parsed:
+        parsed = dispatch(spark, job.handler, [literal_path(p) for p in some], job.handler_params)
         found = with_lineage(Parsed(plain(parsed.rows), plain(parsed.rejects)), sources)
-        found = Parsed(cut_lineage(found.rows), cut_lineage(found.rejects))
-        write(job, found)
-        return cut_lineage(control.finish_loads(started, found.rows, found.rejects))
-    except (PySparkException, ValueError):
+        return Parsed(cut_lineage(found.rows), cut_lineage(found.rejects))
+
+    try:
+        results, faults = isolated(paths, attempt)
+    except HandlerError:
         return started.withColumn("process_status", F.lit("ERROR"))
+    done = spark.createDataFrame([], LEDGER)
+    files = batch.select("id", "path")
+    for some, found in results:
+        read = spark.createDataFrame([(p,) for p in some], "path string").join(files, "path").select("id")
+        own = started.join(read, "id", "left_semi")
+        try:
+            write(job, found)
+            done = done.unionByName(cut_lineage(control.finish_loads(own, found.rows, found.rejects)))
+        except FAULTS:
+            done = done.unionByName(own.withColumn("process_status", F.lit("ERROR")))
+    if faults:
+        failed = spark.createDataFrame([(p,) for p in faults], "path string").join(files, "path").select("id")
+        done = done.unionByName(started.join(failed, "id", "left_semi").withColumn("process_status", F.lit("ERROR")))
+    return done

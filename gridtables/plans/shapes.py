@@ -55,6 +55,7 @@ def _meter_lines(spark, folder):
         _at(files, 0, "100,NEM12,202403010000,MDA,RET"), _at(files, 1, stream), _at(files, _END, "900"),
         row(days, first, readings), row(ranges, first + 1, F.lit("400,1,20,A,,")), row(ranges, first + 2, F.lit("400,21,48,F14,76,")),
         row(ranges, first + 3, F.lit("500,O,S1,20240301000000,")),
+        row(days.filter("mixed = 0 AND day % 3 = 0"), first + 1, F.lit("400,1,48,A,,")),
     )
 
 
@@ -123,28 +124,43 @@ def positional_table(spark, folder):
 
 @query("snapshot_table", f"""
 WITH o AS (SELECT 'ClosingSnapshot_Futures_20' || strftime(o_orderdate, '%y%m') || '01.csv' AS file, o_orderkey, 'C' || o_custkey AS code, o_totalprice AS price,
-    CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_totalprice END AS high, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE {_MONTH} END AS day,
+    CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_totalprice END AS high, CASE WHEN o_orderstatus = 'P' OR o_orderkey % 11 = 0 THEN NULL ELSE {_MONTH} END AS day,
+    o_orderkey % 11 = 0 AS unread,
     CAST(o_orderdate AS TIMESTAMP) AS traded, CAST('20' || strftime(o_orderdate, '%y-%m') || '-01' AS TIMESTAMP) AS named FROM orders),
 f AS (SELECT file, coalesce(first(day ORDER BY o_orderkey), any_value(named)) AS day FROM o GROUP BY file)
-SELECT o.file, code AS "Code", CAST(coalesce(o.day, f.day) AS TIMESTAMP) AS "Settlement_Date", max(price) AS "Bid_Price", min(high) AS "High_Price",
+SELECT o.file, code AS "Code", CAST(CASE WHEN NOT unread THEN coalesce(o.day, f.day) END AS TIMESTAMP) AS "Settlement_Date", max(price) AS "Bid_Price", min(high) AS "High_Price",
   max(price) AS "Low_Price", max(traded) AS "Trade_Date", max(strftime(traded, '%d:%m')) AS "Trade_Time" FROM o JOIN f USING (file) GROUP BY ALL""")
 def snapshot_table(spark, folder):
-    """Dates in two patterns or missing, and several rows per code, which are resolved to one."""
+    """Dates in two patterns, missing or unreadable, and several rows per code, which are resolved to one."""
+    rows = exchange.read_headed(_snapshot_lines(spark, folder), exchange.HEADED["closing_snapshot_futures"]).rows
+    return rows.select(
+        "file", "Code", F.col("Settlement_Date").cast("timestamp_ntz").alias("Settlement_Date"), "Bid_Price", "High_Price", "Low_Price",
+        F.col("Trade_Date").cast("timestamp_ntz").alias("Trade_Date"), "Trade_Time")
+
+
+@query("snapshot_rejects", """
+SELECT 'ClosingSnapshot_Futures_20' || strftime(o_orderdate, '%y%m') || '01.csv' AS file, o_orderkey + 1 AS line_no,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'no date in Settlement_Date' ELSE 'no number in Bid_Size' END AS reason
+FROM orders WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0""")
+def snapshot_rejects(spark, folder):
+    """Lines whose texts are no date or no number where one belongs."""
+    return exchange.read_headed(_snapshot_lines(spark, folder), exchange.HEADED["closing_snapshot_futures"]).rejects.select("file", "line_no", "reason")
+
+
+def _snapshot_lines(spark, folder):
     date, price = F.col("o_orderdate"), F.col("o_totalprice")
     file = F.concat(F.lit("ClosingSnapshot_Futures_20"), F.date_format(date, "yyMM"), F.lit("01.csv"))
     day = F.when(F.col("o_orderstatus") == "F", F.date_format("month", "yyyy/MM/dd")).when(F.col("o_orderstatus") == "O", F.date_format("month", "d/M/yyyy"))
+    day = F.when(F.col("o_orderkey") % 11 == 0, F.date_format("month", "yyyy-MM-dd")).otherwise(day)
     high = F.when(F.col("o_orderpriority") != "5-LOW", price)
     none = F.lit("")
+    size = F.when(F.col("o_orderkey") % 13 == 0, F.lit("many"))
     row = _joined(
-        F.concat(F.lit("C"), F.col("o_custkey").cast("string")), F.date_format(date, "yyyy/MM/dd"), price, *[none] * 8, high, price, none, day,
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")), F.date_format(date, "yyyy/MM/dd"), price, size, *[none] * 7, high, price, none, day,
         F.date_format(date, "dd/MM/yyyy"), F.date_format(date, "dd:MM"))
     orders = _monthly(spark, folder, "x").withColumn("file", file)
-    lines = _lines(_at(orders.select("file").distinct(), 0, "Code,Expiration"),
-                   orders.select("file", (F.col("o_orderkey") + 1).alias("line_no"), row.alias("line")))
-    rows = exchange.read_headed(lines, exchange.HEADED["closing_snapshot_futures"]).rows
-    return rows.select(
-        "file", "Code", F.col("Settlement_Date").cast("timestamp_ntz").alias("Settlement_Date"), "Bid_Price", "High_Price", "Low_Price",
-        F.col("Trade_Date").cast("timestamp_ntz").alias("Trade_Date"), "Trade_Time")
+    return _lines(_at(orders.select("file").distinct(), 0, "Code,Expiration"),
+                  orders.select("file", (F.col("o_orderkey") + 1).alias("line_no"), row.alias("line")))
 
 
 @query("option_blocks", """
@@ -235,3 +251,32 @@ def topped_and_tailed(spark, folder):
         events.select("file", (F.col("event_id") + 3).alias("line_no"), row.alias("line")), _at(files, _END, "[$]"), _at(files, _END + 1, "tail [$]"))
     rows = delimited.read_delimited(lines, delimited.FEEDS["aws_weather"]).rows
     return rows.select("file", "id_num", "name", "date_time", F.col("air_temp").try_cast("double").alias("air_temp"))
+
+
+def _mixed_lines(spark, folder):
+    """A user's events as a file, under one of two headings; some users' files hold a row that is too long."""
+    events = table(spark, folder, "events").withColumn("file", F.concat(F.lit("m"), F.col("user_id").cast("string")))
+    swapped = F.col("user_id") % 2 == 1
+    head = F.when(swapped, "id,note,value").otherwise("id,kind")
+    long = (F.col("user_id") % 5 == 0) & (F.col("event_type") == "error")
+    row = F.when(swapped, _joined(F.col("event_id"), F.col("event_type"), F.col("value"))).otherwise(_joined(F.col("event_id"), F.col("event_type")))
+    row = F.when(long, F.concat(row, F.lit(",one,two"))).otherwise(row)
+    return _lines(_at(events.select("file", "user_id").distinct(), 0, head), events.select("file", (F.col("event_id") + 1).alias("line_no"), row.alias("line")))
+
+
+_TOO_LONG = "user_id % 5 = 0 AND user_id IN (SELECT user_id FROM events WHERE event_type = 'error')"
+
+
+@query("mixed_headings", f"""
+SELECT 'm' || user_id AS file, CAST(event_id AS VARCHAR) AS id, CASE WHEN user_id % 2 = 0 THEN event_type END AS kind,
+  CASE WHEN user_id % 2 = 1 THEN event_type END AS note, CASE WHEN user_id % 2 = 1 THEN value END AS value FROM events WHERE NOT ({_TOO_LONG})""")
+def mixed_headings(spark, folder):
+    """Files of two headings in one read, each by its own; a file with a row that is too long is refused."""
+    rows = delimited.read_delimited(_mixed_lines(spark, folder), delimited.Delimited()).rows
+    return rows.select("file", "id", "kind", "note", F.col("value").try_cast("double").alias("value"))
+
+
+@query("mixed_headings_rejects", f"""
+SELECT DISTINCT 'm' || user_id AS file, 'a row with more cells than the heading' AS reason FROM events WHERE {_TOO_LONG}""")
+def mixed_headings_rejects(spark, folder):
+    return delimited.read_delimited(_mixed_lines(spark, folder), delimited.Delimited()).rejects

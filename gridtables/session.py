@@ -36,8 +36,8 @@ def session(app: str = "gridtables", master: str | None = None, **settings: str)
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where that is unset, a local session gets a temporary folder of its own; on a cluster, where such a
-    folder would be lost with its machine, the plan is returned uncut.
+    Where that is unset, a local session gets a temporary folder of its own; a cluster, where such a folder would be lost
+    with its machine, must name one.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -46,6 +46,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         if not folder and context.master.startswith("local"):
             folder = tempfile.mkdtemp(prefix="gridtables-")
         if not folder:
-            return df
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtables.functions.expr import heading, null_tokens, strip
-from gridtables.sources.lines import Parsed, parse_delimited, payload_between, scan_file
+from gridtables.session import cut_lineage
+from gridtables.sources.lines import Parsed, parse_delimited, payload_between, refused, scan_file
 from gridtables.operators import positional
 
 
@@ -62,20 +63,19 @@ _MONTH_FIRST = tuple((rf"\d{{1,2}}{s}\d{{1,2}}{s}\d{{4}}{shape}", f"M{s}d{s}yyyy
 
 
 class HeadingError(ValueError):
-    """The files of one read do not share one heading."""
+    """A heading that no table can be read with."""
 
 
-def headings(lines: DataFrame, header_lines: Sequence[int] = (0,), sep: str = ",") -> list[str]:
-    """Normalised column names from the heading rows, which all files of the read must share.
-
-    Only the distinct headings reach the driver, and only two of them.
-    """
+def heading_texts(lines: DataFrame, header_lines: Sequence[int] = (0,)) -> DataFrame:
+    """(file, texts): the heading rows of each file."""
     rows = lines.filter(F.col("line_no").isin(*header_lines))
     per_file = rows.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("rows"))
-    variants = per_file.select(F.col("rows.line").alias("texts")).distinct().take(2)
-    if len(variants) != 1:
-        raise HeadingError("no heading found" if not variants else "files with different headings in one read")
-    levels = list(csv.reader(variants[0].texts, delimiter=sep, skipinitialspace=True))
+    return per_file.select("file", F.col("rows.line").alias("texts"))
+
+
+def column_names(texts: Sequence[str], sep: str = ",") -> list[str]:
+    """Normalised column names from the heading rows of a file."""
+    levels = list(csv.reader(texts, delimiter=sep, skipinitialspace=True))
     names = []
     for i in range(max(len(level) for level in levels)):
         parts = [level[i] if i < len(level) else "" for level in levels]
@@ -84,6 +84,14 @@ def headings(lines: DataFrame, header_lines: Sequence[int] = (0,), sep: str = ",
     return names
 
 
+def headings(lines: DataFrame, header_lines: Sequence[int] = (0,), sep: str = ",") -> list[str]:
+    """Column names of files that share one heading."""
+    variants = heading_texts(lines, header_lines).select("texts").distinct().take(2)
+    if len(variants) != 1:
+        raise HeadingError("no heading found" if not variants else "files with different headings in one read")
+    return column_names(variants[0].texts, sep)
+
+
 def _moment(text: Column, day_first: bool) -> Column:
     """A text is parsed only by the patterns of its shape; ambiguous dates follow ``day_first`` where they can."""
     either = _DAY_FIRST + _MONTH_FIRST if day_first else _MONTH_FIRST + _DAY_FIRST
@@ -92,7 +100,12 @@ def _moment(text: Column, day_first: bool) -> Column:
 
 
 def read_delimited(lines: DataFrame, spec: Delimited, names: Sequence[str] | None = None) -> Parsed:
-    """Data rows of headed files. Files of one read share a heading unless ``names`` fixes the columns."""
+    """Data rows of headed files, each by its own heading unless ``names`` fixes the columns.
+
+    Files of one heading are read together and the tables united by column name; the distinct headings reach the driver. A file
+    whose heading lacks a column that the feed dates are made of, or that holds a row with more cells than its heading, is
+    refused with the reason.
+    """
     if spec.top is None and spec.tail is None:
         payload, rejects = lines, lines.select("file", F.lit("").alias("reason")).filter(F.lit(False))
     else:
@@ -101,13 +114,40 @@ def read_delimited(lines: DataFrame, spec: Delimited, names: Sequence[str] | Non
         payload = payload.filter(F.col("line_no") >= spec.skip_rows).withColumn(
             "line_no", F.col("line_no") - spec.skip_rows
         )
-    if names is None:
-        names = headings(payload, spec.header_lines, spec.sep)
+    if names is not None:
+        rows, more = _read_group(payload, spec, list(names))
+        return Parsed(rows, rejects.unionByName(more))
+    texts = cut_lineage(heading_texts(payload, spec.header_lines))
+    tables: list[DataFrame] = []
+    needed = max((i for d in spec.dates for i in ([d] if isinstance(d, int) else d)), default=-1)
+    for variant in texts.select("texts").distinct().collect():
+        files = texts.filter(F.col("texts") == F.array(*map(F.lit, variant.texts))).select("file")
+        columns = column_names(variant.texts, spec.sep)
+        if needed >= len(columns) or len(set(columns)) < len(columns):
+            reason = "too few columns" if needed >= len(columns) else "a column name stands twice"
+            rejects = rejects.unionByName(files.withColumn("reason", F.lit(reason)))
+            continue
+        rows, more = _read_group(payload.join(files, "file", "left_semi"), spec, columns)
+        tables.append(rows)
+        rejects = rejects.unionByName(more)
+    if not tables:
+        return Parsed(payload.select("file", "line_no").filter(F.lit(False)), rejects)
+    united = tables[0]
+    for t in tables[1:]:
+        united = united.unionByName(t, allowMissingColumns=True)
+    return Parsed(united, rejects)
+
+
+def _read_group(payload: DataFrame, spec: Delimited, names: list[str]) -> Parsed:
+    """Files of one heading."""
     data = payload.filter((F.col("line_no") > max(spec.header_lines)) & (strip(F.col("line")) != ""))
     if spec.skip_footer:
         ends = scan_file(data, _rows=positional.whole_sum(F.lit(1).cast("long")), _row=positional.running(F.lit(1).cast("long")))
         data = ends.filter(F.col("_row") <= F.col("_rows") - spec.skip_footer).drop("_rows", "_row")
-    table = parse_delimited(data, names, spec.sep, spec.skip_initial_space)
+    table = parse_delimited(data, [*names, "_extra"], spec.sep, spec.skip_initial_space)
+    over = strip(F.col("_extra")) != ""
+    rejects = refused(table.filter(over), "a row with more cells than the heading")
+    table = table.join(rejects.select("file"), "file", "left_anti").drop("_extra")
     if spec.na_values:
         table = table.withColumns({n: null_tokens(strip(F.col(n)), spec.na_values) for n in names})
 

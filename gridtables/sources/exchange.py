@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtables.functions.expr import (
-    compact_filename_date, dash_to_zero, date_and_time, mixed_date, money, parse_date, strip, text_to_timestamp,
+    compact_filename_date, dash_to_zero, date_and_time, date_lost, mixed_date, money, parse_date, strip, text_to_timestamp,
     time_separators, truncate_code,
 )
 from gridtables.operators import positional, quality
@@ -143,10 +143,23 @@ HEADED = {
 
 
 def read_headed(lines: DataFrame, spec: Headed) -> Parsed:
-    """Snapshot, report and trade files; blanks become null and dates may come in two patterns."""
+    """Snapshot, report and trade files; blanks become null and dates may come in two patterns.
+
+    A text that is no date or number where one belongs becomes null, and its line is among the rejects, with its number;
+    only blanks are filled. Rejects without a line number refuse their file.
+    """
     body = lines.filter((F.col("line_no") >= 1) & (strip(F.col("line")) != ""))
     raw = parse_delimited(body, spec.columns)
-    table = raw.withColumns({c: mixed_date(F.col(c)) for c in spec.dates})
+    numbers = [c for c in spec.columns if c not in spec.dates and c not in spec.texts]
+    given = {c: F.when(strip(F.col(c)) != "", strip(F.col(c))) for c in (*spec.dates, *numbers)}
+    lost = [F.when(date_lost(given[c], mixed_date(F.col(c))), F.lit(f"no date in {c}")) for c in spec.dates]
+    lost += [F.when(date_lost(given[c], given[c].try_cast("double")), F.lit(f"no number in {c}")) for c in numbers]
+    judged = raw.withColumn("_lost", F.coalesce(*lost))
+    faults = judged.filter("_lost IS NOT NULL").select("file", "line_no", F.col("_lost").alias("reason"))
+    table = judged.drop("_lost")
+    if spec.fill_date:
+        table = table.withColumn("_unread", date_lost(given[spec.fill_date], mixed_date(F.col(spec.fill_date))))
+    table = table.withColumns({c: mixed_date(F.col(c)) for c in spec.dates})
     if spec.truncate:
         table = table.withColumn(spec.truncate, truncate_code(F.col(spec.truncate)))
     if spec.time:
@@ -159,10 +172,11 @@ def read_headed(lines: DataFrame, spec: Headed) -> Parsed:
         default = compact_filename_date(F.col("file"))
         table = quality.fill_from_first(table, spec.fill_date, ["file"], "line_no", default)
         rejects = refused(table.filter(F.col(spec.fill_date).isNull()), f"no {spec.fill_date} in the rows or the file name")
+        table = table.withColumn(spec.fill_date, F.when(~F.col("_unread"), F.col(spec.fill_date))).drop("_unread")
         table = table.join(rejects.select("file"), "file", "left_anti")
     if spec.unique:
         table = quality.resolve(table.drop("chunk"), ["file", *spec.unique], {**spec.rules, "line_no": "min"})
-    return Parsed(table.drop("chunk"), rejects)
+    return Parsed(table.drop("chunk"), rejects.withColumn("line_no", F.lit(None).cast("long")).unionByName(faults))
 
 
 # --- rate card ------------------------------------------------------------------------------------

@@ -293,9 +293,9 @@ def long_intervals(readings: DataFrame) -> DataFrame:
 
 
 def with_quality(long: DataFrame, quality: DataFrame) -> DataFrame:
-    """Interval rows with the quality range that covers them."""
+    """Interval rows with the quality ranges that cover them; a range said twice, by the day and by its own record, counts once."""
     held = quality.select("file", F.col("reading_line").alias("line_no"), "StartInterval", "EndInterval", "QualityMethod",
-                          "ReasonCode", "ReasonDescription")
+                          "ReasonCode", "ReasonDescription").distinct()
     return ranges.range_join(long, held, ["file", "line_no"], "interval", "StartInterval", "EndInterval", width=MINUTES)
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from gridtables.operators.merge import check_keys, upsert
+from gridtables.operators.merge import any_null, check_keys, same_key, tagged, upsert
 from gridtables.session import cut_lineage
 
 
@@ -41,24 +43,44 @@ def write_version(df: DataFrame, root: str, version: int | None = None) -> int:
     return version
 
 
+def read_partitioned(spark: SparkSession, root: str, partitions: StructType) -> DataFrame:
+    """A partitioned table with every column any of its files has; partition values keep their declared type (``01`` stays text)."""
+    stored = spark.read.option("mergeSchema", "true").parquet(root).schema
+    declared = {f.name: f for f in partitions}
+    return spark.read.schema(StructType([declared.get(f.name, f) for f in stored])).parquet(root)
+
+
 def upsert_partitions(
     spark: SparkSession, root: str, source: DataFrame, keys: Sequence[str], partitions: Sequence[str],
-    order: Sequence[str] = (),
+    order: Sequence[str] = (), null_safe: bool = False, batch: int | None = None,
 ) -> None:
     """Upsert into a partitioned table, reading and rewriting only the partitions the source touches.
 
-    The partition columns must be keys, so a row never changes its partition. The merged rows are stored
-    before the old files are replaced, which needs ``spark.checkpoint.dir``.
+    The partition columns must be keys, so a row never changes its partition; a null is a partition like any other. The merged
+    rows are stored before the old files are replaced. With ``batch`` every stored row carries the batch that wrote it, and
+    rows with a null key, which no upsert can match, are not added again when a batch is repeated.
     """
     check_keys(source.select(*keys), partitions)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        raise ValueError("spark.checkpoint.dir must be set to replace partitions in place")
     fs, path = _file_system(spark, root)
+    if batch is not None:
+        source = source.withColumn("batch_id", F.lit(batch).cast("long"))
     written = [c for c in source.columns if c not in order]
     if fs.exists(path):
-        touched = source.select(*partitions).distinct()
-        old = spark.read.parquet(root).join(touched, list(partitions), "left_semi")
+        declared = StructType([source.schema[p] for p in partitions])
+        touched = tagged(source.select(*partitions).distinct())
+        old = read_partitioned(spark, root, declared).join(touched, same_key(partitions, null_safe=True), "left_semi")
+        if batch is not None and not null_safe:
+            old = old.filter(~(any_null(keys) & (F.col("batch_id") == batch)) | F.col("batch_id").isNull())
     else:
         old = spark.createDataFrame([], source.select(*written).schema)
-    merged = cut_lineage(upsert(old, source, keys, order))
+    merged = cut_lineage(upsert(old, source, keys, order, null_safe))
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(root)
+
+
+def append_batch(df: DataFrame, root: str, batch: int) -> None:
+    """Adds one batch's files to an append-only table; earlier files stay as they are and a repeated batch replaces itself."""
+    df.write.mode("overwrite").parquet(f"{root}/batch_id={batch}")
+
+
+def read_appended(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.option("mergeSchema", "true").parquet(root)

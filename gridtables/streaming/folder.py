@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridtables.functions.expr import plain_path
+from gridtables.functions.expr import literal_path, plain_path
 from gridtables.plans.loads import dispatch, store
-from gridtables.sources.tables import finished_versions, read_latest, upsert_partitions, write_version
+from gridtables.plans.run import isolated
+from gridtables.session import cut_lineage
+from gridtables.sources.lines import Parsed
+from gridtables.sources.tables import append_batch, finished_versions, read_latest, upsert_partitions, write_version
 
 _FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -31,11 +35,11 @@ def load_folder(
 ) -> StreamingQuery:
     """Loads each new file of ``folder`` once into the Parquet table under ``root``.
 
-    The stream only lists files (their contents are not read by it); a batch hands its paths, at most
-    ``max_files``, to the handler. Batch ``n`` writes table version ``n + 1``, so a batch that is repeated
-    after a failure is not applied twice, whatever the kind of write. With ``partitions`` (key columns) the
-    table is not versioned: a batch rewrites only the partitions it touches, the way for large tables; repeating
-    such an upsert gives the same rows. A file rewritten under an old name is not seen again: such
+    The stream only lists files (their contents are not read by it); a batch hands its paths to the handler, ``max_files`` being the
+    size of a batch and not of the load. Batch ``n`` writes table version ``n + 1``, so a batch that is repeated after a failure
+    is not applied twice. Without keys a batch only adds its own files, see ``tables.read_appended``. With ``partitions`` (key
+    columns) a batch rewrites only the partitions it touches, the way for large tables; repeating such an upsert gives the
+    same rows. Files that cannot be read fail alone. A file rewritten under an old name is not seen again: such
     feeds are loaded from the queue and ledger instead. Refused files go to ``root.rejects``. Default
     trigger: everything there is, then stop.
     """
@@ -52,13 +56,27 @@ def load_folder(
         paths = [r.path for r in batch.select("path").collect()]
         if not paths:
             return
-        rows, rejects = dispatch(session, handler, paths, params)
-        rejects.withColumn("batch", F.lit(epoch)).write.mode("overwrite").parquet(f"{root}.rejects/batch={epoch}")
-        order = ("mtime", "size", "file", "line_no") if keys else ()
-        if keys:
-            rows = rows.join(queue_order(session, paths), "file", "left")
+
+        def attempt(some: Sequence[str]) -> Parsed:
+            found = dispatch(session, handler, [literal_path(p) for p in some], params)
+            return Parsed(cut_lineage(found.rows), cut_lineage(found.rejects.select("file", "reason")))
+
+        results, faults = isolated([plain(p) for p in paths], attempt)
+        rejects = session.createDataFrame([*faults.items()], "file string, reason string")
+        rows = None
+        for _, found in results:
+            rejects = rejects.unionByName(found.rejects)
+            rows = found.rows if rows is None else rows.unionByName(found.rows, allowMissingColumns=True)
+        rejects.write.mode("overwrite").parquet(f"{root}.rejects/batch={epoch}")
+        if rows is None or not set(keys) <= set(rows.columns):
+            return
+        if not keys and not partitions:
+            append_batch(rows, root, epoch)
+            return
+        order = ("mtime", "size", "file", "line_no")
+        rows = rows.join(queue_order(session, paths), "file", "left")
         if partitions:
-            upsert_partitions(session, root, rows.drop("member"), keys, partitions, order)
+            upsert_partitions(session, root, rows.drop("member"), keys, partitions, order, null_safe, epoch)
             return
         old = read_latest(session, root)
         if old is None:
@@ -71,9 +89,14 @@ def load_folder(
     )
 
 
+def plain(uri: str) -> str:
+    """A local listing's URI as a path; other stores keep theirs."""
+    return re.sub("^file:/+", "/", uri)
+
+
 def queue_order(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Modification time and size of the batch's files: later files overwrite earlier ones."""
-    listed = spark.read.format("binaryFile").load(list(paths))
+    listed = spark.read.format("binaryFile").load([literal_path(plain(p)) for p in paths])
     return listed.select(
         plain_path(F.col("path")).alias("file"), F.col("modificationTime").alias("mtime"), F.col("length").alias("size")
     )

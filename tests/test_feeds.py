@@ -60,9 +60,14 @@ def test_multi_row_heading_and_footer(spark, write):
     assert values(rows, "date", "rain_total_mm") == [(datetime(2013, 4, 1), "0.5"), (datetime(2013, 4, 13), "1.5")]
 
 
-def test_files_of_one_read_share_a_heading(spark, write):
+def test_each_file_is_read_by_its_own_heading(spark, write):
+    folder = write({"a.csv": "x,y\n1,2", "b.csv": "x,z\n3,4", "c.csv": "x,y\n5,6,7", "d.csv": "x,x\n1,2"})
+    rows, rejects = delimited.read_delimited(lines(spark, folder), delimited.Delimited())
+    assert sorted((r.x, r.y, r.z) for r in rows.collect()) == [("1", "2", None), ("3", None, "4")]
+    assert sorted((r.file.rsplit("/", 1)[1], r.reason) for r in rejects.collect()) == [
+        ("c.csv", "a row with more cells than the heading"), ("d.csv", "a column name stands twice")]
     with pytest.raises(delimited.HeadingError):
-        delimited.read_delimited(lines(spark, write({"a.csv": "x,y\n1,2", "b.csv": "x,z\n1,2"})), delimited.Delimited())
+        delimited.headings(lines(spark, folder))
 
 
 def test_positional_table(spark, write):

@@ -308,3 +308,17 @@ def test_links_and_listings(spark):
 def test_parameters(spark):
     df = spark.createDataFrame([('{"a": "1", "b": 2}',), ("{'a'",), (None,)], "p string")
     assert [r[0] for r in df.select(control.job_parameters(F.col("p"))).collect()] == [{"a": "1", "b": "2"}, {}, {}]
+
+
+def test_range_join_of_ranges_of_any_length(spark):
+    from gridtables.operators.ranges import range_join
+
+    points = spark.createDataFrame([(1, p) for p in (0, 5, 16, 17, 300, 10**6, 2 * 10**9)] + [(2, 5), (None, 5)], "k int, p long")
+    spans = [(1, 3, 17, "a"), (1, 0, 10**9, "b"), (1, 250, 400, "c"), (1, 9, 3, "never"), (2, 6, 7, "d"), (1, 10**6, 10**6 + 5000, "e")]
+    ranges = spark.createDataFrame(spans, "k int, s long, e long, name string")
+    got = sorted(((r.k, r.p, r.name) for r in range_join(points, ranges, ["k"], "p", "s", "e").collect()), key=repr)
+    want = []
+    for k, p in [(r.k, r.p) for r in points.collect()]:
+        names = [n for key, s, e, n in spans if key == k and s <= p <= e] or [None]
+        want += [(k, p, n) for n in names]
+    assert got == sorted(want, key=repr)

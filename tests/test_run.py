@@ -33,3 +33,56 @@ def test_queue_is_processed_by_job(spark, tmp_path):
     assert sorted(map(tuple, loads.added_at(table, "2020-01-01").select("k", "v", F.col("added_dttm").cast("string")).collect())) == [
         ("1", "x", "2020-01-01 00:00:00"), ("2", "y", "2020-01-01 00:00:00")]
     assert process_queue(spark, jobs, ledger, write).count() == 0
+
+
+JOBS = "id int, source_folder string, priority int, filename_pattern string, handler string, handler_params string, active_flag int"
+
+
+def run(spark, jobs, **options):
+    stored = {}
+
+    def write(job, parsed):
+        stored.setdefault(job.id, []).extend(r.asDict() for r in parsed.rows.collect())
+
+    ledger = process_queue(spark, spark.createDataFrame(jobs, JOBS), spark.createDataFrame([], LEDGER), write, **options)
+    return {r.file_name: (r.process_status, r.records_processed) for r in ledger.collect()}, stored
+
+
+def test_files_with_faults_fail_alone(spark, tmp_path):
+    for folder in ("csv", "zip", "profile"):
+        (tmp_path / folder).mkdir()
+    (tmp_path / "csv" / "one.csv").write_text("k,v\n1,x")
+    (tmp_path / "csv" / "other.csv").write_text("k,w\n2,y")
+    (tmp_path / "csv" / "extra.csv").write_text("k,v\n1,x,extra")
+    (tmp_path / "csv" / "a [1].csv").write_text("k,v\n3,z")
+    (tmp_path / "profile" / "narrow.csv").write_text("<CSVData>\na,b\n1,2\n</CSVData>")
+    (tmp_path / "profile" / "good.csv").write_text("<CSVData>\nProfileName,ProfileArea,SettlementDate,CreationDT\nP,A,2014/01/02,2014/01/03 04:05:06\n</CSVData>")
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "zip" / "good.zip", "w") as archive:
+        archive.writestr("m.csv", "k,v\n5,q")
+    (tmp_path / "zip" / "broken.zip").write_bytes(b"PK not really")
+    got, stored = run(spark, [
+        (1, f"{tmp_path}/csv", 1, "*.csv", "delimited", "{}", 1), (2, f"{tmp_path}/zip", 2, "*.zip", "delimited", '{"archived": true}', 1),
+        (3, f"{tmp_path}/profile", 3, "*.csv", "delimited", '{"feed": "load_profile"}', 1)])
+    assert got == {
+        "one.csv": ("SUCCESS", 1), "other.csv": ("SUCCESS", 1), "extra.csv": ("ERROR", 0), "a [1].csv": ("SUCCESS", 1), "good.zip": ("SUCCESS", 1),
+        "broken.zip": ("ERROR", 0), "narrow.csv": ("ERROR", 0), "good.csv": ("SUCCESS", 1)}
+    assert sorted((r["k"], r.get("v"), r.get("w")) for r in stored[1]) == [("1", "x", None), ("2", None, "y"), ("3", "z", None)]
+    assert [(r["k"], r["v"]) for r in stored[2]] == [("5", "q")] and [r["profilename"] for r in stored[3]] == ["P"]
+
+
+def test_the_queue_is_drained(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"{i}.csv").write_text(f"k\n{i}")
+    got, stored = run(spark, [(1, str(tmp_path), 1, "*.csv", "delimited", "{}", 1)], max_files=2)
+    assert got == {f"{i}.csv": ("SUCCESS", 1) for i in range(5)} and sorted(r["k"] for r in stored[1]) == list("01234")
+
+
+def test_daily_files_are_found_whatever_their_case(spark, tmp_path):
+    head = "title" + "\t" * 11 + "04 Sep 2002\nNSW\n"
+    row = "Q1\t1" + "\t" * 10 + "\n"
+    (tmp_path / "Settlement_Caps_20020903.txt").write_text(head + row)
+    (tmp_path / "settlement_caps_20020904.txt").write_text(head + row)
+    found = loads.read_daily(spark, str(tmp_path), ["settlement_caps"])
+    assert found["settlement_caps"].rows.select("file").distinct().count() == 2

@@ -1,6 +1,6 @@
 import os
 
-from gridtables.sources.tables import finished_versions, read_latest
+from gridtables.sources.tables import finished_versions, read_appended, read_latest
 from gridtables.streaming.folder import load_folder
 
 
@@ -45,3 +45,23 @@ def test_partitioned_folder_load(spark, tmp_path):
     with open(os.path.join(folder, "b.csv"), "w") as f:
         f.write("day,k,v\ntue,1,c\ntue,2,d\n")
     assert run() == [("mon", "1", "a"), ("tue", "1", "c"), ("tue", "2", "d")]
+
+
+def test_a_bad_file_does_not_stop_the_stream(spark, tmp_path):
+    folder, root, checkpoint = (str(tmp_path / n) for n in ("in", "table", "checkpoint"))
+    os.mkdir(folder)
+
+    def put(name, text):
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(text)
+
+    def run():
+        load_folder(spark, folder, "delimited", root, checkpoint, params={"dates": [1]}, glob="*.csv").awaitTermination()
+        return sorted(r.k for r in read_appended(spark, root).collect())
+
+    put("narrow.csv", "k\n1")
+    put("a [1].csv", "k,day\n2,2014/01/02")
+    assert run() == ["2"]
+    put("more.csv", "k,day\n3,2014/01/02")
+    assert run() == ["2", "3"]
+    assert [r.reason for r in spark.read.parquet(f"{root}.rejects").collect()] == ["too few columns"]
