@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtables.operators.ids import assign_ids, max_id
-from gridtables.session import cut_lineage
+from gridtables.session import cut_lineage, staged
 
 
 class KeyColumnError(ValueError):
@@ -100,7 +100,7 @@ def upsert(
     check_keys(target, keys)
 
     usable = source if null_safe else source.filter(~any_null(keys))
-    latest = pick_per_key(usable, keys, order).select(*written)
+    latest = staged(pick_per_key(usable, keys, order).select(*written))  # last rows are picked once for updates and inserts
     inserts = absent(latest, target, keys, null_safe)
     if not null_safe:
         inserts = inserts.unionByName(source.filter(any_null(keys)).select(*written))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from gridtables.operators.ids import assign_ids, assign_ids_to_copies
 from gridtables.operators.merge import absent, any_null, check_keys, same_key, tagged
-from gridtables.session import cut_lineage
+from gridtables.session import staged
 
 ID, FROM, TO = "id", "active_from", "active_to"
 
@@ -88,8 +88,8 @@ def merge(
     * ``point_in_time``: the replaced or removed values stay as a closed version with a new id.
 
     Data columns are compared null-safely, keys plainly (a null key never matches). A repeated source
-    key makes the job fail. The change set, which is small beside the table and feeds every output, is
-    stored once (see ``session.cut_lineage``).
+    key makes the job fail. A data column that only the source has is added. The joined rows feed every output and are
+    stored once (see ``session.staged``).
     """
     check_keys(source, keys)
     if not keys:
@@ -98,7 +98,9 @@ def merge(
     data = [c for c in columns if c not in keys]
     at, late = instant(now), instant(OPEN_END)
 
-    held = target.select(ID, *columns, FROM, TO)
+    # a column that the source has gained is null in every stored row
+    gained = {c: F.lit(None).cast(source.schema[c].dataType) for c in data if c not in target.columns}
+    held = target.withColumns(gained).select(ID, *columns, FROM, TO)
     history = held.filter(F.col(TO) != late)
     current = held.filter(F.col(TO) == late)
     cur = current.filter(~any_null(keys)).withColumn("_held", F.lit(True))
@@ -122,8 +124,9 @@ def merge(
         FROM,
         TO,
     )
+    sides = staged(sides, "merge_action")  # the join runs once; its outputs read what is theirs
     kept = sides.filter("merge_action = 'KEEP'").select(ID, *columns, FROM, TO)
-    moved = cut_lineage(sides.filter("merge_action <> 'KEEP'"))
+    moved = sides.filter("merge_action <> 'KEEP'")
     if not resurrect:
         fresh = absent(moved.filter("merge_action = 'INSERT'"), history, keys, null_safe=False)
         moved = fresh.unionByName(moved.filter("merge_action <> 'INSERT'"))
@@ -151,6 +154,7 @@ def merge(
     top = held.agg(F.coalesce(F.max(ID), F.lit(0))).first()[0]
     loose_rows = loose.count()
     added = assign_ids(starting, keys, ID, F.lit(top + loose_rows), lead="_kind").select(ID, *columns, FROM, TO)
+    added = staged(added)
     if loose_rows:
         added = added.unionByName(assign_ids_to_copies(loose, ID, F.lit(top)).select(ID, *columns, FROM, TO))
     open_rows = added.filter(F.col(TO) == late)

@@ -20,7 +20,10 @@ def read(spark: SparkSession, root: str) -> DataFrame | None:
         return None
     table = spark.read.parquet(f"{root}/current/version={done[-1]}")
     past = [f"{root}/history/version={v}" for v in finished_versions(spark, f"{root}/history") if v <= done[-1]]
-    return table.unionByName(spark.read.parquet(*past)) if past else table
+    if not past:
+        return table
+    # a column that came later is null in older versions
+    return table.unionByName(spark.read.option("mergeSchema", "true").parquet(*past), allowMissingColumns=True)
 
 
 def synchronise(

@@ -7,6 +7,7 @@ adaptive execution split skewed join sides and keep partitions small enough to s
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,10 +43,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="gridtables-")
-        if not folder:
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(_shared_folder(spark))
     return df.checkpoint()
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="gridtables-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if not folder:
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    return folder
+
+
+def staged(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Like ``cut_lineage``, as a Parquet table: each reader takes only its columns and partitions. The folder's owner removes it."""
+    spark = df.sparkSession
+    folder = f"{_shared_folder(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -1,5 +1,8 @@
 """Partitioned upserts that load twice."""
 
+from datetime import datetime
+
+from gridtables.plans import versioned
 from gridtables.sources.tables import append_batch, read_appended, read_partitioned, upsert_partitions
 
 SCHEMA = "day string, k int, v string"
@@ -47,3 +50,15 @@ def test_appended_batches_leave_earlier_files_alone(spark, tmp_path):
     append_batch(spark.createDataFrame([(2, "n")], "k int, w string"), root, 1)
     assert sorted(p.name for p in (tmp_path / "t" / "batch_id=0").glob("part-*")) == before
     assert sorted((r.k, r.w) for r in read_appended(spark, root).collect()) == [(1, None), (2, "n")]
+
+
+def test_a_versioned_table_takes_a_new_column(spark, tmp_path):
+    root = str(tmp_path / "v")
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    second = spark.createDataFrame([(1, "a", None), (2, "c", "n"), (3, "d", "m")], "k int, v string, w string")
+    assert versioned.synchronise(spark, root, first, ["k"], datetime(2020, 1, 1)).first().process_status == "SUCCESS"
+    for day in (2, 3):
+        assert versioned.synchronise(spark, root, second, ["k"], datetime(2020, 1, day)).first().process_status == "SUCCESS"
+    late = datetime(9999, 1, 1)
+    got = sorted((r.k, r.v, r.w or "", r.active_to < late) for r in versioned.read(spark, root).collect())
+    assert got == [(1, "a", "", False), (2, "b", "", True), (2, "c", "n", False), (3, "d", "m", False)]
