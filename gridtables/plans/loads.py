@@ -130,16 +130,46 @@ HANDLERS: dict[str, Callable[..., Parsed]] = {
 }
 
 
-def dispatch(spark: SparkSession, handler: str, paths: Paths, params: str | Mapping[str, object] | None = None) -> Parsed:
-    """All files of a job through its handler. Bad parameters fail this job only."""
-    if handler not in HANDLERS:
-        raise HandlerError(f"unknown handler {handler!r}")
+@dataclass(frozen=True)
+class Target:
+    """Where a job's rows go: table, business keys, and ``upsert``, ``insert`` (absent keys only) or ``append``."""
+
+    table: str | None = None
+    keys: tuple[str, ...] = ()
+    mode: str = "upsert"
+
+
+def parameters(handler: str, params: str | Mapping[str, object] | None) -> tuple[Target, dict[str, object]]:
+    """A job's target and what is left for its handler. Feeds known by name have a table and keys of their own."""
     if isinstance(params, str):
         try:
             params = json.loads(params)
         except json.JSONDecodeError as fault:
             raise HandlerError(f"parameters are no JSON object: {fault}") from fault
-    params = dict(params or {})
+    if params is not None and not isinstance(params, Mapping):
+        raise HandlerError("parameters are no JSON object")
+    rest = dict(params or {})
+    feed = rest.get("feed")
+    if handler == "delimited" and feed in delimited.FEEDS:
+        known = Target(feed, delimited.KEYS[feed])
+    elif handler == "forecast":
+        known = Target("forecast", forecast.KEYS)
+    elif handler in ("exchange", "rate_card") and (feed or handler) in FEEDS:
+        known = Target(FEEDS[feed or handler].table)
+    else:
+        known = Target()
+    keys = rest.pop("key_fields", known.keys)
+    target = Target(rest.pop("table", known.table), tuple([keys] if isinstance(keys, str) else keys), rest.pop("mode", "upsert"))
+    if target.mode not in ("upsert", "insert", "append"):
+        raise HandlerError(f"unknown mode {target.mode!r}")
+    return target, rest
+
+
+def dispatch(spark: SparkSession, handler: str, paths: Paths, params: str | Mapping[str, object] | None = None) -> Parsed:
+    """All files of a job through its handler. Bad parameters fail this job only."""
+    if handler not in HANDLERS:
+        raise HandlerError(f"unknown handler {handler!r}")
+    _, params = parameters(handler, params)
     try:
         return HANDLERS[handler](spark, paths, **params)
     except TypeError as fault:

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from gridtables.functions.expr import literal_path
 from gridtables.operators import control
-from gridtables.plans.loads import HandlerError, dispatch, with_lineage
+from gridtables.operators.merge import check_keys
+from gridtables.plans.loads import HandlerError, dispatch, parameters, store, with_lineage
 from gridtables.session import cut_lineage
 from gridtables.sources.lines import Parsed
+from gridtables.sources.tables import append_batch, read_latest, write_version
 
 LEDGER = (
     "id long, job_id int, file_name string, source_folder string, process_status string, records_processed long,"
@@ -105,3 +107,31 @@ def _load(spark: SparkSession, job: Row, batch: DataFrame, paths: list[str], wri
         failed = spark.createDataFrame([(p,) for p in faults], "path string").join(files, "path").select("id")
         done = done.unionByName(started.join(failed, "id", "left_semi").withColumn("process_status", F.lit("ERROR")))
     return done
+
+
+def storing(spark: SparkSession, root: str) -> Callable[[Row, Parsed], None]:
+    """A ``write`` that puts a job's rows into the table its parameters name, below ``root``.
+
+    A keyed load writes a new version of its table: later files overwrite earlier ones, by priority, time, size and line. A load
+    without keys only adds files. Rows keep ``source_file_id``.
+    """
+
+    def write(job: Row, found: Parsed) -> None:
+        target, _ = parameters(job.handler, job.handler_params)
+        if not target.table:
+            raise HandlerError("the job names no table")
+        rows = found.rows.drop("member", "chunk")
+        order = [c for c in ("priority", "mtime", "size", "file", "line_no") if c in rows.columns and c not in target.keys]
+        path = f"{root}/{target.table}"
+        if not target.keys or target.mode == "append":
+            check_keys(rows, target.keys)
+            ids = rows.agg(F.min("source_file_id")).first()[0]
+            if ids is not None:  # the batch is named after its first file, so a repeated load replaces itself
+                append_batch(rows.drop(*order), path, ids)
+            return
+        old = read_latest(spark, path)
+        if old is None:
+            old = spark.createDataFrame([], rows.drop(*order).schema)
+        write_version(store(old, rows, target.keys, order, ignore_duplicates=target.mode == "insert"), path)
+
+    return write

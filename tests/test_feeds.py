@@ -214,7 +214,7 @@ def test_zip_members_are_read_in_place(spark, tmp_path):
 
 def test_dispatch_refuses_what_it_does_not_know(spark, write):
     folder = write({"a.csv": "x\n1"})
-    for handler, params in (("nope", None), ("exchange", {"feed": "nope"}), ("delimited", {"table": "t"}), ("delimited", "{'x"), ("meter", {"tabel": 1})):
+    for handler, params in (("nope", None), ("exchange", {"feed": "nope"}), ("delimited", {"tabel": "t"}), ("delimited", {"mode": "merge"}), ("delimited", "{'x"), ("meter", {"tabel": 1})):
         with pytest.raises(loads.HandlerError):
             loads.dispatch(spark, handler, folder, params)
 

@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
 from gridtables.plans import loads
-from gridtables.plans.run import LEDGER, process_queue
+from gridtables.plans.run import LEDGER, process_queue, storing
+from gridtables.sources.tables import read_appended, read_latest
 
 
 def test_queue_is_processed_by_job(spark, tmp_path):
@@ -86,3 +87,35 @@ def test_daily_files_are_found_whatever_their_case(spark, tmp_path):
     (tmp_path / "settlement_caps_20020904.txt").write_text(head + row)
     found = loads.read_daily(spark, str(tmp_path), ["settlement_caps"])
     assert found["settlement_caps"].rows.select("file").distinct().count() == 2
+
+
+def test_from_folder_to_tables_and_ledger(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "log").mkdir()
+    jobs = spark.createDataFrame([
+        (1, f"{tmp_path}/in", 1, "*.csv", "delimited", '{"table": "prices", "key_fields": ["k"]}', 1),
+        (2, f"{tmp_path}/log", 2, "*.csv", "delimited", '{"table": "events"}', 1),
+        (3, f"{tmp_path}/log", 3, "*.txt", "delimited", '{"mode": "merge"}', 1)], JOBS)
+
+    def put(name, text, mtime):
+        import os
+
+        (tmp_path / name).write_text(text)
+        os.utime(tmp_path / name, (mtime, mtime))
+
+    put("in/b.csv", "k,v\n1,new\n2,b", 2_000_000)
+    put("in/a.csv", "k,v\n1,old", 3_000_000 - 2_000_000)
+    put("log/x.csv", "k,v\n1,x", 1_000_000)
+    put("log/y.txt", "?", 1_000_000)
+    ledger = process_queue(spark, jobs, spark.createDataFrame([], LEDGER), storing(spark, root))
+    status = {r.file_name: (r.process_status, r.records_processed) for r in ledger.collect()}
+    assert status == {"a.csv": ("SUCCESS", 1), "b.csv": ("SUCCESS", 2), "x.csv": ("SUCCESS", 1), "y.txt": ("ERROR", 0)}
+    ids = {r.file_name: r.id for r in ledger.collect()}
+    assert sorted((r.k, r.v, r.source_file_id) for r in read_latest(spark, f"{root}/prices").collect()) == [
+        ("1", "new", ids["b.csv"]), ("2", "b", ids["b.csv"])]
+    put("in/c.csv", "k,v\n2,c\n3,d", 3_000_000)
+    put("log/z.csv", "k,w\n2,z", 3_000_000)
+    process_queue(spark, jobs, ledger, storing(spark, root))
+    assert sorted((r.k, r.v) for r in read_latest(spark, f"{root}/prices").collect()) == [("1", "new"), ("2", "c"), ("3", "d")]
+    assert sorted((r.k, r.v, r.w) for r in read_appended(spark, f"{root}/events").collect()) == [("1", "x", None), ("2", None, "z")]
