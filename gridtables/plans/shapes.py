@@ -6,6 +6,7 @@ Every file of a query is one group of table rows, so the amount of text grows wi
 from pyspark.sql import functions as F
 
 from gridtables.operators import positional
+from gridtables.plans import loads
 from gridtables.plans.registry import query, table
 from gridtables.session import cut_lineage
 from gridtables.sources import delimited, environmental, exchange, meter
@@ -280,3 +281,145 @@ def mixed_headings(spark, folder):
 SELECT DISTINCT 'm' || user_id AS file, 'a row with more cells than the heading' AS reason FROM events WHERE {_TOO_LONG}""")
 def mixed_headings_rejects(spark, folder):
     return delimited.read_delimited(_mixed_lines(spark, folder), delimited.Delimited()).rejects
+
+
+# --- the other exchange files, each a month of orders ---------------------------------------------------
+
+
+def _tab_file(spark, folder, name):
+    """Positional lines of a month's orders for the feed's own columns and date cell; a dash where the status is P."""
+    spec = exchange.POSITIONAL[name]
+    orders = _monthly(spark, folder, name)
+    each = len(spec.columns) // len(exchange.REGIONS)
+    number = F.when(F.col("o_orderstatus") == "P", "-").otherwise(F.col("o_totalprice").cast("string"))
+    nsw = [F.col("o_orderpriority"), number, F.col("o_orderkey")][:each]
+    row = _joined(*nsw, *[F.lit("")] * (len(spec.columns) - 2 * each), *[F.lit("SA")] + [F.col("o_custkey")] * (each - 1), sep="\t")
+    title = F.concat(F.lit("title" + "\t" * spec.date_cell), F.date_format("month", "dd MMM yyyy"))
+    return _lines(_at(orders.select("file", "month").distinct(), 0, title), _at(orders.select("file").distinct(), 1, "NSW"),
+                  orders.select("file", (F.col("o_orderkey") + 2).alias("line_no"), row.alias("line")))
+
+
+def _tab_sql(name):
+    columns = exchange.POSITIONAL[name].columns
+    each = len(columns) // len(exchange.REGIONS)
+    nsw = ["o_orderpriority", "CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END", "CAST(o_orderkey AS DOUBLE)"][:each]
+    last = ["'SA'"] + ["CAST(o_custkey AS DOUBLE)"] * (each - 1)
+    picked = [f'{v} AS "{c}"' for v, c in zip(nsw + last, columns[:each] + columns[-each:], strict=True)]
+    return f"""SELECT '{name}_' || strftime(o_orderdate, '%Y%m') || '.txt' AS file, {", ".join(picked)},
+      CAST({_MONTH} AS TIMESTAMP) AS "Settlement_Date" FROM orders"""
+
+
+def _tab_query(name):
+    @query(f"{name}_table", _tab_sql(name))
+    def run(spark, folder):
+        columns = exchange.POSITIONAL[name].columns
+        each = len(columns) // len(exchange.REGIONS)
+        rows = exchange.read_positional(_tab_file(spark, folder, name), exchange.POSITIONAL[name]).rows
+        return rows.select("file", *columns[:each], *columns[-each:], F.col("Settlement_Date").cast("timestamp_ntz").alias("Settlement_Date"))
+
+
+for _name in ("open_interest_futures", "open_interest_caps", "settlement_caps"):
+    _tab_query(_name)
+
+
+def _headed_file(spark, folder, name, cells):
+    """Comma-separated lines of a month's orders; ``cells`` gives a value for some of the feed's columns."""
+    orders = _monthly(spark, folder, name)
+    row = _joined(*[cells.get(c, F.lit("")) for c in exchange.HEADED[name].columns])
+    return _lines(_at(orders.select("file").distinct(), 0, "heading"),
+                  orders.select("file", (F.col("o_orderkey") + 1).alias("line_no"), row.alias("line")))
+
+
+_CODE = F.concat(F.lit("C"), F.col("o_custkey").cast("string"), F.lit("ABCDEF"))
+_SQL_CODE = "'C' || o_custkey || 'ABCDEF'"
+_SQL_CUT = f"CASE WHEN length({_SQL_CODE}) > 8 THEN {_SQL_CODE} ELSE left({_SQL_CODE}, 7) END"
+
+
+def _sql_file(name):
+    return f"'{name}_' || strftime(o_orderdate, '%Y%m') || '.txt' AS file"
+
+
+@query("closing_options", f"""
+SELECT {_sql_file('closing_snapshot_options')}, {_SQL_CODE} AS "Code", o_totalprice AS "Strike_Price", CAST(o_orderdate AS TIMESTAMP) AS "Settlement_Date",
+  CAST(o_custkey AS DOUBLE) AS "Implied_Volatility", strftime(o_orderdate, '%H:%M') AS "Trade_Time" FROM orders""")
+def closing_options(spark, folder):
+    lines = _headed_file(spark, folder, "closing_snapshot_options", {
+        "Code": _CODE, "Strike_Price": F.col("o_totalprice"), "Settlement_Date": F.date_format("o_orderdate", "d/MM/yyyy"),
+        "Implied_Volatility": F.col("o_custkey"), "Trade_Time": F.date_format(F.col("o_orderdate").cast("timestamp"), "HH:mm")})
+    rows = exchange.read_headed(lines, exchange.HEADED["closing_snapshot_options"]).rows
+    return rows.select("file", "Code", "Strike_Price", F.col("Settlement_Date").cast("timestamp_ntz").alias("Settlement_Date"), "Implied_Volatility", "Trade_Time")
+
+
+@query("interest_report", f"""
+SELECT {_sql_file('open_interest_report')}, {_SQL_CUT} AS "Code", o_totalprice AS "Open_Interest",
+  CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS TIMESTAMP) END AS "Date" FROM orders""")
+def interest_report(spark, folder):
+    """Codes of up to eight characters lose their last; an unreadable date is null."""
+    day = F.when(F.col("o_orderstatus") == "P", "soon").otherwise(F.date_format("o_orderdate", "yyyy/MM/dd"))
+    lines = _headed_file(spark, folder, "open_interest_report", {"Code": _CODE, "Open_Interest": F.col("o_totalprice"), "Date": day})
+    rows = exchange.read_headed(lines, exchange.HEADED["open_interest_report"]).rows
+    return rows.select("file", "Code", "Open_Interest", F.col("Date").cast("timestamp_ntz").alias("Date"))
+
+
+@query("final_snapshot_table", f"""
+SELECT {_sql_file('final_snapshot')}, {_SQL_CUT} AS "Code", o_totalprice AS "Bid_Price", CAST(o_orderdate AS TIMESTAMP) AS "Settlement_Date",
+  lpad(CAST(o_custkey % 24 AS VARCHAR), 2, '0') || ':30' AS "Last_Trade_Time" FROM orders""")
+def final_snapshot_table(spark, folder):
+    time = F.concat(F.lpad((F.col("o_custkey") % 24).cast("string"), 2, "0"), F.lit("-30"))
+    lines = _headed_file(spark, folder, "final_snapshot", {
+        "Code": _CODE, "Bid_Price": F.col("o_totalprice"), "Settlement_Date": F.date_format("o_orderdate", "dd/MM/yyyy"), "Last_Trade_Time": time})
+    rows = exchange.read_headed(lines, exchange.HEADED["final_snapshot"]).rows
+    return rows.select("file", "Code", "Bid_Price", F.col("Settlement_Date").cast("timestamp_ntz").alias("Settlement_Date"), "Last_Trade_Time")
+
+
+@query("trade_log_table", f"""
+SELECT {_sql_file('trade_log')}, o_orderstatus AS trade_type, CAST(o_custkey AS DOUBLE) AS volume, o_totalprice AS price,
+  CAST(o_orderdate AS TIMESTAMP) + to_hours(CAST(o_custkey % 24 AS INTEGER)) + INTERVAL 5 MINUTE AS date_time FROM orders""")
+def trade_log_table(spark, folder):
+    time = F.concat(F.lpad((F.col("o_custkey") % 24).cast("string"), 2, "0"), F.lit(":05"))
+    lines = _headed_file(spark, folder, "trade_log", {
+        "Date": F.date_format("o_orderdate", "dd/MM/yyyy"), "Time": time, "trade_type": F.col("o_orderstatus"), "display_code": _CODE,
+        "volume": F.col("o_custkey"), "_$_mwh": F.col("o_totalprice")})
+    rows = exchange.read_headed(lines, exchange.HEADED["trade_log"]).rows
+    return rows.select("file", "trade_type", "volume", F.col("`_$_mwh`").alias("price"), F.col("date_time").cast("timestamp_ntz").alias("date_time"))
+
+
+@query("multi_row_heading", """
+SELECT 'town' || user_id AS file, CAST(event_id AS VARCHAR) AS station_name, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date, value AS rain_total_mm FROM events""")
+def multi_row_heading(spark, folder):
+    """Daily weather: four heading rows after nine title lines, dates with the day first, a footer line to skip."""
+    events = table(spark, folder, "events").withColumn("file", F.concat(F.lit("town"), F.col("user_id").cast("string")))
+    files = events.select("file").distinct()
+    head = [_at(files, i, "title") for i in range(9)] + [
+        _at(files, 9, "Station,Date,Rain"), _at(files, 10, "Name,,total"), _at(files, 11, ",,"), _at(files, 12, ",,mm")]
+    row = _joined(F.col("event_id"), F.date_format("ts", "d/MM/yyyy"), F.col("value"))
+    lines = _lines(*head, events.select("file", (F.col("event_id") + 13).alias("line_no"), row.alias("line")), _at(files, _END, "Totals,,0"))
+    rows = delimited.read_delimited(lines, delimited.FEEDS["daily_weather"]).rows
+    return rows.select("file", "station_name", "date", F.col("rain_total_mm").try_cast("double").alias("rain_total_mm"))
+
+
+@query("meter_transactions", """
+WITH e AS (SELECT user_id, event_type, value, CAST(ts AS DATE) AS day FROM events),
+u AS (SELECT user_id FROM e GROUP BY user_id HAVING coalesce(max(value) FILTER (WHERE event_type = 'purchase'), 0) <= 200)
+SELECT 'NEM12#U' || user_id || '#MDA#RET.csv' AS file, 'O' AS code, 'S1' AS service_order, TIMESTAMP '2024-03-01 00:00:00' AS read_at, count(*) AS days
+FROM (SELECT user_id, day FROM e JOIN u USING (user_id) GROUP BY ALL HAVING bool_or(event_type = 'error')) GROUP BY user_id""")
+def meter_transactions(spark, folder):
+    """The transaction records of the meter files, by file."""
+    rows = meter.parse(_meter_lines(spark, folder)).b2b
+    return rows.groupBy("file", F.col("TransCode").alias("code"), F.col("RetServiceOrder").alias("service_order"), F.col("ReadDateTime").alias("read_at")).agg(
+        F.count("*").alias("days"))
+
+
+@query("lineage", f"""
+SELECT 'Settlement_Futures_' || strftime(o_orderdate, '%Y%m') || '.txt' AS file, o_orderpriority AS "NSW_Period", o_totalprice AS "NSW_Peak_Price",
+  CAST(strftime(o_orderdate, '%Y%m') AS BIGINT) AS source_file_id, TIMESTAMP '2024-05-06 07:08:09' AS added_dttm FROM orders""")
+def lineage(spark, folder):
+    """Rows carry the ledger's id of their file and the time of the load."""
+    orders = _monthly(spark, folder, "Settlement_Futures")
+    row = _joined(F.col("o_orderpriority"), F.col("o_totalprice"), sep="\t")
+    lines = _lines(
+        _at(orders.select("file", "month").distinct(), 0, F.concat(F.lit("title" + "\t" * 11), F.date_format("month", "dd MMM yyyy"))),
+        orders.select("file", (F.col("o_orderkey") + 2).alias("line_no"), row.alias("line")))
+    ledger = orders.select("file", F.date_format("month", "yyyyMM").cast("long").alias("source_file_id")).distinct()
+    found = loads.with_lineage(exchange.read_positional(lines, exchange.POSITIONAL["settlement_futures"]), ledger)
+    return loads.added_at(found.rows, "2024-05-06 07:08:09").select("file", "NSW_Period", "NSW_Peak_Price", "source_file_id", "added_dttm")

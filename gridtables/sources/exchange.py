@@ -13,7 +13,7 @@ from gridtables.functions.expr import (
 )
 from gridtables.operators import positional, quality
 from gridtables.session import cut_lineage
-from gridtables.sources.lines import Parsed, cells, parse_delimited, refused, scan_file, split_blocks
+from gridtables.sources.lines import Parsed, cells, parse_delimited, refused, scan_file, split_blocks, with_file_facts
 
 REGIONS = ("NSW", "VIC", "QLD", "SA")
 
@@ -58,7 +58,7 @@ def read_positional(lines: DataFrame, spec: Positional) -> Parsed:
     width = max(len(spec.columns), spec.date_cell + 1)
     row = lines.withColumn("_c", cells(F.col("line"), width, "\t"))
     date = parse_date(strip(F.col(f"_c.c{spec.date_cell}")), "d MMM yyyy")
-    dated = cut_lineage(scan_file(row, Settlement_Date=positional.carry(F.when(F.col("line_no") == 0, date))))
+    dated = with_file_facts(row, Settlement_Date=F.max(F.when(F.col("line_no") == 0, date)))
     rejects = refused(dated.filter("Settlement_Date IS NULL"), "no settlement date on the first line")
     data = dated.filter((F.col("line_no") >= 2) & (strip(F.col("line")) != "") & F.col("Settlement_Date").isNotNull())
     values = [F.col(f"_c.c{i}") for i in range(len(spec.columns))]
@@ -190,13 +190,13 @@ def read_rate_card(lines: DataFrame) -> Parsed:
     row = lines.withColumn("_c", cells(F.col("line"), 5))
     a, b, c, d = (F.col(f"_c.c{i}") for i in range(4))
     n = F.col("line_no")
-    whole = cut_lineage(scan_file(
+    whole = with_file_facts(
         row,
-        _made=positional.whole_max(F.when((n == 0) & (a == "File creation time:"), text_to_timestamp(strip(b), "d/M/yyyy H:m"))),
-        _headed=positional.whole_max(F.when((n == 2) & (b == "PEAK Swap") & (c == "FLAT Swap") & (d == "$300 Flat Cap*"), n)),
-        second=positional.whole_min(F.when((n > 2) & (b == "Flat Swap"), n)),
-        third=positional.whole_min(F.when((n > 2) & (a == "start date"), n)),
-    ))
+        _made=F.max(F.when((n == 0) & (a == "File creation time:"), text_to_timestamp(strip(b), "d/M/yyyy H:m"))),
+        _headed=F.max(F.when((n == 2) & (b == "PEAK Swap") & (c == "FLAT Swap") & (d == "$300 Flat Cap*"), n)),
+        second=F.min(F.when((n > 2) & (b == "Flat Swap"), n)),
+        third=F.min(F.when((n > 2) & (a == "start date"), n)),
+    )
     bad = F.col("_made").isNull() | F.col("_headed").isNull() | F.col("second").isNull()
     rejects = refused(whole.filter(bad), "not a rate card with the expected headings")
 
@@ -205,11 +205,8 @@ def read_rate_card(lines: DataFrame) -> Parsed:
     placed = whole.filter(~bad).withColumn("section", F.when(one, 1).when(two, 2)).filter("section IS NOT NULL")
     priced = F.when(F.when(F.col("section") == 1, b).otherwise(d).isNotNull(), n)
     in_section = {s: F.when(F.col("section") == s, priced) for s in (1, 2)}
-    spans = cut_lineage(scan_file(
-        placed,
-        **{f"_f{s}": positional.whole_min(p) for s, p in in_section.items()},
-        **{f"_l{s}": positional.whole_max(p) for s, p in in_section.items()},
-    ))
+    spans = with_file_facts(
+        placed, **{f"_f{s}": F.min(p) for s, p in in_section.items()}, **{f"_l{s}": F.max(p) for s, p in in_section.items()})
     filled = F.coalesce(a, b, c, d).isNotNull()
     parts = []
     for section, names in ((1, _FIRST_SECTION), (2, _SECOND_SECTION)):

@@ -55,6 +55,12 @@ def scan_file(lines: DataFrame, **scans: positional.Scan) -> DataFrame:
     return positional.scan(lines, ["file"], "line_no", F.col("chunk"), **scans)
 
 
+def with_file_facts(lines: DataFrame, **facts: Column) -> DataFrame:
+    """Adds aggregates over each line's file. One small row per file is joined back: no order, no copy of the lines."""
+    found = lines.groupBy("file").agg(*[c.alias(n) for n, c in facts.items()])
+    return lines.join(found, "file")
+
+
 def refused(df: DataFrame, reason: Column | str) -> DataFrame:
     """One reject row per file of ``df``."""
     reason = F.lit(reason) if isinstance(reason, str) else reason
@@ -75,7 +81,7 @@ def payload_between(lines: DataFrame, top: str | None = None, tail: str | None =
     if top is not None:
         hit = F.instr(text, top)
         place = F.when(hit > 0, F.struct("line_no", (hit + F.lit(len(top)) - 1).alias("at")))
-        found = cut_lineage(scan_file(lines, _top=positional.whole_min(place)))
+        found = with_file_facts(lines, _top=F.min(place))
         rejects.append(refused(found.filter("_top IS NULL"), "header text not found"))
         marked = found.filter("line_no >= _top.line_no").withColumn(
             "_from", F.when(F.col("line_no") == F.col("_top.line_no"), F.col("_top.at")).otherwise(0)
@@ -84,7 +90,7 @@ def payload_between(lines: DataFrame, top: str | None = None, tail: str | None =
     if tail is not None:
         hit = F.instr(text, tail)
         place = F.when(hit > 0, F.struct("line_no", (hit - 1).alias("at")))
-        found = cut_lineage(scan_file(marked, _tail=positional.whole_min(place)))
+        found = with_file_facts(marked, _tail=F.min(place))
         rejects.append(refused(found.filter("_tail IS NULL"), "footer text not found"))
         marked = found.filter("_tail IS NOT NULL AND line_no <= _tail.line_no").withColumn(
             "line",
