@@ -13,7 +13,6 @@ touch, the whole text is cut by the pattern at once. Units already encoded stay
 from __future__ import annotations
 
 import array
-import functools
 import hashlib
 import json
 from collections.abc import Callable, Iterable, Iterator
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtables.llm.common import slices, utf8
+from gridtables.llm.common import release, slices, utf8
 
 #: The pattern of the byte-level pre-tokenizer (fixed by the format).
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -137,7 +136,7 @@ class Trie:
                     # of equal merges the left one comes first
                     if q is not None and q < until_x and q <= until_y:
                         known = False
-            if len(self.follows) > 2_000_000:
+            if len(self.follows) > 400_000:
                 self.follows.clear()
             self.follows[key] = known
         return known
@@ -335,7 +334,6 @@ _MARK = np.zeros(256, bool)
 _MARK[[ord(m) for m in MARKS]] = True
 
 
-@functools.lru_cache(1)  # a worker keeps it from task to task
 def trie_encoder(text: str) -> tuple[Vocabulary, UnitEncoder]:
     vocabulary = Vocabulary(text)
     trie = Trie(vocabulary)
@@ -348,7 +346,6 @@ def trie_encoder(text: str) -> tuple[Vocabulary, UnitEncoder]:
     return vocabulary, UnitEncoder(words, cutter(text), vocabulary.special)
 
 
-@functools.lru_cache(1)
 def library_encoder(text: str) -> UnitEncoder:
     """Words encoded by the tokenizers library's own model."""
     from tokenizers import Tokenizer
@@ -402,6 +399,8 @@ def encode_column(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_c
             if decoded_col:
                 columns.append(pa.array(decoded, pa.binary()).cast(pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=[*names, ids_col, *([decoded_col] if decoded_col else [])])
+        del vocabulary, encoder
+        release()
 
     added = [T.StructField(ids_col, T.BinaryType()), *([T.StructField(decoded_col, T.StringType())] if decoded_col else [])]
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
@@ -426,6 +425,8 @@ def encode_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], pa.array(n, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        del vocabulary, encoder
+        release()
 
     schema = T.StructType([
         narrow.schema["id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),

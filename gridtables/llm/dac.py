@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from gridtables.llm.bpe import library_encoder, text_batches
-from gridtables.llm.common import shared_folder, staged
+from gridtables.llm.common import release, shared_folder, staged
 
 MAGIC = b"DACODES1"
 HEADER = struct.Struct("<8sQQQQQ")
@@ -165,6 +165,8 @@ def write_ids(
                         yield flush()
         if held:
             yield flush()
+        del encoder
+        release()
 
     blobs = ordered.mapInArrow(run, T.StructType([T.StructField("value", T.BinaryType())]))
     # the text writer puts a string's bytes down as they are; with one record per file each file is one segment and a line end

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridtables.llm.common import BLANKS, Words, mix, slices, staged, utf8, word_class
+from gridtables.llm.common import BLANKS, Words, mix, release, slices, staged, utf8, word_class
 from gridtables.llm.components import components
 
 SHINGLE = 5
@@ -192,6 +192,8 @@ def postings(docs: DataFrame, text_col: str, size: int, table: np.ndarray) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(sigs).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (nodes, ns, small))],
                     names=["sig", "node", "n", "small"])
+        seen.clear()
+        release()
 
     return docs.select(F.col(text_col).alias("body")).mapInArrow(run, "sig long, node long, n int, small boolean")
 

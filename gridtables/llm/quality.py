@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtables.llm.common import BLANKS, Words, slices, utf8, word_class
+from gridtables.llm.common import BLANKS, Words, release, slices, utf8, word_class
 
 STATISTICS = (
     "n_bytes", "n_words", "mean_word", "long_words", "distinct_words", "repeated_words", "top_word", "letters", "digits", "symbols", "marks",
@@ -120,6 +120,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text", stats_col: str = "s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, _array(batch.column(at))], names=[*batch.schema.names, stats_col])
+        release()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(stats_col, T.ArrayType(T.DoubleType()))]))
 

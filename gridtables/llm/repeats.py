@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtables.llm.common import _TABLE, mix, slices, staged, utf8
+from gridtables.llm.common import _TABLE, mix, release, slices, staged, utf8
 
 LENGTH = 200
 GRAM = 96
@@ -399,6 +399,8 @@ def without_repeats(docs: DataFrame, text_col: str = "text", crowd: int = CROWD)
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()), pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(sizes, pa.int64())],
                 names=["row", "kept", "kept_text", "removed", "n_bytes"])
+            del kept, removed
+        release()
 
     schema = T.StructType([joined.schema["row"], T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType()),
                            T.StructField("removed", T._parse_datatype_string("array<struct<start:int,end:int>>")), T.StructField("n_bytes", T.LongType())])
