@@ -13,6 +13,7 @@ touch, the whole text is cut by the pattern at once. Units already encoded stay
 from __future__ import annotations
 
 import array
+import functools
 import hashlib
 import json
 from collections.abc import Callable, Iterable, Iterator
@@ -29,7 +30,7 @@ from gridtables.llm.common import release, slices, utf8
 
 #: The pattern of the byte-level pre-tokenizer (fixed by the format).
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-#: Words that a worker remembers.
+#: Words that an encoder remembers.
 CACHE = 250_000
 LONG = 64
 #: Bytes of text that a task encodes as one batch.
@@ -220,8 +221,8 @@ class UnitEncoder:
     with a mark behind them or not) cut, by array operations.
     """
 
-    def __init__(self, encode_words: Callable[[list[str]], list[bytes]], cut: Callable[[str], list[str]], special: dict[str, int]):
-        self.encode_words, self.cut = encode_words, cut
+    def __init__(self, encode_words: Callable[[list[str]], list[bytes]], cut: Callable[[str], list[str]], special: dict[str, int], cache: int | None = None):
+        self.encode_words, self.cut, self.limit = encode_words, cut, cache or CACHE
         self.special = {name: np.uint32(i).tobytes() for name, i in special.items()}
         self.names = sorted(special, key=len, reverse=True)
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, self.names)) + ")") if special else None
@@ -229,7 +230,7 @@ class UnitEncoder:
 
     def _packed(self, words: list[str]) -> list[bytes]:
         fresh = [w for w in words if w not in self.known and w not in self.special]
-        if len(self.known) + len(fresh) > CACHE:
+        if len(self.known) + len(fresh) > self.limit:
             self.known, fresh = {}, [w for w in words if w not in self.special]
         self.known |= self.special
         self.known.update(zip(fresh, self.encode_words(fresh), strict=True))
@@ -346,6 +347,7 @@ def trie_encoder(text: str) -> tuple[Vocabulary, UnitEncoder]:
     return vocabulary, UnitEncoder(words, cutter(text), vocabulary.special)
 
 
+@functools.lru_cache(1)  # a worker keeps it, and the words it knows, from task to task
 def library_encoder(text: str) -> UnitEncoder:
     """Words encoded by the tokenizers library's own model."""
     from tokenizers import Tokenizer
@@ -362,7 +364,7 @@ def library_encoder(text: str) -> UnitEncoder:
             for w in missing]
         return [array.array("I", [t.id for t in tokenize(w)]).tobytes() for w in names]
 
-    return UnitEncoder(words, cutter(text), special)
+    return UnitEncoder(words, cutter(text), special, 2 * CACHE)
 
 
 def text_batches(column: pa.Array, size: int = BATCH) -> Iterator[tuple[int, pa.Array]]:

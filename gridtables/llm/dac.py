@@ -165,7 +165,6 @@ def write_ids(
                         yield flush()
         if held:
             yield flush()
-        del encoder
         release()
 
     blobs = ordered.mapInArrow(run, T.StructType([T.StructField("value", T.BinaryType())]))
