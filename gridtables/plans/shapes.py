@@ -330,7 +330,10 @@ def _headed_file(spark, folder, name, cells):
                   orders.select("file", (F.col("o_orderkey") + 1).alias("line_no"), row.alias("line")))
 
 
-_CODE = F.concat(F.lit("C"), F.col("o_custkey").cast("string"), F.lit("ABCDEF"))
+def _code():
+    return F.concat(F.lit("C"), F.col("o_custkey").cast("string"), F.lit("ABCDEF"))
+
+
 _SQL_CODE = "'C' || o_custkey || 'ABCDEF'"
 _SQL_CUT = f"CASE WHEN length({_SQL_CODE}) > 8 THEN {_SQL_CODE} ELSE left({_SQL_CODE}, 7) END"
 
@@ -344,7 +347,7 @@ SELECT {_sql_file('closing_snapshot_options')}, {_SQL_CODE} AS "Code", o_totalpr
   CAST(o_custkey AS DOUBLE) AS "Implied_Volatility", strftime(o_orderdate, '%H:%M') AS "Trade_Time" FROM orders""")
 def closing_options(spark, folder):
     lines = _headed_file(spark, folder, "closing_snapshot_options", {
-        "Code": _CODE, "Strike_Price": F.col("o_totalprice"), "Settlement_Date": F.date_format("o_orderdate", "d/MM/yyyy"),
+        "Code": _code(), "Strike_Price": F.col("o_totalprice"), "Settlement_Date": F.date_format("o_orderdate", "d/MM/yyyy"),
         "Implied_Volatility": F.col("o_custkey"), "Trade_Time": F.date_format(F.col("o_orderdate").cast("timestamp"), "HH:mm")})
     rows = exchange.read_headed(lines, exchange.HEADED["closing_snapshot_options"]).rows
     return rows.select("file", "Code", "Strike_Price", F.col("Settlement_Date").cast("timestamp_ntz").alias("Settlement_Date"), "Implied_Volatility", "Trade_Time")
@@ -356,7 +359,7 @@ SELECT {_sql_file('open_interest_report')}, {_SQL_CUT} AS "Code", o_totalprice A
 def interest_report(spark, folder):
     """Codes of up to eight characters lose their last; an unreadable date is null."""
     day = F.when(F.col("o_orderstatus") == "P", "soon").otherwise(F.date_format("o_orderdate", "yyyy/MM/dd"))
-    lines = _headed_file(spark, folder, "open_interest_report", {"Code": _CODE, "Open_Interest": F.col("o_totalprice"), "Date": day})
+    lines = _headed_file(spark, folder, "open_interest_report", {"Code": _code(), "Open_Interest": F.col("o_totalprice"), "Date": day})
     rows = exchange.read_headed(lines, exchange.HEADED["open_interest_report"]).rows
     return rows.select("file", "Code", "Open_Interest", F.col("Date").cast("timestamp_ntz").alias("Date"))
 
@@ -367,7 +370,7 @@ SELECT {_sql_file('final_snapshot')}, {_SQL_CUT} AS "Code", o_totalprice AS "Bid
 def final_snapshot_table(spark, folder):
     time = F.concat(F.lpad((F.col("o_custkey") % 24).cast("string"), 2, "0"), F.lit("-30"))
     lines = _headed_file(spark, folder, "final_snapshot", {
-        "Code": _CODE, "Bid_Price": F.col("o_totalprice"), "Settlement_Date": F.date_format("o_orderdate", "dd/MM/yyyy"), "Last_Trade_Time": time})
+        "Code": _code(), "Bid_Price": F.col("o_totalprice"), "Settlement_Date": F.date_format("o_orderdate", "dd/MM/yyyy"), "Last_Trade_Time": time})
     rows = exchange.read_headed(lines, exchange.HEADED["final_snapshot"]).rows
     return rows.select("file", "Code", "Bid_Price", F.col("Settlement_Date").cast("timestamp_ntz").alias("Settlement_Date"), "Last_Trade_Time")
 
@@ -378,7 +381,7 @@ SELECT {_sql_file('trade_log')}, o_orderstatus AS trade_type, CAST(o_custkey AS
 def trade_log_table(spark, folder):
     time = F.concat(F.lpad((F.col("o_custkey") % 24).cast("string"), 2, "0"), F.lit(":05"))
     lines = _headed_file(spark, folder, "trade_log", {
-        "Date": F.date_format("o_orderdate", "dd/MM/yyyy"), "Time": time, "trade_type": F.col("o_orderstatus"), "display_code": _CODE,
+        "Date": F.date_format("o_orderdate", "dd/MM/yyyy"), "Time": time, "trade_type": F.col("o_orderstatus"), "display_code": _code(),
         "volume": F.col("o_custkey"), "_$_mwh": F.col("o_totalprice")})
     rows = exchange.read_headed(lines, exchange.HEADED["trade_log"]).rows
     return rows.select("file", "trade_type", "volume", F.col("`_$_mwh`").alias("price"), F.col("date_time").cast("timestamp_ntz").alias("date_time"))
