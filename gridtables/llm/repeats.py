@@ -379,23 +379,25 @@ def without_repeats(docs: DataFrame, text_col: str = "text", crowd: int = CROWD)
     spans = repeated_spans(docs, text_col, crowd)
     names = docs.columns
     text = F.coalesce(F.col(text_col), F.lit(""))
-    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"), text.cast("binary").alias("body"))
-    joined = row.join(spans, ["k1", "k2"], "left").select("row", "body", "spans")
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
+    joined = row.join(spans, ["k1", "k2"], "left").select("row", "spans")
+    at_text = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, removed, sizes = [], [], []
-            for body, own in zip(batch["body"], batch["spans"].to_pylist(), strict=True):
-                raw = body.as_buffer()
+            buf, offsets = utf8(batch["row"].flatten()[at_text])
+            for low, high, own in zip(offsets[:-1].tolist(), offsets[1:].tolist(), batch["spans"].to_pylist(), strict=True):
+                raw = buf[low:high].tobytes()
                 merged = _union(own)
                 parts, at = [], 0
                 for a, b in merged:
-                    parts.append(raw[at:a].to_pybytes())
+                    parts.append(raw[at:a])
                     at = b
-                parts.append(raw[at:].to_pybytes())
+                parts.append(raw[at:])
                 kept.append(b"".join(parts))
                 removed.append([{"start": a, "end": b} for a, b in merged])
-                sizes.append(raw.size)
+                sizes.append(len(raw))
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()), pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(sizes, pa.int64())],
                 names=["row", "kept", "kept_text", "removed", "n_bytes"])
