@@ -2,8 +2,9 @@
 
 The lexicon comes from labelled texts: words, and beginnings of words ("begin*"), with high odds of a toxic label. Its trie is run against the Levenshtein automaton of one
 edit: a state is a set of (trie node, edits used), found by the subset construction as texts ask for it, so each word of a
-text costs one table look-up per character whatever the lexicon's size. Short terms match exactly only; variants that occur in clean
-labelled texts are words of their own and do not count.
+text costs one table look-up per character whatever the lexicon's size. Short terms match exactly only. The full words of a beginning are
+terms beside it and so match with an edit. Words of clean labelled texts that are only a variant of a term, or only share a term's
+beginning, are words of their own and do not count.
 
 Each match is weighed by the window of words around it: inside quotation marks, or near a word of reporting, it tells of abuse rather
 than being it. The evidence of a text goes through a logistic regression fitted on the sample.
@@ -147,17 +148,18 @@ class Automaton:
     def matches(self, tokens: Tokens) -> list[tuple[int, str, bool]]:
         """(word, term, exact) in text order."""
         found = []
-        known: dict[int, tuple[str | None, list[str]]] = {}
+        known: dict[int, tuple[str | None, str | None, list[str]]] = {}
         for word, state in zip(*(x.tolist() for x in self.run(tokens)), strict=True):
             if state not in known:
                 terms = [(e, self.term[n]) for n, e in self.sets[state] if self.term[n] is not None]
                 begun = [self.open[n] for n, e in self.sets[state] if e == 0 and n in self.open]
-                known[state] = (next((t for e, t in terms if e == 0), max(begun, key=len, default=None)), sorted(t for e, t in terms if e and len(t) >= MIN_FUZZY))
-            exact, near = known[state]
+                known[state] = (
+                    next((t for e, t in terms if e == 0), None), max(begun, key=len, default=None), sorted(t for e, t in terms if e and len(t) >= MIN_FUZZY))
+            exact, begin, near = known[state]
             if exact is not None:
                 found.append((word, exact, True))
-            elif near and tokens.word(word) not in self.exceptions:
-                found.append((word, max(near, key=lambda t: (self.lexicon[t], t)), False))
+            elif (begin or near) and tokens.word(word) not in self.exceptions:
+                found.append((word, begin, True) if begin else (word, max(near, key=lambda t: (self.lexicon[t], t)), False))
         return sorted(found)
 
 
@@ -238,7 +240,8 @@ def _runs(texts: list[str | None], size: int = 1 << 20) -> Iterator[list[str]]:
 
 
 def _apart(found: dict[str, tuple[float, int]]) -> dict[str, float]:
-    """Of a beginning and its words one kind stays: the word if it makes up most of the beginning, else the (shortest) beginning."""
+    """Of a beginning and its words one kind stays: the word if it makes up most of the beginning, else the (shortest) beginning.
+    ``_with_words`` brings the words of a beginning back once it is known to be needed."""
     begins = {t[:-1]: n for t, (_, n) in found.items() if t.endswith("*")}
     begins = {b: n for b, n in begins.items() if b[:-1] not in begins}
     top = dict.fromkeys(begins, 0)
@@ -252,6 +255,14 @@ def _apart(found: dict[str, tuple[float, int]]) -> dict[str, float]:
         if (t[:-1] in begins if t.endswith("*") else not any(t[:size] in begins for size in range(BEGIN, BEGIN + 4)))}
 
 
+def _with_words(lexicon: dict[str, float], found: dict[str, tuple[float, int]]) -> dict[str, float]:
+    """With the full words of the beginnings: these match exactly what the beginning does, and with an edit what it does not."""
+    begins = {t[:-1] for t in lexicon if t.endswith("*")}
+    return lexicon | {
+        t: odds for t, (odds, _) in found.items()
+        if not t.endswith("*") and any(t[:size] in begins for size in range(BEGIN, min(len(t), BEGIN + 3) + 1))}
+
+
 def _needed(texts: DataFrame, lexicon: dict[str, float], enough: int = 5, share: float = 0.3) -> dict[str, float]:
     """Terms, best first, that toxic texts need: those that mostly stand in texts with ``enough`` better terms are chance finds."""
     shared = texts.sparkSession.sparkContext.broadcast(lexicon)
@@ -318,7 +329,8 @@ def learn(rows: DataFrame, min_texts: int = 2, min_share: float = 0.004, min_odd
     chosen = counts.withColumn("odds", odds).where(
         (F.col("toxic") >= max(min_texts, min_share * n_toxic)) & (F.col("odds") >= min_odds) & (F.length("word") >= 3))
     rows = chosen.orderBy(F.desc(odds - 1.96 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))), "word").limit(max_terms).collect()
-    lexicon = _needed(texts, _apart({r.word: (float(r.odds), r.toxic) for r in rows}))
+    found = {r.word: (float(r.odds), r.toxic) for r in rows}
+    lexicon = _with_words(_needed(texts, _apart(found)), found)
     top = max(lexicon.values(), default=1.0)
     lexicon = {w: o / top for w, o in lexicon.items()}
 
@@ -327,7 +339,8 @@ def learn(rows: DataFrame, min_texts: int = 2, min_share: float = 0.004, min_odd
         for batch in batches:
             words = batch["word"].to_pylist()
             tokens = Tokens(words)
-            yield pa.RecordBatch.from_pydict({"word": pa.array(sorted({tokens.word(w) for w, _, exact in automaton.matches(tokens) if not exact}), pa.string())})
+            own = {tokens.word(w) for w, term, exact in automaton.matches(tokens) if not exact or term.endswith("*")}
+            yield pa.RecordBatch.from_pydict({"word": pa.array(sorted(own), pa.string())})
 
     clean_words = counts.where("clean > 0 AND clean >= toxic AND word NOT LIKE '%*'").select("word")
     exceptions = frozenset(r.word for r in clean_words.mapInArrow(variants, "word string").limit(100_000).collect()) if lexicon else frozenset()

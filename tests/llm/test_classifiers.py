@@ -108,3 +108,22 @@ def test_quotation_weighs_less_than_abuse(spark):
     got = {r.id: [m.weight for m in r.matches] for r in toxicity.evidence(df, model).collect()}
     assert got[0] == [1.0] and got[2] == [toxicity.REPORTED] and got[3] == [toxicity.QUOTED] and got[4] == [1.0]
     assert got[1] == [toxicity.QUOTED * toxicity.REPORTED] and got[5] == [1.0, 1.0] and got[6] == [1.0] and got[7] == [toxicity.MISSPELT]
+
+
+def family(spark):
+    """Texts with a toxic word in two forms that share a beginning, and clean texts with a word of the same beginning."""
+    pick = random.Random(3)
+    filler = lambda: " ".join(pick.choices([f"plain{c}{d}" for c in "abcdefgh" for d in "klmnop"], k=12))
+    toxic = [f"{filler()} {w} {filler()}" for w in ["idiot"] * 50 + ["idiots"] * 30]
+    clean = [f"{filler()} idiom" for _ in range(2)] + [filler() for _ in range(400)]
+    rows = [(i, t, float(i < len(toxic)), 1.0) for i, t in enumerate(toxic + clean)]
+    return toxicity.learn(spark.createDataFrame(rows, "id long, text string, label double, weight double"))
+
+
+def test_words_of_a_beginning_match_with_an_edit(spark):
+    model = family(spark)
+    assert {"idio*", "idiot", "idiots"} <= model.lexicon.keys()
+    words = ["idiot", "idiots", "idi0t", "ideot", "idiotic", "idiom", "idea"]
+    got = {words[w]: (t, exact) for w, t, exact in toxicity.Automaton(model.lexicon, model.exceptions).matches(toxicity.Tokens([" ".join(words)]))}
+    assert got == {
+        "idiot": ("idiot", True), "idiots": ("idiots", True), "idi0t": ("idiot", False), "ideot": ("idiot", False), "idiotic": ("idio*", True)}
