@@ -359,6 +359,15 @@ def _cell(node: np.ndarray, root: np.ndarray, side: np.ndarray, sets: list[np.nd
     return found
 
 
+def _rooted(docs: DataFrame, id_col: str, text_col: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """(id, text_hash, n, node) by row, and (node, least id of the node, root of its component) of the nodes with shingles."""
+    rows, table = describe(docs, id_col, text_col, size)
+    found = staged(links(docs, text_col, size, frequencies(table)))
+    root = components(found)
+    nodes = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
+    return rows, staged(nodes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """One row per document: id, text_hash, n_shingles, component_id (smallest id that links reach).
 
@@ -366,11 +375,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows of equal sets, are in one component. A null id is passed over by the minimum and stays null where no row has an id.
     Other columns are not read.
     """
-    rows, table = describe(docs, id_col, text_col, size)
-    found = staged(links(docs, text_col, size, frequencies(table)))
-    root = components(found)
-    nodes = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
-    placed = staged(nodes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    rows, placed = _rooted(docs, id_col, text_col, size)
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = placed.join(least, "root").select("node", "component_id")
     some = rows.where("n > 0").join(by_node, "node").select("id", "text_hash", "n", "component_id")
@@ -381,14 +386,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row with the smallest id stays (of equal ids the one with
     the least text hash, of equal rows one). Documents without shingles all stay."""
-    found = near_duplicates(docs, id_col, text_col, size)
-    kept = found.where("n_shingles > 0").groupBy("component_id").agg(
-        F.min(F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), "text_hash")).alias("first"))
-    kept = kept.select("first.id", "first.text_hash").unionByName(
-        found.where("n_shingles = 0").select(F.col(id_col).alias("id"), "text_hash").distinct())
-    kept = kept.toDF("kept_id", "kept_hash").distinct()
-    names = docs.columns
-    with_hash = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col(id_col).alias("kept_id"), F.xxhash64(text_col).alias("kept_hash"))
+    rows, placed = _rooted(docs, id_col, text_col, size)
+    # by root: a component is known by its node, for ids may be null or stand for several texts
+    kept = rows.where("n > 0").join(placed.select("node", "root"), "node").groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "text_hash")).alias("first"))
+    kept = kept.select(F.col("first.id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    text = F.col(f"`{text_col}`")
+    with_words = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    with_hash = docs.where(with_words).select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("kept_id"), F.xxhash64(text_col).alias("kept_hash"))
     same = with_hash["kept_id"].eqNullSafe(kept["kept_id"]) & (with_hash["kept_hash"] == kept["kept_hash"])
     chosen = with_hash.join(kept, same, "left_semi").groupBy("kept_id", "kept_hash").agg(F.first("row").alias("row"))
-    return chosen.select("row.*")
+    return chosen.select("row.*").unionByName(docs.where(~with_words))

@@ -110,6 +110,17 @@ def test_one_of_each(spark):
     assert sorted(map(tuple, kept.collect())) == [(1, "a b c d e f g", "q"), (2, None, "r"), (4, None, "s"), (5, "x y", "t")]
 
 
+def test_one_of_each_without_ids_of_their_own(spark):
+    texts = ["a b c d e f g", "h i j k l m n", "o p q r s t u"]
+    rows = [(None, t) for t in texts] + [(None, texts[0].upper())]  # unlinked but for the copy
+    rows += [(7, "one two three"), (7, "four five six"), (8, "four five six")]
+    blank = [(None, ""), (None, ""), (None, None), (9, " \t\n\x0b\x0c\r"), (9, None)]
+    df = spark.createDataFrame(rows + blank + [(10, "\x00"), (11, "\xa0")], "doc_id long, text string")
+    got = sorted(((r.doc_id, (r.text or "").lower() if r.text else r.text) for r in j.one_of_each(df).collect()), key=repr)
+    want = [(None, t) for t in texts] + [(7, "one two three"), (7, "four five six")] + blank + [(10, "\x00"), (11, "\xa0")]
+    assert got == sorted(want, key=repr)
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert j.near_duplicates(empty).count() == 0
