@@ -1,8 +1,8 @@
 """URL filtering: given rules by host and path, and for the rest association rules mined with Spark's FP-growth.
 
-A url is a set of tokens: scheme, first host label and host suffixes, path segments by their shape, query names. Urls that the given
-rules judge are the labelled ones. FP-growth over their token sets, each with its verdict as one more item, gives the frequent
-combinations; a rule "tokens -> verdict" stays if support and confidence reach their thresholds and no part of its tokens already
+A url is a set of tokens: scheme, host labels and host suffixes, path segments by their shape, query names. Urls that the given
+rules judge are the labelled ones. Support bounds what is mined: of their tokens the frequent ones, and of tokens that always stand
+together one for all, are items. FP-growth over these, with the verdict as one more item, gives the frequent combinations; a rule "tokens -> verdict" stays if support and confidence reach their thresholds and no part of its tokens already
 says as much. Rules match through an inverted index: token -> rules, a rule fits when all its tokens met.
 Everything is DataFrame work: url to tokens, FP-growth, and joins.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from gridtables.llm.common import staged
 
+HOST_CHARS = 253  # of a host name at most; longer suffixes are told apart by digest
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_BYTES = 8 << 20
 
@@ -47,18 +48,20 @@ def given_rule(rules: Sequence[tuple[str, str]], host_col: str = "host", path_co
 
 
 def tokens(url: Column, host_col: Column, path_col: Column) -> Column:
-    """Distinct tokens, 15 at most, so a rule set stays small whatever the urls: the scheme, the first host label, host suffixes of up to
-    four labels, the first three path segments by shape (runs of digits are one), and the first six query names."""
+    """Distinct tokens: the scheme, the first host label, all host labels and host suffixes, all path segments by shape (runs of digits
+    are one), and all query names."""
     labels = F.split(host_col, r"\.")
-    sizes = F.sequence(F.lit(1), F.least(F.size(labels), F.lit(4)))
-    suffixes = F.transform(sizes, lambda n: F.concat(F.lit("host:"), F.array_join(F.slice(labels, -n, n), ".")))
-    segments = F.slice(F.filter(F.split(path_col, "/"), lambda s: s != ""), 1, 3)
+    suffix = lambda n: F.array_join(F.slice(labels, -n, n), ".")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.concat(
+        F.lit("host:"), F.when(F.length(suffix(n)) > HOST_CHARS, F.sha2(suffix(n), 256)).otherwise(suffix(n))))
+    named = F.transform(labels, lambda s: F.concat(F.lit("label:"), s))
+    segments = F.filter(F.split(path_col, "/"), lambda s: s != "")
     shapes = F.transform(segments, lambda s, i: F.concat(F.lit("path"), i.cast("string"), F.lit(":"), F.regexp_replace(s, "[0-9]+", "0")))
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^[^?#]*\?([^#]*)", 1)
     names = F.transform(F.filter(F.split(query, "&"), lambda s: s != ""), lambda s: F.concat(F.lit("query:"), F.regexp_extract(s, r"(?s)^([^=]*)", 1)))
     scheme = F.concat(F.lit("scheme:"), F.substring_index(url, "://", 1))
     first = F.concat(F.lit("sub:"), F.get(labels, F.lit(0)))
-    some = F.array_distinct(F.concat(F.array(scheme, first), suffixes, shapes, F.slice(F.array_distinct(names), 1, 6)))
+    some = F.array_distinct(F.concat(F.array(scheme, first), named, suffixes, shapes, names))
     return F.when(F.instr(url, "://") > 0, some).otherwise(F.array().cast("array<string>"))
 
 
@@ -73,10 +76,14 @@ def mine(labelled: DataFrame, min_support: float, min_confidence: float, max_tok
     empty = labelled.sparkSession.createDataFrame([], "rule_id long, tokens array<string>, verdict string, support double, confidence double")
     if not total:
         return empty
-    frequent = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    held = labelled.select(F.explode("tokens").alias("token"), F.xxhash64("tokens").cast("decimal(38,0)").alias("holder"))
+    frequent = held.groupBy("token").agg(F.count("*").alias("n"), F.sum("holder").alias("holders"))
     # at most average tokens per url / min_support of them
     useful = frequent.where((F.col("n") >= min_support * total) & (F.col("n") < total))
-    kept = [r.token for r in useful.select("token").collect()]
+    # tokens of the same urls have the same rules: one of them is mined, and its rules are those of all
+    alike = useful.groupBy("n", "holders").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    alike = staged(alike.select(F.get("members", F.lit(0)).alias("item"), "members"))
+    kept = [r["item"] for r in alike.select("item").collect()]
     if not kept:
         return empty
     baskets = labelled.select(F.concat(F.array_intersect("tokens", F.array(*map(F.lit, kept))), F.array(verdict)).alias("items"))
@@ -99,6 +106,10 @@ def mine(labelled: DataFrame, min_support: float, min_confidence: float, max_tok
     spare = shorter.join(rules.select("tokens", "verdict", F.col("confidence").alias("less")), ["tokens", "verdict"]).where(
         F.col("less") >= F.col("confidence")).select(F.col("whole").alias("tokens"), "verdict").distinct()
     rules = rules.join(spare, ["tokens", "verdict"], "left_anti")
+    for i in range(max_tokens):
+        members = alike.select(F.col("item").alias(f"item{i}"), F.explode("members").alias(f"token{i}"))
+        rules = rules.withColumn(f"item{i}", F.get("tokens", F.lit(i))).join(members, f"item{i}", "left")
+    rules = rules.withColumn("tokens", F.array_sort(F.array_compact(F.array(*(f"token{i}" for i in range(max_tokens))))))
     return staged(rules.select(F.xxhash64("tokens", "verdict").alias("rule_id"), "tokens", "verdict", "support", "confidence"))
 
 

@@ -73,6 +73,28 @@ def test_mined_rules_and_their_use(spark):
         assert best[shape][1] == round(max(fitting), 6)
 
 
+def test_deep_tokens_are_mined_and_matched(spark):
+    """What stands in a far segment, a late query name or an inner label judges urls that no stated rule does."""
+    blocked = [f"http://h{i}.net/es/" + "/".join("pqrstuvw") + f"/spam/{'z' * (i % 2)}" for i in range(20)]
+    blocked += [f"http://h{i}.net/es/?" + "&".join(f"n{k}={i}" for k in range(25)) + "&spam=1" for i in range(20)]
+    blocked += [f"http://h{i}.spam.b{i}.c{i}.d{i}.e{i}.net/es/x{'y' * i}" for i in range(20)]
+    allowed = [f"http://h{i}.com/es/" + "/".join("pqrstuvw") + "/ham" for i in range(20)]
+    allowed += [f"http://h{i}.com/es/?" + "&".join(f"n{k}={i}" for k in range(25)) + "&ham=1" for i in range(40)]
+    asked = ["http://x.org/es/" + "/".join("pqrstuvw") + "/spam", "http://x.org/es/?" + "&".join(f"n{k}=1" for k in range(25)) + "&spam=1",
+             "http://q.spam.k.l.m.org/es/k", "http://x.org/es/" + "/".join("pqrstuvw") + "/ham"]
+    df = spark.createDataFrame(list(enumerate(asked + blocked + allowed)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urlrules.judge(df, URL_RULES, min_support=0.1).collect()}
+    assert [got[i] for i in range(4)] == ["block", "block", "block", "allow"]
+
+
+def test_tokens_of_the_same_urls_have_the_same_rules(spark):
+    labelled = [(["a", "b", "c"], "block")] * 6 + [(["c", "d", "e"], "allow")] * 3 + [(["a", "b", "d", "e"], "allow")] * 3 + [(["f", "d", "e"], "block")] * 3 + [([], "allow")]
+    rules = urlrules.mine(spark.createDataFrame(labelled, "tokens array<string>, verdict string"), 0.1, 0.7, 3).collect()
+    got = {(tuple(r.tokens), r.verdict): r.confidence for r in rules}
+    want = brute_rules(labelled, 0.1, 0.7, 3)
+    assert len(rules) == len(got) and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
 def test_no_labels_and_empty(spark):
     df = spark.createDataFrame([(1, "http://x.org/a")], "page_id long, url string")
     row = urlrules.judge(df, URL_RULES).first()
