@@ -263,8 +263,9 @@ def _with_words(lexicon: dict[str, float], found: dict[str, tuple[float, int]])
         if not t.endswith("*") and any(t[:size] in begins for size in range(BEGIN, min(len(t), BEGIN + 3) + 1))}
 
 
-def _needed(texts: DataFrame, lexicon: dict[str, float], enough: int = 5, share: float = 0.3) -> dict[str, float]:
-    """Terms, best first, that toxic texts need: those that mostly stand in texts with ``enough`` better terms are chance finds."""
+def _needed(texts: DataFrame, lexicon: dict[str, float], rare: frozenset[str] = frozenset(), enough: int = 5, share: float = 0.3) -> dict[str, float]:
+    """Terms, best first, that toxic texts need. A term stays as long as a text has no other; without such a text those that mostly stand
+    in texts with ``enough`` better terms are chance finds, and so are ``rare`` ones."""
     shared = texts.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,18 +289,19 @@ def _needed(texts: DataFrame, lexicon: dict[str, float], enough: int = 5, share:
     kept = {}
     for term, odds in lexicon.items():
         own = by_term[term]
-        if sum(covered[i] < enough for i in own) >= share * len(own):
+        if any(not covered[i] for i in own) or term not in rare and sum(covered[i] < enough for i in own) >= share * len(own):
             kept[term] = odds
             for i in own:
                 covered[i] += 1
     return kept
 
 
-def learn(rows: DataFrame, min_texts: int = 2, min_share: float = 0.004, min_odds: float = 3.0, max_terms: int = 2000) -> Model:
+def learn(rows: DataFrame, min_texts: int = 2, rare_share: float = 0.004, min_odds: float = 3.0, max_terms: int = 2000) -> Model:
     """Fits on ``rows`` (id, text, label, weight), which the caller bounds. Equal texts count once.
 
-    A term stands in at least ``min_texts`` toxic texts and ``min_share`` of them, with log odds of ``min_odds`` or more; the
-    ``max_terms`` with the highest odds are the lexicon, a parameter of the method.
+    A term stands in at least ``min_texts`` toxic texts, whatever the size of the sample, with log odds of ``min_odds`` or more whose lower
+    bound (95 %) is above 0; one in less than ``rare_share`` of them must be the only term of a text. The ``max_terms`` with the highest
+    bound are the lexicon, a parameter of the method.
     """
     texts = staged(rows.groupBy("text").agg(F.max("label").alias("label"), F.first("weight").alias("weight"), F.min("id").alias("id")))
     totals = {r.label: r.n for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -326,11 +328,13 @@ def learn(rows: DataFrame, min_texts: int = 2, min_share: float = 0.004, min_odd
     counts = staged(texts.select("text", "label").mapInArrow(run, "word string, toxic long, clean long").groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
-    chosen = counts.withColumn("odds", odds).where(
-        (F.col("toxic") >= max(min_texts, min_share * n_toxic)) & (F.col("odds") >= min_odds) & (F.length("word") >= 3))
-    rows = chosen.orderBy(F.desc(odds - 1.96 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))), "word").limit(max_terms).collect()
+    bound = odds - 1.96 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    chosen = counts.withColumns({"odds": odds, "bound": bound}).where(
+        (F.col("toxic") >= min_texts) & (F.col("odds") >= min_odds) & (F.col("bound") > 0) & (F.length("word") >= 3))
+    rows = chosen.orderBy(F.desc("bound"), "word").limit(max_terms).collect()
     found = {r.word: (float(r.odds), r.toxic) for r in rows}
-    lexicon = _with_words(_needed(texts, _apart(found)), found)
+    rare = frozenset(t for t, (_, n) in found.items() if n < rare_share * n_toxic)
+    lexicon = _with_words(_needed(texts, _apart(found), rare), found)
     top = max(lexicon.values(), default=1.0)
     lexicon = {w: o / top for w, o in lexicon.items()}
 

@@ -127,3 +127,17 @@ def test_words_of_a_beginning_match_with_an_edit(spark):
     got = {words[w]: (t, exact) for w, t, exact in toxicity.Automaton(model.lexicon, model.exceptions).matches(toxicity.Tokens([" ".join(words)]))}
     assert got == {
         "idiot": ("idiot", True), "idiots": ("idiots", True), "idi0t": ("idiot", False), "ideot": ("idiot", False), "idiotic": ("idio*", True)}
+
+
+def test_rare_terms_of_large_samples(spark):
+    """12 of 5,000 toxic texts hold nothing but the rarer term."""
+    rows = [f"idiot w{i}" for i in range(4988)] + [f"zwackel w{i}" for i in range(12)] + [f"plain w{i}" for i in range(5000)]
+    df = spark.createDataFrame([(i, t, float(i < 5000), 1.0) for i, t in enumerate(rows)], "id long, text string, label double, weight double")
+    assert {"idiot", "zwackel"} <= toxicity.learn(df).lexicon.keys()
+
+
+def test_a_text_keeps_its_only_term(spark):
+    better = [f"better{c}" for c in "abcde"]
+    texts = [" ".join([*better, "only", f"x{i}"]) for i in range(8)] + ["only y", "only z"]
+    df = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate(texts)], "id long, text string, label double")
+    assert list(toxicity._needed(df, dict.fromkeys([*better, "only"], 1.0))) == [*better, "only"]
