@@ -347,7 +347,7 @@ def learn(rows: DataFrame, min_texts: int = 2, rare_share: float = 0.004, min_od
             yield pa.RecordBatch.from_pydict({"word": pa.array(sorted(own), pa.string())})
 
     clean_words = counts.where("clean > 0 AND clean >= toxic AND word NOT LIKE '%*'").select("word")
-    exceptions = frozenset(r.word for r in clean_words.mapInArrow(variants, "word string").limit(100_000).collect()) if lexicon else frozenset()
+    exceptions = frozenset(r.word for r in clean_words.mapInArrow(variants, "word string").collect()) if lexicon else frozenset()
     model = Model(lexicon, exceptions)
     marked = evidence(texts, model, "id", "text").select("id", "features").join(texts.select("id", "label", "weight"), "id")
     fitted = LogisticRegression(featuresCol="v", labelCol="label", weightCol="weight", regParam=0.001, maxIter=50).fit(

@@ -141,3 +141,11 @@ def test_a_text_keeps_its_only_term(spark):
     texts = [" ".join([*better, "only", f"x{i}"]) for i in range(8)] + ["only y", "only z"]
     df = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate(texts)], "id long, text string, label double")
     assert list(toxicity._needed(df, dict.fromkeys([*better, "only"], 1.0))) == [*better, "only"]
+
+
+def test_all_clean_words_of_a_beginning_are_exempt(spark):
+    many = " ".join(f"idio{i}" for i in range(100_500))  # one text
+    rows = [f"{w} w{i}" for i, w in enumerate(["idiot"] * 50 + ["idiots"] * 30)] + [many] + [f"plain v{i}" for i in range(100)]
+    df = spark.createDataFrame([(i, t, float(i < 80), 1.0) for i, t in enumerate(rows)], "id long, text string, label double, weight double")
+    model = toxicity.learn(df)
+    assert "idio*" in model.lexicon and set(many.split()) <= model.exceptions
