@@ -1,4 +1,4 @@
-"""The ten queries over the given tables: each applies its operator to whole tables and derives the contract's columns."""
+"""The queries of the numbered operators over the given tables: each applies its operator to whole tables and derives the contract's columns."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.llm import bpe, dac, decontamination, jaccard, kdtree, quality, repeats, search, toxicity, urlrules
+from gridtables.llm import bpe, dac, decontamination, jaccard, kdtree, langid, quality, repeats, search, toxicity, urlrules, whitening
 from gridtables.llm.common import held_out, staged
 from gridtables.llm.registry import query, table
 from gridtables.llm.samples import labelled_sample
@@ -153,3 +153,16 @@ SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10
 @query("op6_bm25_search", OP6)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(table(spark, folder, "documents"), F.col("doc_id") % 20 == 0)
+
+
+@query("op11_language_id")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = langid.learn(docs, ~held_out("doc_id", 5, 0))
+    found = langid.predict(docs, model)
+    return found.select(F.col("id").alias("doc_id"), held_out("id", 5, 0).alias("held_out"), "lang_pred", "score")
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings")).withColumn("deviation", whitening.as_long("deviation"))
