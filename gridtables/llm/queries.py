@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.llm import bpe, dac, decontamination, jaccard, kdtree, langid, quality, repeats, search, toxicity, urlrules, whitening
+from gridtables.llm import bpe, bursttrie, dac, decontamination, jaccard, kdtree, langid, quality, repeats, search, toxicity, urlrules, whitening
 from gridtables.llm.common import held_out, staged
 from gridtables.llm.registry import query, table
 from gridtables.llm.samples import labelled_sample
@@ -166,3 +166,39 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_whitening")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings")).withColumn("deviation", whitening.as_long("deviation"))
+
+
+OP13 = """
+WITH RECURSIVE t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS pos, k, b
+  FROM (SELECT conv_id, turn, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS k, strlen(coalesce(text, '')) AS b
+        FROM conversations WHERE conv_id IS NOT NULL)),
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: xor(a >> 1, 3988292384 * (a & 1)))) AS tab),
+cv AS (
+  SELECT c, c - c % 5 AS base, xor(list_reduce([4294967295] || list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda a, x: xor(a >> 8, tab[1 + (xor(a, x) & 255)])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT c FROM t), crc),
+r AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY pos) AS d, k, b
+  FROM (SELECT cv.c, pos, k, b FROM cv JOIN t ON t.c = cv.base AND pos <= h UNION ALL SELECT cv.c, pos, k, b FROM cv JOIN t ON t.c = cv.c AND pos > h)),
+p AS (SELECT c, d, b, md5(string_agg(k, '') OVER (PARTITION BY c ORDER BY d)) AS key FROM r),
+n AS (SELECT min(c) AS conv_id, d, key, count(*) AS n_convs, min(b) AS b FROM p GROUP BY d, key
+  UNION ALL SELECT min(c), 0, '', count(*), 0 FROM cv HAVING count(*) > 0),
+lab AS (SELECT c, p.d, conv_id FROM p JOIN n ON n.d = p.d AND n.key = p.key UNION ALL SELECT c, 0, (SELECT min(c) FROM cv) FROM cv),
+par AS (SELECT n.conv_id, n.d, n.n_convs, n.b, lab.conv_id AS parent FROM n LEFT JOIN lab ON lab.c = n.conv_id AND lab.d = n.d - 1),
+kids AS (SELECT parent AS conv_id, d - 1 AS d, count(*) AS n_children FROM par WHERE parent IS NOT NULL GROUP BY ALL),
+one AS (SELECT par.*, coalesce(n_children, 0) AS n_children FROM par LEFT JOIN kids USING (conv_id, d)),
+sub AS (
+  SELECT lab.conv_id, lab.d, sum((n_children = 0)::BIGINT) AS n_leaves, sum((n_convs - 1) * b) AS saved
+  FROM one JOIN lab ON lab.c = one.conv_id AND lab.d <= one.d GROUP BY ALL),
+last AS (SELECT cv.c, coalesce(max(d), 0) AS d FROM cv LEFT JOIN p USING (c) GROUP BY cv.c),
+fin AS (SELECT lab.conv_id, lab.d, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM last JOIN lab USING (c, d) GROUP BY ALL)
+SELECT conv_id, d::BIGINT AS depth, parent AS parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM one JOIN sub USING (conv_id, d) LEFT JOIN fin USING (conv_id, d)
+"""
+
+
+@query("op13_conversation_trie", OP13)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return bursttrie.prefix_trie(table(spark, folder, "conversations"))

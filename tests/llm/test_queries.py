@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_a_query_of_each_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_registered_beside_the_others():
