@@ -143,7 +143,8 @@ def sample(rows: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
     # a row is in if its hash, as a share of all values, lies below the share of its language that is wanted
     share = (F.shiftrightunsigned(F.xxhash64("id"), 11) / float(1 << 53)).alias("place")
-    return staged(rows.join(counts, "lang").select("body", "lang", "n", share).where(F.col("place") * F.col("n") < per_language).drop("n"))
+    # one row a language, as the model has one column a language: no text moves to find its count
+    return staged(rows.join(F.broadcast(counts), "lang").select("body", "lang", "n", share).where(F.col("place") * F.col("n") < per_language).drop("n"))
 
 
 def _landmarks(chosen: DataFrame, each: int, lengths: tuple[int, ...]) -> list[np.ndarray]:
