@@ -47,31 +47,43 @@ def next_file(queue: DataFrame) -> DataFrame:
 
 
 def start_loads(queue: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Ledger rows ``STARTED`` for queued files that the ledger does not hold in this version (path, mtime)."""
+    """Ledger rows ``STARTED`` for queued files that the ledger does not hold in this version (path, mtime).
+
+    A file is known by its path; ``file_name`` shows the last 80 characters of its name. Entries without a path, of ledgers
+    written before it was kept, are met by folder and shown name.
+    """
     rows = queue.select(
         "job_id", last_characters(F.col("file_name")).alias("file_name"), F.col("folder").alias("source_folder"),
         F.lit("STARTED").alias("process_status"), F.lit(0).cast("long").alias("records_processed"),
-        F.col("mtime").alias("file_modified_dttm"),
+        F.col("mtime").alias("file_modified_dttm"), "path",
     ).distinct()
-    known = ledger.select("source_folder", "file_name", "file_modified_dttm").distinct()
-    fresh = rows.join(known, ["source_folder", "file_name", "file_modified_dttm"], "left_anti")
-    return assign_ids(fresh, ["job_id", "source_folder", "file_name", "file_modified_dttm"], "id", max_id(ledger, "id")).select(
-        "id", "job_id", "file_name", "source_folder", "process_status", "records_processed", "file_modified_dttm"
+    shown = ["source_folder", "file_name", "file_modified_dttm"]
+    older = ledger
+    if "path" in ledger.columns:
+        rows = rows.join(ledger.select("path", "file_modified_dttm").distinct(), ["path", "file_modified_dttm"], "left_anti")
+        older = ledger.filter("path IS NULL")
+    fresh = rows.join(older.select(*shown).distinct(), shown, "left_anti")
+    return assign_ids(fresh, ["job_id", *shown], "id", max_id(ledger, "id"), ties=["path"]).select(
+        "id", "job_id", "file_name", "source_folder", "process_status", "records_processed", "file_modified_dttm", "path"
     )
 
 
 def finish_loads(started: DataFrame, loaded: DataFrame, refused: DataFrame) -> DataFrame:
     """The started rows with their outcome. ``loaded`` and ``refused`` carry ``source_file_id``; a reject with a line number is a
-    fault of that line and leaves the file loaded."""
-    if "line_no" in refused.columns:
-        refused = refused.filter("line_no IS NULL")
+    fault of that line and leaves the file loaded. Where the started rows have ``reason`` and ``cells_lost``, these are filled too."""
     counts = loaded.groupBy(F.col("source_file_id").alias("id")).agg(F.count("*").alias("_n"))
-    bad = refused.select(F.col("source_file_id").alias("id"), F.lit(True).alias("_bad")).distinct()
-    done = started.join(counts, "id", "left").join(bad, "id", "left")
-    ok = F.col("_bad").isNull()
-    return done.withColumn("process_status", F.when(ok, "SUCCESS").otherwise("ERROR")).withColumn(
-        "records_processed", F.when(ok, F.coalesce("_n", F.lit(0))).otherwise(0).cast("long")
-    ).select(*started.columns)
+    whole = F.col("line_no").isNull() if "line_no" in refused.columns else F.lit(True)
+    reason = F.col("reason") if "reason" in refused.columns else F.lit(None).cast("string")
+    faults = refused.groupBy(F.col("source_file_id").alias("id")).agg(
+        F.max(whole).alias("_bad"), F.min(F.when(whole, reason)).alias("_reason"), F.count(F.when(~whole, 1)).alias("_lost"))
+    done = started.join(counts, "id", "left").join(faults, "id", "left")
+    ok = ~F.coalesce("_bad", F.lit(False))
+    found = {
+        "process_status": F.when(ok, "SUCCESS").otherwise("ERROR"),
+        "records_processed": F.when(ok, F.coalesce("_n", F.lit(0))).otherwise(0).cast("long"),
+        "reason": F.col("_reason"), "cells_lost": F.coalesce("_lost", F.lit(0)).cast("long"),
+    }
+    return done.withColumns({c: v for c, v in found.items() if c in started.columns}).select(*started.columns)
 
 
 def latest_status(ledger: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -18,8 +18,13 @@ _COPIES = 10_000
 
 
 def key_bucket(columns: Sequence[Column]) -> Column:
+    return key_digits(columns, BUCKET_DIGITS)
+
+
+def key_digits(columns: Sequence[Column], digits: int) -> Column:
+    """The first hex digits of the MD5 of a key's text."""
     text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in columns])
-    return F.substring(F.md5(text), 1, BUCKET_DIGITS)
+    return F.substring(F.md5(text), 1, digits)
 
 
 def max_id(df: DataFrame, id_col: str) -> Column:
@@ -36,9 +41,9 @@ def _with_offset(rows: DataFrame, group: Sequence[str], size: Column) -> DataFra
 
 
 def assign_ids(
-    df: DataFrame, keys: Sequence[str], id_col: str, start: Column, lead: str | None = None
+    df: DataFrame, keys: Sequence[str], id_col: str, start: Column, lead: str | None = None, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """Numbers the rows of ``df`` from ``start + 1``; ``keys`` must identify a row (nulls count as values).
+    """Numbers the rows of ``df`` from ``start + 1``; ``keys`` and ``ties`` must identify a row (nulls count as values).
 
     ``lead`` names a column with a handful of values that is numbered through first (all rows of the
     lowest value, then the next).
@@ -46,7 +51,7 @@ def assign_ids(
     rows = df.withColumn("_bucket", key_bucket([F.col(k) for k in keys]))
     group = ([lead] if lead else []) + ["_bucket"]
     placed = _with_offset(rows, group, F.lit(1))
-    inside = Window.partitionBy(*group).orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    inside = Window.partitionBy(*group).orderBy(*[F.col(k).asc_nulls_first() for k in (*keys, *ties)])
     return placed.withColumn(
         id_col, (start + F.col("_offset") + F.row_number().over(inside)).cast("long")
     ).drop("_bucket", "_offset")

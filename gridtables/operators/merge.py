@@ -135,14 +135,24 @@ def get_or_create_keys(
     Returns the dimension with the missing combinations added and ``source`` with ``id_col``. The new
     combinations are stored once where a checkpoint folder is set, as both results use them.
     """
+    grown = append(dim, new_keys(dim, source, keys, id_col))
+    return grown, with_keys(grown, source, keys, id_col)
+
+
+def new_keys(dim: DataFrame, source: DataFrame, keys: Sequence[str], id_col: str = "id") -> DataFrame:
+    """The key combinations of ``source`` that the dimension lacks, numbered after it."""
     check_keys(source, keys)
     check_keys(dim, keys)
     combos = source.select(*keys).distinct()
     new = cut_lineage(absent(combos, dim, keys, null_safe=True))
-    grown = append(dim, assign_ids(new, keys, id_col, max_id(dim, id_col)))
-    known = tagged(grown.select(*keys, id_col))
+    return assign_ids(new, keys, id_col, max_id(dim, id_col))
+
+
+def with_keys(dim: DataFrame, source: DataFrame, keys: Sequence[str], id_col: str = "id") -> DataFrame:
+    """``source`` with the id that the dimension has for its keys."""
+    known = tagged(dim.select(*keys, id_col))
     found = source.join(known, same_key(keys, null_safe=True), "left")
-    return grown, found.select(*source.columns, F.col(f"_r_{id_col}").alias(id_col))
+    return found.select(*source.columns, F.col(f"_r_{id_col}").alias(id_col))
 
 
 def with_row_ids(df: DataFrame, target: DataFrame, position: Sequence[str], id_col: str = "id") -> DataFrame:

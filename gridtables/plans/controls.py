@@ -156,7 +156,30 @@ def _started(spark, folder):
 SELECT id, job_id, file_name, folder AS source_folder, 'STARTED' AS process_status, CAST(0 AS BIGINT) AS records_processed, mtime AS file_modified_dttm FROM started""")
 def start_loads(spark, folder):
     """Queued files the ledger does not know; files of urgent orders have been loaded before."""
-    return _started(spark, folder)
+    return _started(spark, folder).drop("path")
+
+
+_LONG = """names AS (SELECT o_orderkey, o_totalprice, '/in/' || repeat(o_orderpriority || '/', 3) AS folder,
+    repeat('month ' || strftime(o_orderdate, '%Y-%m') || ' ', 8) || (o_orderkey // 2) || '.csv' AS file_name,
+    CAST(o_orderdate AS TIMESTAMP) AS mtime FROM orders)"""
+
+
+@query("long_names", f"""WITH {_LONG}
+SELECT folder || o_orderkey % 2 || file_name AS path, right(o_orderkey % 2 || file_name, 80) AS file_name, mtime AS file_modified_dttm FROM names
+WHERE o_orderkey % 2 = 1 OR o_totalprice >= 100000""")
+def long_names(spark, folder):
+    """Names beyond the 80 characters that the ledger shows, two by two alike in what it shows: each file is started by its path."""
+    key = F.col("o_orderkey")
+    place = F.concat(F.lit("/in/"), F.repeat(F.concat("o_orderpriority", F.lit("/")), F.lit(3)))
+    name = F.concat((key % 2).cast("string"), F.repeat(F.concat(F.lit("month "), F.date_format("o_orderdate", "yyyy-MM"), F.lit(" ")), F.lit(8)),
+                    F.floor(key / 2).cast("string"), F.lit(".csv"))
+    files = table(spark, folder, "orders").select(
+        key.alias("k"), "o_totalprice", F.concat(place, name).alias("path"), place.alias("folder"), name.alias("file_name"), F.lit(1).alias("job_id"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("mtime"))
+    known = files.filter("k % 2 = 0 AND o_totalprice < 100000").select(
+        F.col("k").alias("id"), "path", F.col("folder").alias("source_folder"), expr.last_characters(F.col("file_name")).alias("file_name"),
+        F.col("mtime").alias("file_modified_dttm"))
+    return control.start_loads(files, known).select("path", "file_name", "file_modified_dttm")
 
 
 @query("finish_loads", f"""WITH {_START},

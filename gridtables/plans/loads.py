@@ -14,7 +14,7 @@ from gridtables.operators import control
 from gridtables.operators.merge import append, check_keys, insert_absent, upsert
 from gridtables.session import cut_lineage
 from gridtables.sources import archives, delimited, environmental, exchange, forecast, meter
-from gridtables.sources.lines import Parsed, numbered_lines
+from gridtables.sources.lines import REJECTS, Parsed, Records, numbered_lines, whole_files
 
 Paths = str | Sequence[str]
 
@@ -78,7 +78,9 @@ def _rate_card(spark: SparkSession, paths: Paths, archived: bool = False) -> Par
     return exchange.read_rate_card(_lines(spark, paths, archived))
 
 
-def _delimited(spark: SparkSession, paths: Paths, feed: str | None = None, archived: bool = False, **layout) -> Parsed:
+def _delimited(
+    spark: SparkSession, paths: Paths, feed: str | None = None, archived: bool = False, key_fields: Sequence[str] = (), **layout,
+) -> Parsed:
     if feed is not None:
         if feed not in delimited.FEEDS:
             raise HandlerError(f"unknown delimited feed {feed!r}")
@@ -87,7 +89,7 @@ def _delimited(spark: SparkSession, paths: Paths, feed: str | None = None, archi
         _known(layout, list(delimited.Delimited.__dataclass_fields__))
         fixed = {k: tuple(tuple(x) if isinstance(x, list) else x for x in v) if isinstance(v, list) else v for k, v in layout.items()}
         spec = delimited.Delimited(**fixed)
-    return delimited.read_delimited(_lines(spark, paths, archived), spec)
+    return delimited.read_delimited(_lines(spark, paths, archived), spec, keys=key_fields)
 
 
 def _environmental(spark: SparkSession, paths: Paths, top: str | None = None, tail: str | None = None) -> Parsed:
@@ -95,7 +97,7 @@ def _environmental(spark: SparkSession, paths: Paths, top: str | None = None, ta
 
 
 def _forecast(spark: SparkSession, paths: Paths, carry_forward: bool = False) -> Parsed:
-    return Parsed(forecast.read_forecasts(spark, paths, carry_forward=carry_forward), _no_rejects(spark))
+    return forecast.parse_forecasts(cut_lineage(forecast.documents(spark, paths)), carry_forward=carry_forward)
 
 
 def _unzip(spark: SparkSession, paths: Paths) -> Parsed:
@@ -103,10 +105,11 @@ def _unzip(spark: SparkSession, paths: Paths) -> Parsed:
 
 
 def _meter(spark: SparkSession, paths: Paths, mode: str = "atomic", archived: bool = False) -> Parsed:
-    """Interval rows with their quality; ``meter.parse`` and ``meter.load`` give the single tables."""
+    """Interval rows with their quality, and the records of the single tables."""
     data = meter.parse(_lines(spark, paths, archived), mode)
-    rows = meter.with_quality(meter.long_intervals(data.readings), data.quality)
-    return Parsed(rows, data.rejects.select("file", "reason"))
+    found = Records(meter.with_quality(meter.long_intervals(data.readings), data.quality), whole_files(data.rejects))
+    found.parts = data
+    return found
 
 
 def _move_only(spark: SparkSession, paths: Paths) -> Parsed:
@@ -115,7 +118,7 @@ def _move_only(spark: SparkSession, paths: Paths) -> Parsed:
 
 
 def _no_rejects(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "file string, reason string")
+    return spark.createDataFrame([], REJECTS)
 
 
 HANDLERS: dict[str, Callable[..., Parsed]] = {
@@ -132,11 +135,16 @@ HANDLERS: dict[str, Callable[..., Parsed]] = {
 
 @dataclass(frozen=True)
 class Target:
-    """Where a job's rows go: table, business keys, and ``upsert``, ``insert`` (absent keys only) or ``append``."""
+    """Where a job's rows go: table, business keys, and ``upsert``, ``insert`` (absent keys only) or ``append``.
+
+    With ``buckets`` (hex digits of their names) an upsert rewrites only the buckets of the table that it touches, see
+    ``sources.commits``; the way for large tables.
+    """
 
     table: str | None = None
     keys: tuple[str, ...] = ()
     mode: str = "upsert"
+    buckets: int = 0
 
 
 def parameters(handler: str, params: str | Mapping[str, object] | None) -> tuple[Target, dict[str, object]]:
@@ -154,14 +162,20 @@ def parameters(handler: str, params: str | Mapping[str, object] | None) -> tuple
         known = Target(feed, delimited.KEYS[feed])
     elif handler == "forecast":
         known = Target("forecast", forecast.KEYS)
+    elif handler == "meter":
+        known = Target("meter")
     elif handler in ("exchange", "rate_card") and (feed or handler) in FEEDS:
         known = Target(FEEDS[feed or handler].table)
     else:
         known = Target()
     keys = rest.pop("key_fields", known.keys)
-    target = Target(rest.pop("table", known.table), tuple([keys] if isinstance(keys, str) else keys), rest.pop("mode", "upsert"))
+    # a meter job's mode says what is kept of a faulty file
+    mode = known.mode if handler == "meter" else rest.pop("mode", known.mode)
+    target = Target(rest.pop("table", known.table), tuple([keys] if isinstance(keys, str) else keys), mode, rest.pop("buckets", 0))
     if target.mode not in ("upsert", "insert", "append"):
         raise HandlerError(f"unknown mode {target.mode!r}")
+    if target.buckets not in (0, 1, 2, 3) or target.buckets and (target.mode != "upsert" or not target.keys):
+        raise HandlerError("buckets are 1 to 3 digits of an upsert with keys")
     return target, rest
 
 
@@ -169,7 +183,9 @@ def dispatch(spark: SparkSession, handler: str, paths: Paths, params: str | Mapp
     """All files of a job through its handler. Bad parameters fail this job only."""
     if handler not in HANDLERS:
         raise HandlerError(f"unknown handler {handler!r}")
-    _, params = parameters(handler, params)
+    target, params = parameters(handler, params)
+    if handler == "delimited":
+        params["key_fields"] = target.keys
     try:
         return HANDLERS[handler](spark, paths, **params)
     except TypeError as fault:

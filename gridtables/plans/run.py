@@ -15,12 +15,13 @@ from gridtables.operators import control
 from gridtables.operators.merge import check_keys
 from gridtables.plans.loads import HandlerError, dispatch, parameters, store, with_lineage
 from gridtables.session import cut_lineage
-from gridtables.sources.lines import Parsed
+from gridtables.sources import commits, meter
+from gridtables.sources.lines import REJECT_COLUMNS, Parsed, Records
 from gridtables.sources.tables import append_batch, read_latest, write_version
 
 LEDGER = (
     "id long, job_id int, file_name string, source_folder string, process_status string, records_processed long,"
-    " file_modified_dttm timestamp_ntz"
+    " file_modified_dttm timestamp_ntz, path string, reason string, cells_lost long"
 )
 
 
@@ -36,15 +37,16 @@ def process_queue(
     Jobs are configuration and run by priority. ``write`` gets the job and its parsed rows and rejects, both with
     ``source_file_id`` and, for last-row-wins, ``priority``, ``mtime`` and ``size``, once for each set of files that were read
     together. A fault of one job, such as bad parameters, fails that job's files and leaves the others alone. Any other fault
-    is narrowed down to the files that have it, and these fail alone.
+    is narrowed down to the files that have it, and these fail alone. A file that fails is entered with the reason, a loaded one
+    with the number of cells that were lost from it.
     """
     active = control.active_jobs(jobs).orderBy("priority", "id").collect()
     if not active:
         return spark.createDataFrame([], LEDGER)
     folders = sorted({job.source_folder.strip() for job in active})
     queue = control.file_queue(control.list_files(spark, folders), jobs)
-    started = control.start_loads(queue, ledger).withColumnsRenamed({"source_folder": "folder", "file_modified_dttm": "mtime"})
-    waiting = cut_lineage(queue.join(started.drop("process_status", "records_processed"), ["job_id", "folder", "file_name", "mtime"]))
+    started = control.start_loads(queue, ledger).select("id", "job_id", "path", F.col("file_name").alias("shown"))
+    waiting = cut_lineage(queue.join(started, ["job_id", "path"]))
     done = spark.createDataFrame([], LEDGER)
     for job in active:
         own = waiting.filter(F.col("job_id") == job.id)
@@ -68,7 +70,7 @@ def isolated(paths: Sequence[str], attempt: Callable[[Sequence[str]], object]) -
         raise
     except FAULTS as fault:
         if len(paths) == 1:
-            return [], {paths[0]: str(fault).splitlines()[0][:300] if str(fault) else type(fault).__name__}
+            return [], {paths[0]: reason_of(fault)}
     half = len(paths) // 2
     first, second = isolated(paths[:half], attempt), isolated(paths[half:], attempt)
     return first[0] + second[0], first[1] | second[1]
@@ -76,8 +78,9 @@ def isolated(paths: Sequence[str], attempt: Callable[[Sequence[str]], object]) -
 
 def _load(spark: SparkSession, job: Row, batch: DataFrame, paths: list[str], write: Callable[[Row, Parsed], None]) -> DataFrame:
     started = batch.select(
-        "id", "job_id", "file_name", F.col("folder").alias("source_folder"), F.lit("STARTED").alias("process_status"),
-        F.lit(0).cast("long").alias("records_processed"), F.col("mtime").alias("file_modified_dttm"))
+        "id", "job_id", F.col("shown").alias("file_name"), F.col("folder").alias("source_folder"), F.lit("STARTED").alias("process_status"),
+        F.lit(0).cast("long").alias("records_processed"), F.col("mtime").alias("file_modified_dttm"), "path",
+        F.lit(None).cast("string").alias("reason"), F.lit(0).cast("long").alias("cells_lost"))
     sources = batch.select(F.col("path").alias("file"), F.col("id").alias("source_file_id"), "priority", "mtime", "size")
 
     def plain(df: DataFrame) -> DataFrame:
@@ -87,12 +90,16 @@ def _load(spark: SparkSession, job: Row, batch: DataFrame, paths: list[str], wri
     def attempt(some: Sequence[str]) -> Parsed:
         parsed = dispatch(spark, job.handler, [literal_path(p) for p in some], job.handler_params)
         found = with_lineage(Parsed(plain(parsed.rows), plain(parsed.rejects)), sources)
-        return Parsed(cut_lineage(found.rows), cut_lineage(found.rejects))
+        found = Parsed(cut_lineage(found.rows), cut_lineage(found.rejects))
+        if isinstance(parsed, Records):
+            found = Records(*found)
+            found.parts = parsed.parts
+        return found
 
     try:
         results, faults = isolated(paths, attempt)
-    except HandlerError:
-        return started.withColumn("process_status", F.lit("ERROR"))
+    except HandlerError as fault:
+        return _failed(started, fault)
     done = spark.createDataFrame([], LEDGER)
     files = batch.select("id", "path")
     for some, found in results:
@@ -101,25 +108,46 @@ def _load(spark: SparkSession, job: Row, batch: DataFrame, paths: list[str], wri
         try:
             write(job, found)
             done = done.unionByName(cut_lineage(control.finish_loads(own, found.rows, found.rejects)))
-        except FAULTS:
-            done = done.unionByName(own.withColumn("process_status", F.lit("ERROR")))
+        except FAULTS as fault:
+            done = done.unionByName(_failed(own, fault))
     if faults:
-        failed = spark.createDataFrame([(p,) for p in faults], "path string").join(files, "path").select("id")
-        done = done.unionByName(started.join(failed, "id", "left_semi").withColumn("process_status", F.lit("ERROR")))
+        reasons = spark.createDataFrame([*faults.items()], "path string, _reason string")
+        done = done.unionByName(started.join(reasons, "path").withColumns(
+            {"process_status": F.lit("ERROR"), "reason": F.col("_reason")}).select(*started.columns))
     return done
 
 
+def _failed(started: DataFrame, fault: Exception) -> DataFrame:
+    return started.withColumns({"process_status": F.lit("ERROR"), "reason": F.lit(reason_of(fault))})
+
+
+def reason_of(fault: Exception) -> str:
+    """First line of what went wrong."""
+    return str(fault).splitlines()[0][:300] if str(fault) else type(fault).__name__
+
+
 def storing(spark: SparkSession, root: str) -> Callable[[Row, Parsed], None]:
     """A ``write`` that puts a job's rows into the table its parameters name, below ``root``.
 
     A keyed load writes a new version of its table: later files overwrite earlier ones, by priority, time, size and line. A load
-    without keys only adds files. Rows keep ``source_file_id``.
+    without keys only adds files; one in buckets rewrites the buckets it touches. Rows keep ``source_file_id``. A meter job adds to its six
+    tables, below the folder its parameters name, in one commit. Refused files and lost cells go to the table's ``.rejects``, a batch
+    named after its first file.
     """
 
     def write(job: Row, found: Parsed) -> None:
         target, _ = parameters(job.handler, job.handler_params)
         if not target.table:
             raise HandlerError("the job names no table")
+        first = found.rejects.agg(F.min("source_file_id")).first()[0]
+        if first is not None:
+            append_batch(found.rejects.select("source_file_id", *REJECT_COLUMNS), f"{root}/{target.table}.rejects", first)
+        if isinstance(found, Records):
+            files = found.rows.select("member", "source_file_id").distinct().withColumnRenamed("member", "file")
+            ids = files.agg(F.min("source_file_id")).first()[0]
+            if ids is not None:
+                meter.store(spark, f"{root}/{target.table}", found.parts, files, ids)
+            return
         rows = found.rows.drop("member", "chunk")
         order = [c for c in ("priority", "mtime", "size", "file", "line_no") if c in rows.columns and c not in target.keys]
         path = f"{root}/{target.table}"
@@ -129,6 +157,11 @@ def storing(spark: SparkSession, root: str) -> Callable[[Row, Parsed], None]:
             if ids is not None:  # the batch is named after its first file, so a repeated load replaces itself
                 append_batch(rows.drop(*order), path, ids)
             return
+        if target.buckets:
+            ids = rows.agg(F.min("source_file_id")).first()[0]
+            entries = commits.upserted(spark, path, target.table, rows, target.keys, order, digits=target.buckets)
+            commits.commit(spark, path, {target.table: entries}, ids)
+            return
         old = read_latest(spark, path)
         if old is None:
             old = spark.createDataFrame([], rows.drop(*order).schema)

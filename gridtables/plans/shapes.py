@@ -9,7 +9,8 @@ from gridtables.operators import positional
 from gridtables.plans import loads
 from gridtables.plans.registry import query, table
 from gridtables.session import cut_lineage
-from gridtables.sources import delimited, environmental, exchange, meter
+from gridtables.sources import delimited, environmental, exchange, forecast, meter
+from gridtables.sources.lines import lost_by_file as lost_counts
 
 _END = 1_000_000_000_000
 
@@ -144,8 +145,9 @@ SELECT 'ClosingSnapshot_Futures_20' || strftime(o_orderdate, '%y%m') || '01.csv'
   CASE WHEN o_orderkey % 11 = 0 THEN 'no date in Settlement_Date' ELSE 'no number in Bid_Size' END AS reason
 FROM orders WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0""")
 def snapshot_rejects(spark, folder):
-    """Lines whose texts are no date or no number where one belongs."""
-    return exchange.read_headed(_snapshot_lines(spark, folder), exchange.HEADED["closing_snapshot_futures"]).rejects.select("file", "line_no", "reason")
+    """Lines whose texts are no date or no number where one belongs, with the first reason by name."""
+    rejects = exchange.read_headed(_snapshot_lines(spark, folder), exchange.HEADED["closing_snapshot_futures"]).rejects
+    return rejects.groupBy("file", "line_no").agg(F.min("reason").alias("reason"))
 
 
 def _snapshot_lines(spark, folder):
@@ -280,7 +282,171 @@ def mixed_headings(spark, folder):
 @query("mixed_headings_rejects", f"""
 SELECT DISTINCT 'm' || user_id AS file, 'a row with more cells than the heading' AS reason FROM events WHERE {_TOO_LONG}""")
 def mixed_headings_rejects(spark, folder):
-    return delimited.read_delimited(_mixed_lines(spark, folder), delimited.Delimited()).rejects
+    return delimited.read_delimited(_mixed_lines(spark, folder), delimited.Delimited()).rejects.select("file", "reason")
+
+
+# --- forecasts: a user's events are the periods of an area ------------------------------------------------
+
+
+def _forecast_texts(spark, folder):
+    """A document for each user: events as periods, purchases with a temperature; some documents break off."""
+    events = table(spark, folder, "events").select("user_id", "event_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("at"))
+    kind, number = F.col("event_type"), F.col("value").cast("string")
+    maximum = F.concat(F.lit('<element type="air_temperature_maximum">'), F.when(kind == "purchase", number).otherwise(""), F.lit("</element>"))
+    period = F.concat(
+        F.lit('<forecast-period index="'), F.col("event_id").cast("string"), F.lit('" start-time-utc="'), F.col("at"), F.lit('">'),
+        F.when(kind.isin("purchase", "error"), maximum).otherwise(""),
+        F.when(kind != "error", F.concat(F.lit('<text type="precis">'), kind, F.lit(" &amp; fine</text>"))).otherwise(""), F.lit("</forecast-period>"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("event_id", period.alias("p")))), lambda s: s["p"]), "\n")
+    users = events.groupBy("user_id").agg(body.alias("body"))
+    name = F.col("user_id").cast("string")
+    text = F.concat(F.lit('<?xml version="1.0"?>\n<product><amoc/><forecast><area aac="A'), name, F.lit('" description="Town '), name, F.lit('" type="location">'),
+                    F.col("body"), F.lit("</area></forecast></product>"))
+    cut = F.substr(text, F.lit(1), F.length(text) - 25)
+    return users.select(F.concat(F.lit("f"), name, F.lit(".xml")).alias("file"), F.when(F.col("user_id") % 7 == 3, cut).otherwise(text).alias("text"))
+
+
+@query("forecast_rows", """
+SELECT 'f' || user_id || '.xml' AS file, 'A' || user_id AS aac, 'Town ' || user_id AS description, CAST(event_id AS DOUBLE) AS "index",
+  strftime(ts, '%Y-%m-%dT%H:%M:%S') AS start_time_utc, CASE WHEN event_type = 'purchase' THEN value END AS air_temperature_maximum,
+  CASE WHEN event_type <> 'error' THEN event_type || ' & fine' END AS precis FROM events WHERE user_id % 7 <> 3""")
+def forecast_rows(spark, folder):
+    rows = forecast.parse_forecasts(_forecast_texts(spark, folder)).rows
+    return rows.select("file", "aac", "description", "index", "start_time_utc", "air_temperature_maximum", "precis")
+
+
+@query("forecast_carried", """
+SELECT 'f' || user_id || '.xml' AS file, CAST(event_id AS DOUBLE) AS "index", CASE WHEN last_kind = 'purchase' THEN last_value END AS air_temperature_maximum,
+  last_word || ' & fine' AS precis FROM (
+  SELECT *, max_by(event_type, event_id) FILTER (WHERE event_type IN ('purchase', 'error')) OVER w AS last_kind,
+    max_by(value, event_id) FILTER (WHERE event_type IN ('purchase', 'error')) OVER w AS last_value,
+    max_by(event_type, event_id) FILTER (WHERE event_type <> 'error') OVER w AS last_word
+  FROM events WHERE user_id % 7 <> 3 WINDOW w AS (PARTITION BY user_id ORDER BY event_id))""")
+def forecast_carried(spark, folder):
+    """A type that a period lacks keeps the value of an earlier one; one that is empty has none."""
+    rows = forecast.parse_forecasts(_forecast_texts(spark, folder), carry_forward=True).rows
+    return rows.select("file", "index", "air_temperature_maximum", "precis")
+
+
+@query("forecast_rejects", "SELECT DISTINCT 'f' || user_id || '.xml' AS file, 'not well-formed XML' AS reason FROM events WHERE user_id % 7 = 3")
+def forecast_rejects(spark, folder):
+    return forecast.parse_forecasts(_forecast_texts(spark, folder)).rejects.select("file", "reason")
+
+
+# --- lost cells, a query for each shape of file -----------------------------------------------------------
+
+
+@query("positional_rejects", """
+WITH o AS (SELECT 'Settlement_Futures_' || strftime(o_orderdate, '%Y%m') || '.txt' AS file, o_orderkey + 2 AS line_no, o_orderkey AS k, o_totalprice AS p FROM orders)
+SELECT file, line_no, 'NSW_Peak_Price' AS "column", 'n/a' AS text, 'no number in NSW_Peak_Price' AS reason FROM o WHERE k % 7 = 0
+UNION ALL SELECT file, line_no, NULL, 'over' || chr(9) || 'done', 'more cells than columns' FROM o WHERE k % 5 = 0
+UNION ALL SELECT file, line_no, 'SA_OffPeak_Price', NULL, 'fewer cells than columns' FROM o WHERE k % 5 = 1""")
+def positional_rejects(spark, folder):
+    """Tab-separated rows with a text for a number, cells beyond the regions' columns, or too few cells."""
+    orders = _monthly(spark, folder, "Settlement_Futures")
+    key = F.col("o_orderkey")
+    price = F.when(key % 7 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    row = _joined(F.col("o_orderpriority"), price, F.lit("-"), key, *[F.lit("")] * 8, F.lit("SA"), F.lit("1"), sep="\t")
+    row = F.when(key % 5 == 1, row).when(key % 5 == 0, F.concat(row, F.lit("\t-\t2\tover\tdone"))).otherwise(F.concat(row, F.lit("\t-\t2\t")))
+    title = F.concat(F.lit("title" + "\t" * 11), F.date_format("month", "dd MMM yyyy"))
+    lines = _lines(_at(orders.select("file", "month").distinct(), 0, title), _at(orders.select("file").distinct(), 1, "NSW"),
+                   orders.select("file", (key + 2).alias("line_no"), row.alias("line")))
+    return exchange.read_positional(lines, exchange.POSITIONAL["settlement_futures"]).rejects.select("file", "line_no", "column", "text", "reason")
+
+
+@query("option_rejects", """
+WITH e AS (SELECT user_id, event_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events)
+SELECT 'u' || user_id AS file, n + 6 AS line_no, 'VIC_Strike' AS "column", event_type AS text, 'no number in VIC_Strike' AS reason FROM e WHERE event_type <> 'view'""")
+def option_rejects(spark, folder):
+    """One block of a user's events, with words where strikes belong."""
+    events = table(spark, folder, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("file"), "event_id", "event_type", "value")
+    rows = positional.numbered(events, ["file"], "event_id")
+    word = F.when(F.col("event_type") != "view", F.col("event_type")).otherwise("1.5")
+    line = _joined(F.col("value"), F.lit("2"), F.lit("-1"), F.lit("3"), word, *[F.lit("")] * 7, sep="\t")
+    files = rows.filter("row_no = 0").select("file")
+    lead = "\t".join(["NSW", "Q1", "", "VIC", "Q1", "", "QLD", "", "", "SA", "", ""])
+    lines = _lines(*[_at(files, i, text) for i, text in enumerate(("title\ttitle\t03 Sep 2002", "\t", "", "", lead, "h", "h"))],
+                   rows.select("file", (F.col("row_no") + 7).alias("line_no"), line.alias("line")))
+    return exchange.read_option_blocks(lines).rejects.select("file", "line_no", "column", "text", "reason")
+
+
+@query("rate_card_rejects", """
+WITH s2 AS (SELECT s_nationkey AS n, min(s_suppkey) AS lo, max(s_suppkey) AS hi FROM supplier GROUP BY n)
+SELECT 'card' || s_nationkey AS file, s_suppkey + 10 AS line_no, c AS "column", t AS text, r AS reason FROM supplier, (VALUES
+  (0, 'FLAT_Swap', 'tba', 'no price in FLAT_Swap'), (1, 'NSLP_Swap', '$1.2.3', 'no price in NSLP_Swap'), (2, NULL, 'note', 'more cells than columns')) v(i, c, t, r)
+WHERE s_suppkey % 4 = i""")
+def rate_card_rejects(spark, folder):
+    """Suppliers as the second table of their nation's card, some prices no amounts of money."""
+    key = F.col("s_suppkey")
+    rows = table(spark, folder, "supplier").select(F.concat(F.lit("card"), F.col("s_nationkey").cast("string")).alias("file"), key.alias("k"), "s_name")
+    k = F.col("k") % 4
+    line = _joined(F.col("s_name"), F.when(k == 0, "tba").otherwise("$5.10"), F.lit("$1.00"), F.when(k == 1, "$1.2.3").otherwise("$2"), F.when(k == 2, "note"))
+    files = rows.select("file").distinct()
+    lines = _lines(*[_at(files, i, text) for i, text in enumerate((
+        "File creation time:,14/06/2016 10:00", ",,,,", ",PEAK Swap,FLAT Swap,$300 Flat Cap*,", "Q1,$1,$2,$3,", ",Flat Swap,$300 Flat Cap*,NSLP Swap,"))],
+        rows.select("file", (F.col("k") + 10).alias("line_no"), line.alias("line")),
+        rows.groupBy("file").agg(F.min("k").alias("k")).select("file", (F.col("k") + 9).alias("line_no"), F.lit("first,$1,$1,$1,").alias("line")),
+        _at(files, _END, "last,$1,$1,$1,"))
+    return exchange.read_rate_card(lines).rejects.select("file", "line_no", "column", "text", "reason")
+
+
+def _profile_lines(spark, folder):
+    """Orders of a month as a load profile; some dates are no dates, some lines too short, some without their area."""
+    orders = _monthly(spark, folder, "Profile")
+    key = F.col("o_orderkey")
+    day = F.when(key % 6 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy/MM/dd"))
+    area = F.when(key % 6 != 1, F.col("o_orderpriority"))
+    made = F.when(key % 6 == 2, "2014/13/01 00:00:00").otherwise("2014/01/03 04:05:06")
+    row = _joined(F.col("o_orderkey"), area, day, made, F.col("o_totalprice"))
+    row = F.when(key % 6 == 3, F.substring_index(row, ",", 4)).otherwise(row)
+    files = orders.select("file").distinct()
+    return _lines(_at(files, 0, "<CSVData>"), _at(files, 1, "ProfileName,ProfileArea,SettlementDate,CreationDT,Period01"),
+                  orders.select("file", (key + 2).alias("line_no"), row.alias("line")), _at(files, _END, "</CSVData>"))
+
+
+_PROFILES = """WITH o AS (SELECT *, 'Profile_' || strftime(o_orderdate, '%Y%m') || '.txt' AS file, o_orderkey % 6 AS m FROM orders),
+n AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY o_orderkey) AS line_no FROM o)"""
+
+
+@query("delimited_rejects", f"""{_PROFILES}
+SELECT file, line_no, 'settlementdate' AS "column", 'soon' AS text, 'no date in settlementdate' AS reason FROM n WHERE m = 0
+UNION ALL SELECT file, line_no, 'settlementdate', NULL, 'no value in key settlementdate' FROM n WHERE m = 0
+UNION ALL SELECT file, line_no, 'profilearea', NULL, 'no value in key profilearea' FROM n WHERE m = 1
+UNION ALL SELECT file, line_no, 'creationdt', '2014/13/01 00:00:00', 'no date in creationdt' FROM n WHERE m = 2
+UNION ALL SELECT file, line_no, 'period01', NULL, 'fewer cells than columns' FROM n WHERE m = 3""")
+def delimited_rejects(spark, folder):
+    """Load profiles: unreadable dates, short lines, and lines without a value in a key, which stay out."""
+    found = delimited.read_delimited(_profile_lines(spark, folder), delimited.FEEDS["load_profile"], keys=delimited.KEYS["load_profile"])
+    return found.rejects.select("file", "line_no", "column", "text", "reason")
+
+
+@query("keyed_profile", f"""{_PROFILES}
+SELECT file, line_no, CAST(o_orderkey AS VARCHAR) AS profilename, o_orderpriority AS profilearea, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS settlementdate,
+  CASE WHEN m <> 3 THEN o_totalprice END AS price FROM n WHERE m > 1""")
+def keyed_profile(spark, folder):
+    found = delimited.read_delimited(_profile_lines(spark, folder), delimited.FEEDS["load_profile"], keys=delimited.KEYS["load_profile"])
+    return found.rows.select("file", "line_no", "profilename", "profilearea", "settlementdate", F.col("period01").cast("double").alias("price"))
+
+
+def _keyless_lines(spark, folder):
+    """A user's events as a file; the heading of every third user's file does not name the key."""
+    events = table(spark, folder, "events").withColumn("file", F.concat(F.lit("k"), F.col("user_id").cast("string")))
+    head = F.when(F.col("user_id") % 3 == 0, "number,value").otherwise("id,value")
+    return _lines(_at(events.select("file", "user_id").distinct(), 0, head),
+                  events.select("file", (F.col("event_id") + 1).alias("line_no"), _joined(F.col("event_id"), F.col("value")).alias("line")))
+
+
+@query("key_check_rejects", "SELECT DISTINCT 'k' || user_id AS file, 'no key column id' AS reason FROM events WHERE user_id % 3 = 0")
+def key_check_rejects(spark, folder):
+    """Files without the key column are refused one by one, beside files that have it."""
+    return delimited.read_delimited(_keyless_lines(spark, folder), delimited.Delimited(), keys=["id"]).rejects.select("file", "reason")
+
+
+@query("lost_by_file", f"""{_PROFILES}
+SELECT file, count(*) AS lines, sum(CASE WHEN m = 0 THEN 2 ELSE 1 END)::BIGINT AS cells FROM n WHERE m < 4 GROUP BY file""")
+def lost_by_file(spark, folder):
+    found = delimited.read_delimited(_profile_lines(spark, folder), delimited.FEEDS["load_profile"], keys=delimited.KEYS["load_profile"])
+    return lost_counts(found.rejects)
 
 
 # --- the other exchange files, each a month of orders ---------------------------------------------------

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from gridtables.functions.expr import heading, null_tokens, strip
 from gridtables.session import cut_lineage
-from gridtables.sources.lines import Parsed, parse_delimited, payload_between, refused, scan_file
+from gridtables.sources.lines import (
+    Parsed, lost_cells, parse_delimited, payload_between, refused, scan_file, unread, whole_files, width_faults, without_value,
+)
 from gridtables.operators import positional
 
 
@@ -99,15 +101,16 @@ def _moment(text: Column, day_first: bool) -> Column:
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
-def read_delimited(lines: DataFrame, spec: Delimited, names: Sequence[str] | None = None) -> Parsed:
+def read_delimited(lines: DataFrame, spec: Delimited, names: Sequence[str] | None = None, keys: Sequence[str] = ()) -> Parsed:
     """Data rows of headed files, each by its own heading unless ``names`` fixes the columns.
 
     Files of one heading are read together and the tables united by column name; the distinct headings reach the driver. A file
-    whose heading lacks a column that the feed dates are made of, or that holds a row with more cells than its heading, is
-    refused with the reason.
+    whose heading lacks a column that the feed dates are made of or one of ``keys``, or that holds a row with more cells than its
+    heading, is refused with the reason. Texts that are no date or number, short lines and, left out of the rows, lines without a
+    value in ``keys`` are rejects of their line.
     """
     if spec.top is None and spec.tail is None:
-        payload, rejects = lines, lines.select("file", F.lit("").alias("reason")).filter(F.lit(False))
+        payload, rejects = lines, whole_files(lines.select("file", F.lit("").alias("reason")).filter(F.lit(False)))
     else:
         payload, rejects = payload_between(lines, spec.top, spec.tail)
     if spec.skip_rows:
@@ -115,7 +118,7 @@ def read_delimited(lines: DataFrame, spec: Delimited, names: Sequence[str] | Non
             "line_no", F.col("line_no") - spec.skip_rows
         )
     if names is not None:
-        rows, more = _read_group(payload, spec, list(names))
+        rows, more = _read_group(payload, spec, list(names), keys)
         return Parsed(rows, rejects.unionByName(more))
     texts = cut_lineage(heading_texts(payload, spec.header_lines))
     tables: list[DataFrame] = []
@@ -123,11 +126,11 @@ def read_delimited(lines: DataFrame, spec: Delimited, names: Sequence[str] | Non
     for variant in texts.select("texts").distinct().collect():
         files = texts.filter(F.col("texts") == F.array(*map(F.lit, variant.texts))).select("file")
         columns = column_names(variant.texts, spec.sep)
-        if needed >= len(columns) or len(set(columns)) < len(columns):
-            reason = "too few columns" if needed >= len(columns) else "a column name stands twice"
-            rejects = rejects.unionByName(files.withColumn("reason", F.lit(reason)))
+        reason = _unusable(columns, spec, needed, keys)
+        if reason:
+            rejects = rejects.unionByName(whole_files(files.withColumn("reason", F.lit(reason))))
             continue
-        rows, more = _read_group(payload.join(files, "file", "left_semi"), spec, columns)
+        rows, more = _read_group(payload.join(files, "file", "left_semi"), spec, columns, keys)
         tables.append(rows)
         rejects = rejects.unionByName(more)
     if not tables:
@@ -138,28 +141,47 @@ def read_delimited(lines: DataFrame, spec: Delimited, names: Sequence[str] | Non
     return Parsed(united, rejects)
 
 
-def _read_group(payload: DataFrame, spec: Delimited, names: list[str]) -> Parsed:
+def _unusable(columns: list[str], spec: Delimited, needed: int, keys: Sequence[str]) -> str | None:
+    """Why files under a heading cannot be read."""
+    if needed >= len(columns):
+        return "too few columns"
+    if len(set(columns)) < len(columns):
+        return "a column name stands twice"
+    combined = [[columns[i] for i in d] for d in spec.dates if not isinstance(d, int)]
+    gone = set() if spec.keep_date_columns else {c for parts in combined for c in parts}
+    missing = [k for k in keys if k not in {*columns, *("_".join(parts) for parts in combined)} - gone]
+    return f"no key column {', '.join(missing)}" if missing else None
+
+
+def _read_group(payload: DataFrame, spec: Delimited, names: list[str], keys: Sequence[str] = ()) -> Parsed:
     """Files of one heading."""
     data = payload.filter((F.col("line_no") > max(spec.header_lines)) & (strip(F.col("line")) != ""))
     if spec.skip_footer:
         ends = scan_file(data, _rows=positional.whole_sum(F.lit(1).cast("long")), _row=positional.running(F.lit(1).cast("long")))
         data = ends.filter(F.col("_row") <= F.col("_rows") - spec.skip_footer).drop("_rows", "_row")
-    table = parse_delimited(data, [*names, "_extra"], spec.sep, spec.skip_initial_space)
-    over = strip(F.col("_extra")) != ""
-    rejects = refused(table.filter(over), "a row with more cells than the heading")
-    table = table.join(rejects.select("file"), "file", "left_anti").drop("_extra")
+    too_many, too_few = width_faults(F.col("line"), names, spec.sep)
+    data = data.withColumn("_beyond", too_many.isNotNull()).withColumn("_short", too_few)
+    table = parse_delimited(data, names, spec.sep, spec.skip_initial_space, keep=["_beyond", "_short"])
+    rejects = refused(table.filter("_beyond"), "a row with more cells than the heading")
+    table = table.join(rejects.select("file"), "file", "left_anti").drop("_beyond")
     if spec.na_values:
         table = table.withColumns({n: null_tokens(strip(F.col(n)), spec.na_values) for n in names})
 
-    drop = []
+    drop, lost = [], []
     for date in spec.dates:
-        if isinstance(date, int):
-            column = names[date]
-            table = table.withColumn(column, _moment(F.col(column), spec.day_first))
-        else:
-            parts = [names[i] for i in date]
-            text = F.concat_ws(" ", *[F.col(p) for p in parts])
-            table = table.withColumn("_".join(parts), _moment(text, spec.day_first))
-            drop += [] if spec.keep_date_columns else parts
-    table = table.withColumns({c: F.col(c).try_cast("double") for c in spec.numeric}) if spec.numeric else table
-    return Parsed(table.drop("chunk", *drop), rejects)
+        parts = [names[date]] if isinstance(date, int) else [names[i] for i in date]
+        text = F.col(parts[0]) if isinstance(date, int) else F.concat_ws(" ", *[F.col(p) for p in parts])
+        name, place = "_".join(parts), f"_lost{len(lost)}"
+        moment = _moment(text, spec.day_first)
+        table = table.withColumns({place: unread(name, text, moment, "date"), name: moment})
+        lost.append(place)
+        drop += [] if isinstance(date, int) or spec.keep_date_columns else parts
+    numeric = [c for c in spec.numeric if c in table.columns]
+    table = table.withColumns({f"_lost_{c}": unread(c, F.col(c), F.col(c).try_cast("double"), "number") for c in numeric})
+    lost += [f"_lost_{c}" for c in numeric]
+    table = table.withColumns({c: F.col(c).try_cast("double") for c in numeric})
+    # a key whose text could not be read has both entries: the second says that the line stays out
+    entries = F.array_compact(F.array(*[F.col(c) for c in ("_short", *lost)], *[without_value(k) for k in keys]))
+    faults = lost_cells(table, entries)
+    table = table.drop("_short", *lost).dropna(subset=list(keys)) if keys else table.drop("_short", *lost)
+    return Parsed(table.drop("chunk", *drop), whole_files(rejects).unionByName(faults))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtables.functions.expr import drop_unnamed, iso_filename_date
+from gridtables.functions.expr import drop_unnamed, iso_filename_date, strip
 from gridtables.sources.delimited import Delimited, read_delimited
-from gridtables.sources.lines import Parsed, refused
+from gridtables.sources.lines import Parsed, lost_cells, refused, unread, whole_files
 
 # The price columns, which together are the key of the table.
 PRICE_COLUMNS = (
@@ -25,11 +25,14 @@ def read_closing_prices(lines: DataFrame, top: str | None = None, tail: str | No
     missing = [c for c in PRICE_COLUMNS if c not in table.columns]
     if missing:
         raise ValueError(f"columns missing from the heading: {', '.join(missing)}")
+    table = table.filter(F.col("tenor").isNotNull())
+    lost = [unread(c, F.col(c), strip(F.col(c)).try_cast(t), "number") for c, t in _TYPES.items()]
+    faults = lost_cells(table, F.array_compact(F.array(*lost)))
     table = (
-        table.filter(F.col("tenor").isNotNull())
+        table
         .withColumns({c: F.col(c).try_cast(t) for c, t in _TYPES.items()})
         .withColumn("instrument", F.coalesce("instrument", F.lit("ESC")))
         .withColumn("tenor_type", F.coalesce("tenor_type", F.lit("Spot")))
         .withColumn("date", iso_filename_date(F.col("file")))
     )
-    return Parsed(table.select("file", "line_no", *PRICE_COLUMNS, "date"), rejects.unionByName(unmarked))
+    return Parsed(table.select("file", "line_no", *PRICE_COLUMNS, "date"), whole_files(rejects).unionByName(unmarked).unionByName(faults))

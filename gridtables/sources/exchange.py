@@ -13,7 +13,9 @@ from gridtables.functions.expr import (
 )
 from gridtables.operators import positional, quality
 from gridtables.session import cut_lineage
-from gridtables.sources.lines import Parsed, cells, parse_delimited, refused, scan_file, split_blocks, with_file_facts
+from gridtables.sources.lines import (
+    Parsed, cells, lost_cells, parse_delimited, refused, scan_file, split_blocks, unread, whole_files, width_faults, with_file_facts,
+)
 
 REGIONS = ("NSW", "VIC", "QLD", "SA")
 
@@ -47,11 +49,21 @@ OPTION_COLUMNS = _per_region("Call_OI", "Strike", "Put_OI")
 
 def _typed(df: DataFrame, texts: tuple[str, ...] = ()) -> DataFrame:
     """Number columns as doubles; everything that is not a number, text or date stays as it is."""
-    numbers = [
+    return df.withColumns({c: F.col(c).try_cast("double") for c in _numbers(df, texts)})
+
+
+def _numbers(df: DataFrame, texts: tuple[str, ...] = ()) -> list[str]:
+    return [
         f.name for f in df.schema.fields
         if f.dataType.typeName() == "string" and f.name not in texts and f.name not in ("file", "line")
     ]
-    return df.withColumns({c: F.col(c).try_cast("double") for c in numbers})
+
+
+def _numbered(table: DataFrame, texts: tuple[str, ...], columns: tuple[str, ...], rejects: DataFrame, sep: str = "\t") -> Parsed:
+    """Rows (with their ``line``) with numbers in place of texts; what is no number, and lines that are too long or short, are lost cells."""
+    lost = [unread(c, F.col(c), strip(F.col(c)).try_cast("double"), "number") for c in _numbers(table, texts)]
+    faults = lost_cells(table, F.array_compact(F.array(*lost, *width_faults(F.col("line"), columns, sep))))
+    return Parsed(_typed(table.drop("line"), texts), whole_files(rejects).unionByName(faults))
 
 
 def read_positional(lines: DataFrame, spec: Positional) -> Parsed:
@@ -66,7 +78,7 @@ def read_positional(lines: DataFrame, spec: Positional) -> Parsed:
         values = [dash_to_zero(v) for v in values]
     named = [v.alias(n) for v, n in zip(values, spec.columns)]
     periods = tuple(c for c in spec.columns if c.endswith("_Period"))
-    return Parsed(_typed(data.select("file", "line_no", *named, "Settlement_Date"), periods), rejects)
+    return _numbered(data.select("file", "line_no", *named, "Settlement_Date", "line"), periods, spec.columns, rejects)
 
 
 def read_option_blocks(lines: DataFrame) -> Parsed:
@@ -88,10 +100,10 @@ def read_option_blocks(lines: DataFrame) -> Parsed:
     led = scan_file(found, _lead=positional.carry(usable)).join(dates, "file")
     data = led.filter("_lead.ok AND block_row > 3 AND Settlement_Date IS NOT NULL")
     columns = [F.col(f"_c.c{i}").alias(n) for i, n in enumerate(OPTION_COLUMNS)]
-    table = data.select("file", "line_no", *columns, *[F.col(f"_lead.{n}").alias(n) for n in periods], "Settlement_Date")
+    table = data.select("file", "line_no", *columns, *[F.col(f"_lead.{n}").alias(n) for n in periods], "Settlement_Date", "line")
     with_rows = table.select("file").distinct()
     empty = lines.select("file").distinct().join(with_rows, "file", "left_anti")
-    return Parsed(_typed(table, tuple(periods)), refused(empty, "no usable block"))
+    return _numbered(table, tuple(periods), OPTION_COLUMNS, refused(empty, "no usable block"))
 
 
 # --- headed tables --------------------------------------------------------------------------------
@@ -145,18 +157,16 @@ HEADED = {
 def read_headed(lines: DataFrame, spec: Headed) -> Parsed:
     """Snapshot, report and trade files; blanks become null and dates may come in two patterns.
 
-    A text that is no date or number where one belongs becomes null, and its line is among the rejects, with its number;
-    only blanks are filled. Rejects without a line number refuse their file.
+    A text that is no date or number where one belongs becomes null, and its cell is among the rejects; only blanks are filled.
     """
     body = lines.filter((F.col("line_no") >= 1) & (strip(F.col("line")) != ""))
-    raw = parse_delimited(body, spec.columns)
+    raw = parse_delimited(body, spec.columns, keep=["line"])
     numbers = [c for c in spec.columns if c not in spec.dates and c not in spec.texts]
     given = {c: F.when(strip(F.col(c)) != "", strip(F.col(c))) for c in (*spec.dates, *numbers)}
-    lost = [F.when(date_lost(given[c], mixed_date(F.col(c))), F.lit(f"no date in {c}")) for c in spec.dates]
-    lost += [F.when(date_lost(given[c], given[c].try_cast("double")), F.lit(f"no number in {c}")) for c in numbers]
-    judged = raw.withColumn("_lost", F.coalesce(*lost))
-    faults = judged.filter("_lost IS NOT NULL").select("file", "line_no", F.col("_lost").alias("reason"))
-    table = judged.drop("_lost")
+    lost = [unread(c, F.col(c), mixed_date(F.col(c)), "date") for c in spec.dates]
+    lost += [unread(c, F.col(c), given[c].try_cast("double"), "number") for c in numbers]
+    faults = lost_cells(raw, F.array_compact(F.array(*lost, *width_faults(F.col("line"), spec.columns))))
+    table = raw.drop("line")
     if spec.fill_date:
         table = table.withColumn("_unread", date_lost(given[spec.fill_date], mixed_date(F.col(spec.fill_date))))
     table = table.withColumns({c: mixed_date(F.col(c)) for c in spec.dates})
@@ -176,7 +186,7 @@ def read_headed(lines: DataFrame, spec: Headed) -> Parsed:
         table = table.join(rejects.select("file"), "file", "left_anti")
     if spec.unique:
         table = quality.resolve(table.drop("chunk"), ["file", *spec.unique], {**spec.rules, "line_no": "min"})
-    return Parsed(table.drop("chunk"), rejects.withColumn("line_no", F.lit(None).cast("long")).unionByName(faults))
+    return Parsed(table.drop("chunk"), whole_files(rejects).unionByName(faults))
 
 
 # --- rate card ------------------------------------------------------------------------------------
@@ -208,10 +218,12 @@ def read_rate_card(lines: DataFrame) -> Parsed:
     spans = with_file_facts(
         placed, **{f"_f{s}": F.min(p) for s, p in in_section.items()}, **{f"_l{s}": F.max(p) for s, p in in_section.items()})
     filled = F.coalesce(a, b, c, d).isNotNull()
-    parts = []
+    parts, rejects = [], whole_files(rejects)
     for section, names in ((1, _FIRST_SECTION), (2, _SECOND_SECTION)):
         rows = spans.filter(filled & (F.col("section") == section) & n.between(F.col(f"_f{section}"), F.col(f"_l{section}")))
         values = [F.col(f"_c.c{i}") if i == 0 else money(F.col(f"_c.c{i}")) for i in range(4)]
+        lost = [unread(names[i], F.col(f"_c.c{i}"), values[i], "price") for i in range(1, 4)]
+        rejects = rejects.unionByName(lost_cells(rows, F.array_compact(F.array(*lost, *width_faults(F.col("line"), names)))))
         parts.append(rows.select("file", "line_no", *[v.alias(m) for v, m in zip(values, names)], F.col("_made").alias("File_Creation_Date")))
     table = quality.union_pad(*parts)
     order = ["file", "line_no", "Period", "FLAT_Swap", "PEAK_Swap", "NSLP_Swap", "FLAT_Cap_$300", "File_Creation_Date"]

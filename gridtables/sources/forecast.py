@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.functions.expr import heading, metadata_path
+from gridtables.functions.expr import heading, metadata_path, strip
+from gridtables.sources.lines import Parsed, refused, whole_files
 
 # Attributes and element types of the forecast product.
 AREA_ATTRIBUTES = ("aac", "description", "type", "parent-aac")
@@ -49,6 +50,32 @@ def read_forecasts(
         .load(paths if isinstance(paths, str) else list(paths))
         .withColumn("file", metadata_path(F.col("_metadata.file_path")))
     )
+    return _wide(areas, types, numbers, carry_forward)
+
+
+def documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, text): each file as one text. A forecast product is small; larger files are for ``read_forecasts``, which splits them."""
+    whole = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
+    return whole.select(metadata_path(F.col("_metadata.file_path")).alias("file"), F.col("value").alias("text"))
+
+
+def parse_forecasts(
+    texts: DataFrame, types: Sequence[str] = ELEMENT_TYPES, numbers: Sequence[str] = NUMBERS, carry_forward: bool = False,
+) -> Parsed:
+    """The same from XML documents held in a column (file, text). A document that is not well-formed, or none at all, is refused."""
+    fields = _schema().replace("` string", "`: string").replace("`forecast-period` array", "`forecast-period`: array")
+    schema = f"forecast struct<area: array<struct<{fields}>>>, {_BAD} string"
+    found = texts.withColumn("_xml", F.from_xml("text", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}))
+    bad = F.col("_xml").isNull() | F.col(f"_xml.{_BAD}").isNotNull() | (strip(F.coalesce("text", F.lit(""))) == "")
+    rejects = refused(found.filter(bad), "not well-formed XML")
+    areas = found.filter(~bad).select("file", F.explode("_xml.forecast.area").alias("_area")).select("file", "_area.*")
+    return Parsed(_wide(areas, types, numbers, carry_forward), whole_files(rejects))
+
+
+_BAD = "_bad"
+
+
+def _wide(areas: DataFrame, types: Sequence[str], numbers: Sequence[str], carry_forward: bool) -> DataFrame:
     none = F.array().cast("array<struct<_VALUE: string, _type: string>>")
 
     def children(period: Column) -> Column:

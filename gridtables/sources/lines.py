@@ -7,6 +7,7 @@ order logic runs per (file, chunk) through ``operators.positional``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -19,8 +20,25 @@ from gridtables.session import cut_lineage
 
 
 class Parsed(NamedTuple):
+    """Rows of files and what is not among them, as (file, reason, line_no, column, text).
+
+    A reject without a line number refuses its file. One with a line number is a lost cell: a text that is no date or number
+    where one belongs, a cell beyond the columns, a line with too few cells (no text), a key without a value. The line is loaded
+    with null in that place, unless the cell belongs to the key of the load: then the line stays out.
+    """
+
     rows: DataFrame
-    rejects: DataFrame  # file, reason: one row per refused file
+    rejects: DataFrame
+
+
+class Records(Parsed):
+    """Parsed files whose records belong to several tables: ``parts`` has them by type, as a dataclass of frames with ``file``."""
+
+    parts: object = None
+
+
+REJECT_COLUMNS = ("file", "reason", "line_no", "column", "text")
+REJECTS = "file string, reason string, line_no long, column string, text string"
 
 
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str], **options: str) -> DataFrame:
@@ -69,6 +87,55 @@ def refused(df: DataFrame, reason: Column | str) -> DataFrame:
     )
 
 
+def whole_files(df: DataFrame) -> DataFrame:
+    """(file, reason) of refused files as rejects."""
+    none = F.lit(None)
+    return df.select("file", "reason", none.cast("long").alias("line_no"), none.cast("string").alias("column"), none.cast("string").alias("text"))
+
+
+def cell(column: str | None, text: Column, reason: Column | str) -> Column:
+    """An entry of a line's array of lost cells."""
+    reason = F.lit(reason) if isinstance(reason, str) else reason
+    return F.struct(F.lit(column).cast("string").alias("column"), text.cast("string").alias("text"), reason.cast("string").alias("reason"))
+
+
+def unread(column: str, text: Column, value: Column, what: str) -> Column:
+    """The entry of a cell that holds a text and gives no value; null otherwise."""
+    return F.when((strip(text) != "") & value.isNull(), cell(column, text, f"no {what} in {column}"))
+
+
+def without_value(column: str) -> Column:
+    return F.when(F.col(column).isNull(), cell(column, F.lit(None), f"no value in key {column}"))
+
+
+TOO_MANY, TOO_FEW = "more cells than columns", "fewer cells than columns"
+
+
+def width_faults(line: Column, names: Sequence[str], sep: str = ",") -> list[Column]:
+    """Entries of a line whose number of cells is not that of the columns; blank cells beyond them are no loss.
+
+    Separators inside quotes do not count. The text of cells beyond the columns is shown without what quotes hold.
+    """
+    found = F.split(F.regexp_replace(line, '"[^"]*"', '""'), re.escape(sep))
+    beyond = F.slice(found, F.lit(len(names) + 1), F.greatest(F.size(found) - len(names), F.lit(0)))
+    short = F.element_at(F.array(*[F.lit(n) for n in names]), F.least(F.size(found) + 1, F.lit(len(names))))
+    return [
+        F.when(F.exists(beyond, lambda c: strip(c) != ""), cell(None, F.array_join(beyond, sep), TOO_MANY)),
+        F.when(F.size(found) < len(names), F.struct(short.alias("column"), F.lit(None).cast("string").alias("text"), F.lit(TOO_FEW).alias("reason"))),
+    ]
+
+
+def lost_cells(df: DataFrame, entries: Column) -> DataFrame:
+    """The entries of every line, an array by line, as rejects."""
+    each = df.select("file", "line_no", F.explode(entries).alias("_cell"))
+    return each.select("file", "_cell.reason", F.col("line_no").cast("long").alias("line_no"), "_cell.column", "_cell.text")
+
+
+def lost_by_file(rejects: DataFrame) -> DataFrame:
+    """(file, lines, cells): how many lines of each file lost something, and how many cells."""
+    return rejects.filter("line_no IS NOT NULL").groupBy("file").agg(F.count_distinct("line_no").alias("lines"), F.count("*").alias("cells"))
+
+
 def payload_between(lines: DataFrame, top: str | None = None, tail: str | None = None) -> Parsed:
     """Lines between the first ``top`` marker and the next ``tail`` marker of each file, renumbered from 0.
 
@@ -103,7 +170,7 @@ def payload_between(lines: DataFrame, top: str | None = None, tail: str | None =
     none = lines.select("file", F.lit("").alias("reason")).filter(F.lit(False))
     for r in rejects:
         none = none.unionByName(r)
-    return Parsed(body, none)
+    return Parsed(body, whole_files(none))
 
 
 def cells(line: Column, count: int, sep: str = ",", skip_blanks: bool = False) -> Column:
@@ -115,10 +182,10 @@ def cells(line: Column, count: int, sep: str = ",", skip_blanks: bool = False) -
     return F.from_csv(line, schema, options)
 
 
-def parse_delimited(lines: DataFrame, names: Sequence[str], sep: str = ",", skip_blanks: bool = False) -> DataFrame:
-    """The lines as text columns ``names`` beside ``file``, ``line_no`` and ``chunk``."""
+def parse_delimited(lines: DataFrame, names: Sequence[str], sep: str = ",", skip_blanks: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """The lines as text columns ``names`` beside ``file``, ``line_no``, ``chunk`` and the columns to ``keep``."""
     parsed = lines.withColumn("_c", cells(F.col("line"), len(names), sep, skip_blanks))
-    return parsed.select("file", "line_no", "chunk", *[F.col(f"_c.c{i}").alias(n) for i, n in enumerate(names)])
+    return parsed.select("file", "line_no", "chunk", *keep, *[F.col(f"_c.c{i}").alias(n) for i, n in enumerate(names)])
 
 
 def split_blocks(lines: DataFrame, separator: Column, closed_only: bool = False) -> DataFrame:

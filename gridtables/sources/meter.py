@@ -7,6 +7,7 @@ names its first fault, and files are accepted or quarantined by the first faulty
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -17,8 +18,9 @@ from gridtables.functions import rules
 from gridtables.functions.expr import WHITESPACE, digits_to_timestamp, file_name, interval_end, strip
 from gridtables.functions.rules import Field
 from gridtables.operators import positional, ranges
-from gridtables.operators.merge import append, get_or_create_keys, with_row_ids
-from gridtables.session import cut_lineage
+from gridtables.operators.merge import append, new_keys, with_keys, with_row_ids
+from gridtables.session import cut_lineage, staged
+from gridtables.sources import commits
 from gridtables.sources.lines import refused, scan_file
 
 MINUTES = 1440
@@ -60,6 +62,8 @@ FOLLOWS: Mapping[str, tuple[str | None, ...]] = {
     "500": ("300", "400", "500"),
     "900": ("300", "400", "500"),
 }
+# record types that have an output of their own
+OWN_TABLE = ("100", "200", "300", "400", "500")
 _PAIR = "[A-HJ-NP-Z][1-9A-HJ-NP-Z]"
 # digits after the point by first letter of the unit; other units take whole numbers
 SCALES = {"M": 6, "K": 3, "P": 2}
@@ -210,7 +214,7 @@ def _line_error(strict_power_factor: bool) -> Column:
 def check(lines: DataFrame, strict_power_factor: bool = False) -> DataFrame:
     """Records with their parents, ``error`` (first fault of the line) and ``file_error`` (fault of the file).
 
-    The judged records feed every output table, so they are stored once where a checkpoint folder is set.
+    The judged records feed every output table, so they are stored once, by record type: each output reads its own.
     """
     records = _with_parents(_records(lines))
     blank = (F.col("rec") == "") & (F.size("t") <= 0)
@@ -222,12 +226,13 @@ def check(lines: DataFrame, strict_power_factor: bool = False) -> DataFrame:
         .when(F.col("end_line").isNull(), "no end record")
         .when(F.col("_past"), "content after the end record")
     )
-    judged = cut_lineage(judged.withColumn("_fault", fault))
+    kind = F.when(F.col("rec").isin(*OWN_TABLE), F.col("rec")).otherwise("other")
+    judged = staged(judged.select("*", fault.alias("_fault"), kind.alias("_kind")), "_kind")
     faults = judged.groupBy("file").agg(
         F.min(F.when(F.col("error").isNotNull(), F.col("line_no"))).alias("first_bad"),
         F.min("_fault").alias("file_error"),
     )
-    return judged.drop("_fault").join(faults, "file")
+    return judged.drop("_fault").join(staged(faults), "file")
 
 
 def parse(lines: DataFrame, mode: str = "atomic", strict_power_factor: bool = False) -> MeterData:
@@ -247,7 +252,7 @@ def parse(lines: DataFrame, mode: str = "atomic", strict_power_factor: bool = Fa
     kept = judged.filter(good)
 
     def fields(rec: str, spec: tuple[Field, ...], *extra: Column) -> DataFrame:
-        return kept.filter(F.col("rec") == rec).select(
+        return kept.filter(F.col("_kind") == rec).select(
             "file", "line_no", *extra, *[_typed(F.get(F.col("t"), F.lit(i)), f).alias(f.name) for i, f in enumerate(spec)]
         )
 
@@ -256,7 +261,7 @@ def parse(lines: DataFrame, mode: str = "atomic", strict_power_factor: bool = Fa
     streams = fields("200", STREAM_FIELDS, F.col("file_line"))
 
     n = F.col("per_day")
-    days = kept.filter("rec = '300'").select(
+    days = kept.filter("_kind = '300'").select(
         "file", "line_no", "file_line", stream_line, F.col("stream.minutes").alias("IntervalLength"),
         digits_to_timestamp(F.get("t", F.lit(0))).cast("date").alias("IntervalDate"),
         F.transform(F.slice("t", F.lit(2), n), lambda v: v.try_cast("decimal(21,6)")).alias("IntervalValues"),
@@ -327,17 +332,24 @@ def empty_tables(spark) -> MeterTables:
 
 
 def load(tables: MeterTables, data: MeterData, source_files: DataFrame) -> MeterTables:
-    """Adds parsed records to the tables. ``source_files`` (file, source_file_id) is the ledger's view of the files.
+    """The tables with the parsed records, see ``additions``."""
+    more = additions(tables, data, source_files)
+    return MeterTables(**{f.name: append(getattr(tables, f.name), getattr(more, f.name)) for f in dataclasses.fields(MeterTables)})
+
+
+def additions(tables: MeterTables, data: MeterData, source_files: DataFrame) -> MeterTables:
+    """The rows that parsed records add to each table. ``source_files`` (file, source_file_id) is the ledger's view of the files.
 
     Files and streams get or keep their id by value; readings and their keys are plain inserts.
     """
     file_keys = [f.name for f in FILE_FIELDS]
     stream_keys = [f.name for f in STREAM_FIELDS]
-    file_details, files = get_or_create_keys(tables.file_details, data.files, file_keys, "ID")
-    stream_details, streams = get_or_create_keys(tables.stream_details, data.streams, stream_keys, "ID")
+    file_details = cut_lineage(new_keys(tables.file_details, data.files, file_keys, "ID"))
+    stream_details = cut_lineage(new_keys(tables.stream_details, data.streams, stream_keys, "ID"))
+    files = with_keys(append(tables.file_details, file_details), data.files, file_keys, "ID")
+    streams = with_keys(append(tables.stream_details, stream_details), data.streams, stream_keys, "ID")
 
     numbered = cut_lineage(with_row_ids(data.readings, tables.readings, ["file", "line_no"], "ID"))
-    readings = append(tables.readings, numbered.select(*tables.readings.columns))
 
     parents = files.select("file", F.col("line_no").alias("file_line"), F.col("ID").alias("FileDetailsID"))
     stream_ids = streams.select("file", F.col("line_no").alias("stream_line"), F.col("ID").alias("StreamDetailsID"))
@@ -348,15 +360,28 @@ def load(tables: MeterTables, data: MeterData, source_files: DataFrame) -> Meter
         .join(source_files, "file", "left")
     )
     keyed = cut_lineage(with_row_ids(cut_lineage(links), tables.interval_key, ["file", "line_no"], "ID"))
-    interval_key = append(tables.interval_key, keyed.select(*tables.interval_key.columns))
-
     of_reading = keyed.select("file", F.col("line_no").alias("reading_line"), F.col("ID").alias("KeyID"))
 
     def child(table: DataFrame, rows: DataFrame) -> DataFrame:
         keys = [c for c in table.columns if c != "ID"]
-        grown, _ = get_or_create_keys(table, rows.join(of_reading, ["file", "reading_line"]).select(*keys), keys, "ID")
-        return grown
+        return new_keys(table, rows.join(of_reading, ["file", "reading_line"]).select(*keys), keys, "ID").select(*table.columns)
 
     return MeterTables(
-        file_details, stream_details, readings, interval_key, child(tables.quality, data.quality), child(tables.b2b, data.b2b)
+        file_details.select(*tables.file_details.columns), stream_details.select(*tables.stream_details.columns),
+        numbered.select(*tables.readings.columns), keyed.select(*tables.interval_key.columns), child(tables.quality, data.quality),
+        child(tables.b2b, data.b2b),
     )
+
+
+def stored_tables(spark, root: str) -> MeterTables:
+    """The six tables as of the last commit under ``root``."""
+    none = empty_tables(spark)
+    return MeterTables(**{f.name: held if (held := commits.read(spark, root, f.name)) is not None else getattr(none, f.name)
+                          for f in dataclasses.fields(MeterTables)})
+
+
+def store(spark, root: str, data: MeterData, source_files: DataFrame, batch: int | None = None) -> int:
+    """Adds parsed records to the six tables under ``root`` in one commit: readers see all of them or, after a fault, none."""
+    more = additions(stored_tables(spark, root), data, source_files)
+    entries = {f.name: commits.added(getattr(more, f.name), root, f.name, "ID") for f in dataclasses.fields(MeterTables)}
+    return commits.commit(spark, root, entries, batch)

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridtables.functions.expr import literal_path, plain_path
+from gridtables.operators.merge import check_keys
 from gridtables.plans.loads import dispatch, store
 from gridtables.plans.run import isolated
 from gridtables.session import cut_lineage
-from gridtables.sources.lines import Parsed
+from gridtables.sources.lines import REJECT_COLUMNS, Parsed, whole_files
 from gridtables.sources.tables import append_batch, finished_versions, read_latest, upsert_partitions, write_version
 
 _FILES = "path string, modificationTime timestamp, length long, content binary"
@@ -39,8 +40,8 @@ def load_folder(
     size of a batch and not of the load. Batch ``n`` writes table version ``n + 1``, so a batch that is repeated after a failure
     is not applied twice. Without keys a batch only adds its own files, see ``tables.read_appended``. With ``partitions`` (key
     columns) a batch rewrites only the partitions it touches, the way for large tables; repeating such an upsert gives the
-    same rows. Files that cannot be read fail alone. A file rewritten under an old name is not seen again: such
-    feeds are loaded from the queue and ledger instead. Refused files go to ``root.rejects``. Default
+    same rows. Files that cannot be read or lack a key column fail alone. A file rewritten under an old name is not seen again: such
+    feeds are loaded from the queue and ledger instead. Refused files and lost cells go to ``root.rejects``. Default
     trigger: everything there is, then stop.
     """
     files = (
@@ -58,11 +59,13 @@ def load_folder(
             return
 
         def attempt(some: Sequence[str]) -> Parsed:
-            found = dispatch(session, handler, [literal_path(p) for p in some], params)
-            return Parsed(cut_lineage(found.rows), cut_lineage(found.rejects.select("file", "reason")))
+            given = {**(params or {}), "key_fields": list(keys)} if keys else params
+            found = dispatch(session, handler, [literal_path(p) for p in some], given)
+            check_keys(found.rows, keys if found.rows.columns[2:] else ())  # no columns: every file is among the rejects
+            return Parsed(cut_lineage(found.rows), cut_lineage(found.rejects.select(*REJECT_COLUMNS)))
 
         results, faults = isolated([plain(p) for p in paths], attempt)
-        rejects = session.createDataFrame([*faults.items()], "file string, reason string")
+        rejects = whole_files(session.createDataFrame([*faults.items()], "file string, reason string"))
         rows = None
         for _, found in results:
             rejects = rejects.unionByName(found.rejects)

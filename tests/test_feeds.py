@@ -225,3 +225,41 @@ def test_daily_feeds_are_found_by_name(spark, write):
     found = loads.read_daily(spark, folder)
     assert list(found) == ["closing_snapshot_options"]
     assert sorted(str(r.Settlement_Date) for r in found["closing_snapshot_options"].rows.collect()) == ["2009-07-01", "2009-07-02"]
+
+
+def lost(rejects):
+    return sorted(((r.line_no, r.column, r.text, r.reason) for r in rejects.collect()), key=repr)
+
+
+def test_cells_that_cannot_be_read_are_named(spark, write):
+    head = "\t" * 3 + "03 Sep 2002\nh\n"
+    short, full = "Q1\t1\t2\tQ1", "Q1\tabc\t2\tQ1\t-\t1\tQ1\t1\t1\tQ1\t1\t1"
+    folder = write({"oi.txt": head + full + "\tmore\n" + short + "\n" + full.replace("abc", "1").replace("-", " ") + "\t\t\n"})
+    rows, rejects = exchange.read_positional(lines(spark, folder, "oi.txt"), exchange.POSITIONAL["open_interest_futures"])
+    assert rows.count() == 3 and lost(rejects) == [
+        (2, "NSW_Peak_OI", "abc", "no number in NSW_Peak_OI"), (2, "VIC_Peak_OI", "-", "no number in VIC_Peak_OI"),
+        (2, None, "more", "more cells than columns"), (3, "VIC_Peak_OI", None, "fewer cells than columns")]
+    write({"report.csv": 'h\nABC,12,20/11/2012,EXTRA\nABC,12\n"A,C",12,20/11/2012\nABC,,20/11/2012,,\nABC,x,no\n'})
+    rows, rejects = exchange.read_headed(lines(spark, folder, "report.csv"), exchange.HEADED["open_interest_report"])
+    assert rows.count() == 5 and lost(rejects) == [
+        (1, None, "EXTRA", "more cells than columns"), (2, "Date", None, "fewer cells than columns"),
+        (5, "Date", "no", "no date in Date"), (5, "Open_Interest", "x", "no number in Open_Interest")]
+    write({"card.csv": "\n".join(CARD).replace("$61.20", "abc").replace("$55.50", "1.2.3")})
+    rows, rejects = exchange.read_rate_card(lines(spark, folder, "card.csv"))
+    assert rows.count() == 3 and lost(rejects) == [
+        (4, "PEAK_Swap", "abc", "no price in PEAK_Swap"), (9, "NSLP_Swap", "1.2.3", "no price in NSLP_Swap")]
+    write({"lp.csv": "<CSVData>\nProfileName,ProfileArea,SettlementDate,CreationDT\nP,A,garbage,2014/01/03 04:05:06\nP,A,2014/01/02,x\n</CSVData>"})
+    found = delimited.read_delimited(lines(spark, folder, "lp.csv"), delimited.FEEDS["load_profile"], keys=delimited.KEYS["load_profile"])
+    assert [r.creationdt for r in found.rows.collect()] == [None] and lost(found.rejects) == [
+        (1, "settlementdate", "garbage", "no date in settlementdate"), (1, "settlementdate", None, "no value in key settlementdate"),
+        (2, "creationdt", "x", "no date in creationdt")]
+    write({"Rates 2018-10-22.csv": "Instrument,Tenor Type,Tenor,Settle,Bid,Offer,Mid,Bid Method,Offer Method,Mid Method\nLGC,Spot,C,,80.x,1,2,one,1,A\n"})
+    rows, rejects = environmental.read_closing_prices(lines(spark, folder, "Rates*"))
+    assert rows.count() == 1 and [(c, t) for _, c, t, _ in lost(rejects)] == [("bid", "80.x"), ("bid_method", "one")]
+
+
+def test_a_forecast_that_breaks_off_is_refused(spark, write):
+    folder = write({"good.xml": XML, "cut.xml": XML[:-30], "none.xml": "\n", "other.xml": "<product><amoc/></product>"})
+    rows, rejects = loads.dispatch(spark, "forecast", f"{folder}/*.xml")
+    assert {r.file.rsplit("/", 1)[1] for r in rows.collect()} == {"good.xml"} and rows.count() == 3
+    assert sorted((r.file.rsplit("/", 1)[1], r.reason) for r in rejects.collect()) == [("cut.xml", "not well-formed XML"), ("none.xml", "not well-formed XML")]

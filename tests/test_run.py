@@ -1,7 +1,10 @@
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from gridtables.plans import loads
 from gridtables.plans.run import LEDGER, process_queue, storing
+from gridtables.sources import commits, meter
 from gridtables.sources.tables import read_appended, read_latest
 
 
@@ -119,3 +122,103 @@ def test_from_folder_to_tables_and_ledger(spark, tmp_path):
     process_queue(spark, jobs, ledger, storing(spark, root))
     assert sorted((r.k, r.v) for r in read_latest(spark, f"{root}/prices").collect()) == [("1", "new"), ("2", "c"), ("3", "d")]
     assert sorted((r.k, r.v, r.w) for r in read_appended(spark, f"{root}/events").collect()) == [("1", "x", None), ("2", None, "z")]
+
+
+def test_long_names_are_loaded_by_their_path(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    long = "a" * 90 + ".csv"
+    for name, text in ((long, "k,v\n1,x"), ("b" + long, "k,v\n2,y"), ("short.csv", "k,v\n3,z")):
+        (tmp_path / "in" / name).write_text(text)
+    jobs = spark.createDataFrame([(1, f"{tmp_path}/in", 1, "*.csv", "delimited", "{}", 1)], JOBS)
+    seen = []
+    ledger = process_queue(spark, jobs, spark.createDataFrame([], LEDGER), lambda job, parsed: seen.extend(r.k for r in parsed.rows.collect()))
+    rows = ledger.collect()
+    assert sorted(seen) == ["1", "2", "3"] and {(r.process_status, r.records_processed) for r in rows} == {("SUCCESS", 1)}
+    assert sorted(r.path.rsplit("/", 1)[1] for r in rows) == sorted([long, "b" + long, "short.csv"])
+    assert {r.file_name for r in rows} == {long[-80:], "short.csv"} and len({r.id for r in rows}) == 3
+    assert process_queue(spark, jobs, ledger, lambda job, parsed: None).count() == 0
+    # a ledger written before paths were kept knows files by what it shows
+    older = ledger.drop("path", "reason", "cells_lost")
+    assert process_queue(spark, jobs, older, lambda job, parsed: None).count() == 0
+
+
+def test_files_without_the_key_fail_alone_and_reasons_are_kept(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    (tmp_path / "in").mkdir()
+    files = {"a.csv": "k,v\n1,x\n,lost\n2\n", "b.csv": "x,v\n9,y", "c.csv": "k,v\n3,z,extra", "d.csv": "k,k\n1,1"}
+    for name, text in files.items():
+        (tmp_path / "in" / name).write_text(text)
+    jobs = spark.createDataFrame([
+        (1, f"{tmp_path}/in", 1, "*.csv", "delimited", '{"table": "prices", "key_fields": ["k"]}', 1),
+        (2, f"{tmp_path}/in", 2, "a.csv", "delimited", '{"tabel": 1}', 1)], JOBS)
+    rows = process_queue(spark, jobs, spark.createDataFrame([], LEDGER), storing(spark, root)).collect()
+    found = {(r.job_id, r.file_name): (r.process_status, r.records_processed, r.reason, r.cells_lost) for r in rows}
+    assert found == {
+        (1, "a.csv"): ("SUCCESS", 2, None, 2), (1, "b.csv"): ("ERROR", 0, "no key column k", 0),
+        (1, "c.csv"): ("ERROR", 0, "a row with more cells than the heading", 0), (1, "d.csv"): ("ERROR", 0, "a column name stands twice", 0),
+        (2, "a.csv"): ("ERROR", 0, "unknown parameters: tabel", 0)}
+    assert sorted((r.k, r.v) for r in read_latest(spark, f"{root}/prices").collect()) == [("1", "x"), ("2", None)]
+    rejects = read_appended(spark, f"{root}/prices.rejects").collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.line_no, r.column, r.reason) for r in rejects if r.line_no is not None) == [
+        ("a.csv", 2, "k", "no value in key k"), ("a.csv", 3, "v", "fewer cells than columns")]
+    assert sorted(r.file.rsplit("/", 1)[1] for r in rejects if r.line_no is None) == ["b.csv", "c.csv", "d.csv"]
+
+
+METER = "100,NEM12,202403010000,MDA,RET\n200,{nmi},E1,1,E1,N1,M1,kWh,30,\n300,20240201," + ",".join(["1.5"] * 48) + ",V,,,20240301000000,\n400,1,20,A,,\n400,21,48,F14,76,\n500,O,S1,20240301000000,\n900\n"
+
+
+def test_meter_files_fill_their_six_tables_in_one_commit(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "tables")
+    (tmp_path / "in").mkdir()
+    jobs = spark.createDataFrame([(1, f"{tmp_path}/in", 1, "*.csv", "meter", "{}", 1)], JOBS)
+
+    def put(nmi, text=METER):
+        (tmp_path / "in" / f"NEM12#{nmi}#MDA#RET.csv").write_text(text.format(nmi=nmi))
+
+    def counts():
+        held = meter.stored_tables(spark, f"{root}/meter")
+        return {f.name: getattr(held, f.name).count() for f in dataclasses.fields(held)}
+
+    put("N000000001")
+    put("N000000002")
+    put("N000000003", METER.replace("kWh", "nope"))
+    ledger = process_queue(spark, jobs, spark.createDataFrame([], LEDGER), storing(spark, root))
+    status = {r.file_name: (r.process_status, r.records_processed, r.reason) for r in ledger.collect()}
+    assert status == {"NEM12#N000000001#MDA#RET.csv": ("SUCCESS", 48, None), "NEM12#N000000002#MDA#RET.csv": ("SUCCESS", 48, None),
+                      "NEM12#N000000003#MDA#RET.csv": ("ERROR", 0, "invalid UOM")}
+    first = {"file_details": 1, "stream_details": 2, "readings": 2, "interval_key": 2, "quality": 4, "b2b": 2}
+    assert counts() == first
+    held = meter.stored_tables(spark, f"{root}/meter")
+    ids = {r.id for r in ledger.collect() if r.process_status == "SUCCESS"}
+    assert {r.source_file_id for r in held.interval_key.collect()} == ids
+    assert {r.ReadingID for r in held.interval_key.collect()} == {r.ID for r in held.readings.collect()} == {1, 2}
+    assert {r.KeyID for r in held.quality.collect()} == {1, 2}
+
+    written = commits.added
+
+    def fails(df, root, table, id_col=None):
+        if table == "interval_key":
+            raise ValueError("disk full")
+        return written(df, root, table, id_col)
+
+    put("N000000004")
+    monkeypatch.setattr(commits, "added", fails)
+    failed = process_queue(spark, jobs, ledger, storing(spark, root))
+    assert [(r.process_status, r.reason) for r in failed.collect()] == [("ERROR", "disk full")] and counts() == first
+    monkeypatch.setattr(commits, "added", written)
+    process_queue(spark, jobs, ledger, storing(spark, root))
+    assert counts() == {"file_details": 1, "stream_details": 3, "readings": 3, "interval_key": 3, "quality": 6, "b2b": 3}
+
+
+def test_a_keyed_job_in_buckets(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    (tmp_path / "in").mkdir()
+    jobs = spark.createDataFrame([(1, f"{tmp_path}/in", 1, "*.csv", "delimited", '{"table": "t", "key_fields": ["k"], "buckets": 1}', 1)], JOBS)
+    (tmp_path / "in" / "a.csv").write_text("k,v\n" + "\n".join(f"{i},x" for i in range(60)))
+    ledger = process_queue(spark, jobs, spark.createDataFrame([], LEDGER), storing(spark, root))
+    before = {p.bucket: p.part for p in commits.parts(spark, f"{root}/t") if p.bucket}
+    (tmp_path / "in" / "b.csv").write_text("k,v\n7,y\n99,z")
+    process_queue(spark, jobs, ledger, storing(spark, root))
+    after = {p.bucket: p.part for p in commits.parts(spark, f"{root}/t") if p.bucket}
+    got = {r.k: r.v for r in commits.read(spark, f"{root}/t", "t").collect()}
+    assert len(got) == 61 and (got["7"], got["8"], got["99"]) == ("y", "x", "z") and sum(after[b] != before.get(b) for b in after) <= 2

@@ -65,3 +65,23 @@ def test_a_bad_file_does_not_stop_the_stream(spark, tmp_path):
     put("more.csv", "k,day\n3,2014/01/02")
     assert run() == ["2", "3"]
     assert [r.reason for r in spark.read.parquet(f"{root}.rejects").collect()] == ["too few columns"]
+
+
+def test_files_without_the_key_are_refused_by_name(spark, tmp_path):
+    folder, root = str(tmp_path / "in"), str(tmp_path / "table")
+    os.mkdir(folder)
+
+    def put(name, text):
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(text)
+
+    def run(keys, checkpoint):
+        load_folder(spark, folder, "delimited", root, str(tmp_path / checkpoint), keys=keys, params={}).awaitTermination()
+        return sorted((r.file.rsplit("/", 1)[1], r.reason) for r in spark.read.parquet(f"{root}.rejects").collect())
+
+    put("a.csv", "k,v\n1,x\n,y\n")
+    put("b.csv", "x,v\n2,y\n")
+    assert run(["nokey"], "one") == [("a.csv", "no key column nokey"), ("b.csv", "no key column nokey")]
+    assert finished_versions(spark, root) == []
+    assert run(["k"], "two") == [("a.csv", "no value in key k"), ("b.csv", "no key column k")]
+    assert [(r.k, r.v) for r in read_latest(spark, root).collect()] == [("1", "x")]

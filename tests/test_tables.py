@@ -2,7 +2,10 @@
 
 from datetime import datetime
 
+import pytest
+
 from gridtables.plans import versioned
+from gridtables.sources import commits
 from gridtables.sources.tables import append_batch, read_appended, read_partitioned, upsert_partitions
 
 SCHEMA = "day string, k int, v string"
@@ -62,3 +65,54 @@ def test_a_versioned_table_takes_a_new_column(spark, tmp_path):
     late = datetime(9999, 1, 1)
     got = sorted((r.k, r.v, r.w or "", r.active_to < late) for r in versioned.read(spark, root).collect())
     assert got == [(1, "a", "", False), (2, "b", "", True), (2, "c", "n", False), (3, "d", "m", False)]
+
+
+def test_tables_of_a_commit_change_together(spark, tmp_path):
+    root = str(tmp_path / "s")
+    one, two = spark.createDataFrame([(1, "a")], "id long, v string"), spark.createDataFrame([(7, 1)], "id long, one long")
+    entries = {"one": commits.added(one, root, "one", "id"), "two": commits.added(two, root, "two", "id")}
+    assert commits.read(spark, root, "one") is None  # written, not committed
+    assert commits.commit(spark, root, entries, batch=5) == 1
+    assert [tuple(r) for r in commits.read(spark, root, "one").collect()] == [(1, "a")] and commits.top_id(spark, root, "two") == 7
+    assert commits.commit(spark, root, {"one": commits.added(one, root, "one", "id")}, batch=5) == 1  # the same batch again
+    more = spark.createDataFrame([(2, "b", 0.5)], "id long, v string, w double")
+    commits.commit(spark, root, {"one": commits.added(more, root, "one", "id"), "two": commits.added(two.limit(0), root, "two", "id")}, batch=6)
+    assert sorted(tuple(r) for r in commits.read(spark, root, "one").collect()) == [(1, "a", None), (2, "b", 0.5)]
+    assert commits.compact(spark, root, "one", "id") == 3 and commits.compact(spark, root, "one", "id") is None
+    assert len([p for p in commits.parts(spark, root) if p.table == "one"]) == 1 and commits.top_id(spark, root, "one") == 2
+    assert sorted(tuple(r) for r in commits.read(spark, root, "one").collect()) == [(1, "a", None), (2, "b", 0.5)]
+    assert commits.commit(spark, root, {}, batch=5) == 3  # batches stay known
+
+
+def test_an_upsert_rewrites_the_buckets_it_touches(spark, tmp_path):
+    root = str(tmp_path / "b")
+    first = spark.createDataFrame([(i, f"v{i}", 1) for i in range(500)] + [(None, "null", 1)], "k int, v string, at int")
+
+    def load(rows, **options):
+        commits.commit(spark, root, {"t": commits.upserted(spark, root, "t", rows, ["k"], ["at"], **options)})
+        return {p.bucket: p.part for p in commits.parts(spark, root) if p.table == "t" and p.bucket}
+
+    before = load(first)
+    assert len(before) > 200 and sum(p.n for p in commits.parts(spark, root)) == 501
+    second = spark.createDataFrame([(3, "old", 1), (3, "new", 2), (1000, "more", 1), (None, "again", 1)], "k int, v string, at int")
+    after = load(second)
+    changed = {b for b in after if after[b] != before.get(b)}
+    assert 1 <= len(changed) <= 2
+    want = {(i, f"v{i}") for i in range(500) if i != 3} | {(3, "new"), (1000, "more"), (None, "null"), (None, "again")}
+    assert {(r.k, r.v) for r in commits.read(spark, root, "t").collect()} == want
+    assert {(r.k, r.v) for r in commits.read(spark, root, "t", [*changed]).collect()} < want
+    third = spark.createDataFrame([(3, "w", 9.5)], "k int, v string, w double")
+    commits.commit(spark, root, {"t": commits.upserted(spark, root, "t", third, ["k"])})
+    got = {r.k: (r.v, r.w) for r in commits.read(spark, root, "t").collect()}
+    assert got[3] == ("w", 9.5) and got[4] == ("v4", None) and len(got) == 502
+    assert commits.upserted(spark, root, "t", second.limit(0), ["k"]) == []
+    with pytest.raises(ValueError):
+        commits.upserted(spark, root, "t", second, ["k"], ["at"], digits=1)
+
+
+def test_nulls_are_keys_where_they_are_equal(spark, tmp_path):
+    root = str(tmp_path / "n")
+    for v in ("x", "y"):
+        rows = spark.createDataFrame([(None, v)], "k int, v string")
+        commits.commit(spark, root, {"t": commits.upserted(spark, root, "t", rows, ["k"], null_safe=True)})
+    assert [tuple(r) for r in commits.read(spark, root, "t").collect()] == [(None, "y")]
