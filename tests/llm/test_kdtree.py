@@ -42,3 +42,43 @@ def test_target_bytes_and_empty(spark):
     sizes = check(rows, kdtree.shards(df, ["n_chars"], target_bytes=160).collect(), 4)
     assert sorted(sizes.values()) == [160] * 4
     assert kdtree.shards(df.limit(0), ["n_chars"], n_shards=4).count() == 0
+
+
+def splits(rows, n_shards, first=0):
+    """Shards by plain recursion over (id, crc, size, places, tie): the widest dimension, cut at the weighted quantile."""
+    if n_shards == 1 or not rows:
+        return {(i, crc): first for i, crc, *_ in rows}
+    dims = range(len(rows[0][3]))
+    dim = max(dims, key=lambda d: (max(r[3][d] for r in rows) - min(r[3][d] for r in rows), -d))
+    key = lambda r: (r[3][dim] << 31) | r[4]
+    wanted = sum(r[2] for r in rows) * (n_shards // 2) / n_shards
+    sizes = {}
+    for r in rows:
+        sizes[key(r)] = sizes.get(key(r), 0) + r[2]
+    upto = 0
+    for k in sorted(sizes):
+        if upto + sizes[k] >= wanted:
+            threshold = k if (wanted - upto) * 2 >= sizes[k] else k - 1
+            break
+        upto += sizes[k]
+    left, right = [r for r in rows if key(r) <= threshold], [r for r in rows if key(r) > threshold]
+    return splits(left, n_shards // 2, first) | splits(right, n_shards - n_shards // 2, first + n_shards // 2)
+
+
+@pytest.mark.parametrize("n_shards", [2, 5, 16])
+@pytest.mark.parametrize("broadcast", [0, 1 << 16])
+def test_nodes_are_split_at_the_weighted_quantile_of_the_widest_dimension(spark, n_shards, broadcast, monkeypatch):
+    monkeypatch.setattr(kdtree, "BROADCAST_NODES", broadcast)
+    rows = [(i, "x" * (i * i % 97), (i * 37) % 500 if i % 4 else 7, "hot" if i % 3 else f"s{i % 11}", None, "c") for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    dims = ["n_chars", "source"]
+    made = [(r.id, r.crc, r["size"], list(r.place), r.tie) for r in kdtree._rows(df, dims, "doc_id", "text").collect()]
+    want = splits(made, n_shards)
+    got = kdtree.shards(df, dims, n_shards=n_shards).collect()
+    assert {(r.doc_id, r.text_crc32): r.shard for r in got} == want
+
+
+def test_rows_meet_the_tree_without_a_product(spark):
+    rows = [(i, "x" * (i % 40), i, "s", 1.0, "c") for i in range(200)]
+    plan = kdtree.shards(spark.createDataFrame(rows, SCHEMA), ["n_chars"], n_shards=4)._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
