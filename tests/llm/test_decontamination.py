@@ -68,3 +68,25 @@ def test_clean_documents_keep_their_columns(spark):
     kept = dc.clean_documents(docs, items)
     assert kept.columns == docs.columns
     assert sorted(map(tuple, kept.collect()), key=repr) == [(2, "nothing of it here", 4), (None, None, 5)]
+
+
+def test_further_blocks_stage_hits_and_no_texts(spark, monkeypatch):
+    docs, items = cases()
+    d = spark.createDataFrame(docs + docs[:4], "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    written = []
+    monkeypatch.setattr(dc, "staged", lambda df, *a, s=dc.staged, **o: written.append(df.columns) or s(df, *a, **o))
+    found = dc.hits(dc.contamination(d, b, block_bytes=200))
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in found.collect()), key=repr)
+    assert got == brute(docs + docs[:4], items)
+    assert len(written) >= 2 and all(c == ["digest", "spans", "items"] for c in written)
+
+
+def test_spans_of_blocks_are_merged(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    items = [(1, " ".join(f"w{i}" for i in range(15))), (2, " ".join(f"w{i}" for i in range(10, 25))), (3, " ".join(f"w{i}" for i in range(30, 33)))]
+    d = spark.createDataFrame([(1, text), (2, text), (3, "w1")], "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    rows = {r.doc_id: r for r in dc.contamination(d, b, block_bytes=20).collect()}
+    assert [(s.start, s.end) for s in rows[1].spans] == [(0, 25), (30, 33)] == [(s.start, s.end) for s in rows[2].spans]
+    assert rows[1]["items"] == ["1", "2", "3"] and rows[3].spans == []
