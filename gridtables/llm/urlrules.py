@@ -2,7 +2,7 @@
 
 A url is a set of tokens: scheme, host labels and host suffixes, path segments by their shape, query names. Urls that the given
 rules judge are the labelled ones. Support bounds what is mined: of their tokens the frequent ones, and of tokens that always stand
-together one for all, are items. FP-growth over these, with the verdict as one more item, gives the frequent combinations; a rule "tokens -> verdict" stays if support and confidence reach their thresholds and no part of its tokens already
+together one for all, are items. A token that only urls of one verdict hold is a rule of its own, which no longer one can better. FP-growth over the others, with the verdict as one more item, gives the frequent combinations; a rule "tokens -> verdict" stays if support and confidence reach their thresholds and no part of its tokens already
 says as much. Rules match through an inverted index: token -> rules, a rule fits when all its tokens met.
 Everything is DataFrame work: url to tokens, FP-growth, and joins.
 """
@@ -76,19 +76,26 @@ def mine(labelled: DataFrame, min_support: float, min_confidence: float, max_tok
     empty = labelled.sparkSession.createDataFrame([], "rule_id long, tokens array<string>, verdict string, support double, confidence double")
     if not total:
         return empty
-    held = labelled.select(F.explode("tokens").alias("token"), F.xxhash64("tokens").cast("decimal(38,0)").alias("holder"))
-    frequent = held.groupBy("token").agg(F.count("*").alias("n"), F.sum("holder").alias("holders"))
+    # which urls hold a token, as two sums of hashes of 64 bits
+    digests = [F.xxhash64(*x).cast("decimal(38,0)") for x in (("tokens",), (F.lit(1), "tokens"))]
+    held = labelled.select(F.explode("tokens").alias("token"), verdict.alias("verdict"), F.struct(*digests).alias("holder"))
+    frequent = held.groupBy("token").agg(
+        F.count("*").alias("n"), F.struct(F.sum("holder.col1"), F.sum("holder.col2")).alias("holders"), F.min("verdict").alias("low"), F.max("verdict").alias("high"))
     # at most average tokens per url / min_support of them
     useful = frequent.where((F.col("n") >= min_support * total) & (F.col("n") < total))
     # tokens of the same urls have the same rules: one of them is mined, and its rules are those of all
-    alike = useful.groupBy("n", "holders").agg(F.array_sort(F.collect_list("token")).alias("members"))
-    alike = staged(alike.select(F.get("members", F.lit(0)).alias("item"), "members"))
-    kept = [r["item"] for r in alike.select("item").collect()]
-    if not kept:
+    alike = useful.groupBy("n", "holders").agg(F.array_sort(F.collect_list("token")).alias("members"), F.min("low").alias("low"), F.max("high").alias("high"))
+    alike = staged(alike.select(F.get("members", F.lit(0)).alias("item"), "members", "n", "low", "high"))
+    if alike.isEmpty():
         return empty
-    baskets = labelled.select(F.concat(F.array_intersect("tokens", F.array(*map(F.lit, kept))), F.array(verdict)).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0).fit(baskets)
-    found = model.freqItemsets.where(F.size("items") <= max_tokens + 1)
+    sure = alike.where("low = high")
+    kept = [r["item"] for r in alike.where("low < high").select("item").collect()]
+    found = sure.select(F.array("item").alias("items"), F.col("n").alias("freq")).unionByName(
+        sure.select(F.array("item", "low").alias("items"), F.col("n").alias("freq")))
+    if kept:
+        baskets = labelled.select(F.concat(F.array_intersect("tokens", F.array(*map(F.lit, kept))), F.array(verdict)).alias("items"))
+        model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0).fit(baskets)
+        found = found.unionByName(model.freqItemsets.where(F.size("items") <= max_tokens + 1))
     is_verdict = lambda t: t.startswith("verdict=")
     split = found.select(
         F.array_sort(F.filter("items", lambda t: ~is_verdict(t))).alias("tokens"),
@@ -140,11 +147,10 @@ def judge(
     rows = rows.withColumns({"given": given_rule(rules), "tokens": tokens(url, F.col("host"), F.col("path"))})
     rows = staged(rows.select("id", "host", "path", "given", "tokens"))
     mined = mine(rows.where("given IS NOT NULL").select("tokens", F.col("given.verdict").alias("verdict")), min_support, min_confidence, max_tokens)
-    # urls of one shape are judged once
-    shape = F.xxhash64(F.concat_ws("\x00", "tokens"))
-    shapes = rows.where("given IS NULL").select(shape.alias("shape"), "tokens").groupBy("shape").agg(F.min("tokens").alias("tokens"))
-    by_shape = match(shapes, "shape", mined)
-    return rows.withColumn("shape", shape).join(by_shape, "shape", "left").select(
+    # urls of the same tokens are judged once; they meet by all tokens
+    shapes = staged(rows.where("given IS NULL").groupBy("tokens").agg(F.count("*").alias("urls")).withColumn("shape", F.monotonically_increasing_id()))
+    by_shape = shapes.join(match(shapes, "shape", mined), "shape").select("tokens", "mined", "confidence", "mined_rule")
+    return rows.join(by_shape, "tokens", "left").select(
         F.col("id").alias(id_col), "host", "path", F.col("given.rule").alias("rule"),
         F.coalesce("given.verdict", "mined", F.lit(default)).alias("verdict"),
         F.when(F.col("given").isNull(), F.col("confidence")).alias("confidence"),

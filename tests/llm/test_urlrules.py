@@ -100,3 +100,14 @@ def test_no_labels_and_empty(spark):
     row = urlrules.judge(df, URL_RULES).first()
     assert (row.rule, row.verdict, row.mined_rule) == (None, "allow", None)
     assert urlrules.judge(df.limit(0), URL_RULES).count() == 0
+
+
+def test_many_names_that_mostly_stand_together(spark):
+    """Names of one verdict only are rules of their own and are not combined; without that, 25 of them give millions of combinations."""
+    pick = __import__("random").Random(3)
+    names = [f"n{k}" for k in range(25)]
+    urls = [f"http://h{i}.com/a?" + "&".join(f"{n}={i}" for n in names if pick.random() < 0.8) for i in range(120)]
+    urls += [f"http://h{i}.net/es/spam{'x' * (i % 3)}/k?z=1" for i in range(80)]
+    df = spark.createDataFrame(list(enumerate(["http://h.org/?n3=1&n4=2", "http://h.org/?z=1"] + urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urlrules.judge(df, URL_RULES, min_support=0.05).collect()}
+    assert (got[0], got[1]) == ("allow", "block")
