@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,19 @@ class MergeResult:
     closed: DataFrame  # versions closed by this merge
     changes: DataFrame  # one row per INSERT / UPDATE / DELETE with the replaced values
     history: DataFrame  # versions closed earlier, untouched
+    numbered: DataFrame  # rows with a key that got a new id
+    loose: int  # rows without a key that got one
+    base: int  # the largest id before
+
+    @cached_property
+    def added(self) -> int:
+        """Rows that got a new id."""
+        return self.loose + self.numbered.count()
+
+    @property
+    def top_id(self) -> int:
+        """The largest id in use after the merge."""
+        return self.base + self.added
 
     @property
     def table(self) -> DataFrame:
@@ -79,6 +93,7 @@ def merge(
     point_in_time: bool = True,
     remove_if_not_found: bool = True,
     resurrect: bool = True,
+    top_id: int | None = None,
 ) -> MergeResult:
     """Synchronise the versioned ``target`` with a full snapshot ``source``.
 
@@ -89,7 +104,7 @@ def merge(
 
     Data columns are compared null-safely, keys plainly (a null key never matches). A repeated source
     key makes the job fail. A data column that only the source has is added. The joined rows feed every output and are
-    stored once (see ``session.staged``).
+    stored once (see ``session.staged``). Given the largest id in use, ``top_id``, the closed versions are not read for it.
     """
     check_keys(source, keys)
     if not keys:
@@ -151,10 +166,11 @@ def merge(
     if point_in_time:
         ending = moved.filter("merge_action <> 'INSERT'").select(F.lit(1).alias("_kind"), *columns, FROM, at.alias(TO))
         starting = starting.unionByName(ending)
-    top = held.agg(F.coalesce(F.max(ID), F.lit(0))).first()[0]
+    top = held.agg(F.coalesce(F.max(ID), F.lit(0))).first()[0] if top_id is None else top_id
     loose_rows = loose.count()
     added = assign_ids(starting, keys, ID, F.lit(top + loose_rows), lead="_kind").select(ID, *columns, FROM, TO)
     added = staged(added)
+    numbered = added
     if loose_rows:
         added = added.unionByName(assign_ids_to_copies(loose, ID, F.lit(top)).select(ID, *columns, FROM, TO))
     open_rows = added.filter(F.col(TO) == late)
@@ -166,7 +182,7 @@ def merge(
     if loose_rows or not point_in_time:
         log = log.unionByName(given_null.select(F.lit("INSERT").alias("merge_action"), *no_data, *nothing))
         log = log.unionByName(held_null.select(F.lit("DELETE").alias("merge_action"), *columns, FROM, TO))
-    return MergeResult(kept.unionByName(updated).unionByName(open_rows), closed, log, history)
+    return MergeResult(kept.unionByName(updated).unionByName(open_rows), closed, log, history, numbered, loose_rows, top)
 
 
 def current(table: DataFrame) -> DataFrame:

@@ -94,6 +94,64 @@ def meter_prefix(spark, folder):
     return files.select("file", "line_no", F.col("VersionHeader").alias("version"), F.col("FromParticipant").alias("sender"))
 
 
+def _faulty_lines(spark, folder):
+    """The meter files with units that fit and, by the user, one of six faults, or none: in the header, the stream, the first or last
+    day's readings, the first quality range of its kind, the first transaction."""
+    lines = _meter_lines(spark, folder).withColumn("line", F.replace("line", F.lit("kwhx"), F.lit("kWh")))
+    user = F.regexp_extract("file", "#U([0-9]+)#", 1).cast("long")
+    fault, kind = user % 7, F.substring("line", 1, 3)
+    places = lines.groupBy("file").agg(
+        F.min(F.when(kind == "300", F.col("line_no"))).alias("first"), F.max(F.when(kind == "300", F.col("line_no"))).alias("last"),
+        F.min(F.when(F.col("line").startswith("400,21,"), F.col("line_no"))).alias("range"), F.min(F.when(kind == "500", F.col("line_no"))).alias("sent"))
+    at = F.col("line_no")
+    spoilt = (
+        F.when((fault == 1) & (at == 0), F.replace("line", F.lit("NEM12"), F.lit("NEM13X")))
+        .when((fault == 2) & (at == 1), F.replace("line", F.lit("kWh"), F.lit("miles")))
+        .when((fault == 3) & (at == F.col("first")), F.concat("line", F.lit(",more")))
+        .when((fault == 4) & (at == F.col("last")), F.regexp_replace("line", r"^(300,[0-9]+),[0-9.]+", "$1,1.2.3"))
+        .when((fault == 5) & (at == F.col("range")), F.replace("line", F.lit("400,21,"), F.lit("400,22,")))
+        .when((fault == 6) & (at == F.col("sent")), F.replace("line", F.lit("500,O,"), F.lit("500,Q,"))))
+    return cut_lineage(lines.join(places, "file").select("file", "line_no", F.coalesce(spoilt, "line").alias("line"), "chunk"))
+
+
+_FAULTS = """WITH d AS (
+  SELECT user_id, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) * 4 + 2 AS pos, bool_or(event_type = 'error') AS mixed FROM events GROUP BY ALL),
+p AS (SELECT user_id, min(pos) AS first, max(pos) AS last, min(pos) FILTER (WHERE mixed) AS mixed FROM d GROUP BY user_id),
+f AS (SELECT user_id, 'NEM12#U' || user_id || '#MDA#RET.csv' AS file,
+  CASE user_id % 7 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN first WHEN 4 THEN last WHEN 5 THEN mixed + 2 WHEN 6 THEN mixed + 3 END AS line_no,
+  CASE user_id % 7 WHEN 1 THEN 'VersionHeader: invalid V5 value' WHEN 2 THEN 'invalid UOM' WHEN 3 THEN 'wrong number of fields' WHEN 4 THEN 'invalid IntervalValue'
+    WHEN 5 THEN 'interval range does not follow the one before' WHEN 6 THEN 'invalid TransCode' END AS reason FROM p)"""
+
+
+@query("meter_faults", f"{_FAULTS} SELECT file, CAST(line_no AS BIGINT) AS line_no, reason FROM f WHERE line_no IS NOT NULL")
+def meter_faults(spark, folder):
+    """Six kinds of faults, one in lines of each record type."""
+    return meter.parse(_faulty_lines(spark, folder)).rejects
+
+
+@query("meter_prefix_records", f"""{_FAULTS}
+SELECT f.file, CASE WHEN line_no = 0 THEN 0 ELSE 1 END::BIGINT AS files, CASE WHEN line_no <= 1 THEN 0 ELSE 1 END::BIGINT AS streams,
+  count(*) FILTER (WHERE pos < coalesce(line_no, 1000000000000)) AS readings,
+  count(*) FILTER (WHERE mixed AND pos + 1 < coalesce(line_no, 1000000000000)) AS first_ranges,
+  count(*) FILTER (WHERE mixed AND pos + 2 < coalesce(line_no, 1000000000000)) AS second_ranges,
+  count(*) FILTER (WHERE mixed AND pos + 3 < coalesce(line_no, 1000000000000)) AS transactions FROM f JOIN d USING (user_id) GROUP BY ALL""")
+def meter_prefix_records(spark, folder):
+    """With prefix mode the records before a file's first faulty line stay, whatever type of line that is."""
+    data = meter.parse(_faulty_lines(spark, folder), mode="prefix")
+    files = table(spark, folder, "events").select(F.concat(F.lit("NEM12#U"), F.col("user_id").cast("string"), F.lit("#MDA#RET.csv")).alias("file")).distinct()
+
+    def count(df, name):
+        return df.groupBy("file").agg(F.count("*").alias(name))
+
+    mixed = data.quality.filter("line_no <> reading_line")  # ranges of their own record
+    parts = [count(data.files, "files"), count(data.streams, "streams"), count(data.readings, "readings"),
+             count(mixed.filter("StartInterval = 1 AND EndInterval = 20"), "first_ranges"), count(mixed.filter("StartInterval = 21"), "second_ranges"),
+             count(data.b2b, "transactions")]
+    for part in parts:
+        files = files.join(part, "file", "left")
+    return files.na.fill(0)
+
+
 # --- exchange files: a month of orders is one file -----------------------------------------------------
 
 _MONTH = "date_trunc('month', o_orderdate)"

@@ -13,19 +13,34 @@ from gridtables.operators import scd2
 from gridtables.sources.tables import finished_versions, write_version
 
 
-def read(spark: SparkSession, root: str) -> DataFrame | None:
-    """All versions. History batches newer than the committed current rows belong to a run that failed."""
+def committed(spark: SparkSession, root: str) -> tuple[str | None, list[str]]:
+    """Folders of the current rows and of the closed versions of the last committed run. History newer than that belongs to a run that failed."""
     done = finished_versions(spark, f"{root}/current")
     if not done:
+        return None, []
+    return f"{root}/current/version={done[-1]}", [f"{root}/history/version={v}" for v in finished_versions(spark, f"{root}/history") if v <= done[-1]]
+
+
+def read(spark: SparkSession, root: str) -> DataFrame | None:
+    """All versions."""
+    current, past = committed(spark, root)
+    if current is None:
         return None
-    table = spark.read.parquet(f"{root}/current/version={done[-1]}")
-    past = [f"{root}/history/version={v}" for v in finished_versions(spark, f"{root}/history") if v <= done[-1]]
+    table = spark.read.parquet(current)
     if not past:
         return table
     # a column that came later is null in older versions
     return table.unionByName(spark.read.option("mergeSchema", "true").parquet(*past), allowMissingColumns=True)
 
 
+def _top_id(spark: SparkSession, root: str) -> int | None:
+    """The largest id of the last committed run, as it noted it; null for tables from before runs did."""
+    done = finished_versions(spark, f"{root}/current")
+    if done and done[-1] in finished_versions(spark, f"{root}/ids"):
+        return spark.read.schema("top_id long").parquet(f"{root}/ids/version={done[-1]}").first().top_id
+    return None
+
+
 def synchronise(
     spark: SparkSession,
     root: str,
@@ -48,9 +63,11 @@ def synchronise(
             table = spark.createDataFrame([], scd2.definition(source.schema))
         version = max(finished_versions(spark, f"{root}/current"), default=0) + 1
         log.append((datetime.now(), "Commencing merge"))
-        result = scd2.merge(table, source, keys, now, **options)
+        result = scd2.merge(table, source, keys, now, top_id=_top_id(spark, root), **options)
         audit = scd2.audit(result.changes, source, process, now, datetime.now()).first()
-        write_version(result.closed, f"{root}/history", version)
+        if result.added:  # a run without closed versions adds no history
+            write_version(result.closed, f"{root}/history", version)
+        write_version(spark.createDataFrame([(result.top_id,)], "top_id long").coalesce(1), f"{root}/ids", version)
         write_version(result.current, f"{root}/current", version)
         log.append((
             datetime.now(),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridtables.functions.expr import literal_path, plain_path
+from gridtables.operators import control
 from gridtables.operators.merge import check_keys
 from gridtables.plans.loads import dispatch, store
 from gridtables.plans.run import isolated
@@ -32,6 +33,7 @@ def load_folder(
     max_files: int = 1000,
     null_safe: bool = False,
     partitions: Sequence[str] = (),
+    archive: str | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Loads each new file of ``folder`` once into the Parquet table under ``root``.
@@ -41,13 +43,15 @@ def load_folder(
     is not applied twice. Without keys a batch only adds its own files, see ``tables.read_appended``. With ``partitions`` (key
     columns) a batch rewrites only the partitions it touches, the way for large tables; repeating such an upsert gives the
     same rows. Files that cannot be read or lack a key column fail alone. A file rewritten under an old name is not seen again: such
-    feeds are loaded from the queue and ledger instead. Refused files and lost cells go to ``root.rejects``. Default
+    feeds are loaded from the queue and ledger instead. Refused files and lost cells go to ``root.rejects``, the outcome of every
+    file (status, reason, rows, lost cells) to ``root.outcomes``. With ``archive`` the stream moves the files of finished batches there, those of
+    the last batch when the load is started again; refused ones are told apart by their outcome. Default
     trigger: everything there is, then stop.
     """
-    files = (
-        spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", max_files).load(folder).select("path", "modificationTime", "length")
-    )
+    source = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files)
+    if archive:
+        source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    files = source.load(folder).select("path", "modificationTime", "length")
 
     def load(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
@@ -71,6 +75,7 @@ def load_folder(
             rejects = rejects.unionByName(found.rejects)
             rows = found.rows if rows is None else rows.unionByName(found.rows, allowMissingColumns=True)
         rejects.write.mode("overwrite").parquet(f"{root}.rejects/batch={epoch}")
+        outcomes(session, paths, rows, rejects).write.mode("overwrite").parquet(f"{root}.outcomes/batch={epoch}")
         if rows is None or not set(keys) <= set(rows.columns):
             return
         if not keys and not partitions:
@@ -92,6 +97,21 @@ def load_folder(
     )
 
 
+def outcomes(spark: SparkSession, paths: Sequence[str], rows: DataFrame | None, rejects: DataFrame) -> DataFrame:
+    """(file, process_status, reason, records_processed, cells_lost) of the files of a batch."""
+    files = spark.createDataFrame([(i, plain(p)) for i, p in enumerate(paths, 1)], "id long, path string")
+    started = files.select("id", F.col("path").alias("file"), F.lit("STARTED").alias("process_status"), F.lit(None).cast("string").alias("reason"),
+                           F.lit(0).cast("long").alias("records_processed"), F.lit(0).cast("long").alias("cells_lost"))
+    named = files.select(F.col("id").alias("source_file_id"), F.col("path").alias("_path"))
+
+    def of_file(df: DataFrame) -> DataFrame:
+        """By the file's number; a member of an archive belongs to the archive."""
+        return df.join(named, F.regexp_replace("file", "!/.*$", "") == F.col("_path")).drop("_path")
+
+    loaded = named.limit(0) if rows is None else of_file(rows.select("file"))
+    return control.finish_loads(started, loaded, of_file(rejects)).drop("id")
+
+
 def plain(uri: str) -> str:
     """A local listing's URI as a path; other stores keep theirs."""
     return re.sub("^file:/+", "/", uri)

@@ -85,3 +85,25 @@ def test_files_without_the_key_are_refused_by_name(spark, tmp_path):
     assert finished_versions(spark, root) == []
     assert run(["k"], "two") == [("a.csv", "no value in key k"), ("b.csv", "no key column k")]
     assert [(r.k, r.v) for r in read_latest(spark, root).collect()] == [("1", "x")]
+
+
+def test_outcomes_are_kept_and_finished_files_archived(spark, tmp_path):
+    folder, root, archive = (str(tmp_path / n) for n in ("in", "table", "done"))
+    os.mkdir(folder)
+
+    def put(name, text):
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(text)
+
+    def run():
+        load_folder(spark, folder, "delimited", root, str(tmp_path / "checkpoint"), keys=["k"], params={}, archive=archive).awaitTermination()
+        return {r.file.rsplit("/", 1)[1]: (r.process_status, r.reason, r.records_processed, r.cells_lost) for r in spark.read.parquet(f"{root}.outcomes").collect()}
+
+    put("good.csv", "k,v\n1,x\n2\n")
+    put("bad.csv", "x,v\n2,y\n")
+    assert run() == {"good.csv": ("SUCCESS", None, 2, 1), "bad.csv": ("ERROR", "no key column k", 0, 0)}
+    put("next.csv", "k,v\n3,z\n")
+    assert run()["next.csv"] == ("SUCCESS", None, 1, 0)
+    moved = {name for _, _, names in os.walk(archive) for name in names if not name.startswith(".")}
+    assert {"good.csv", "bad.csv"} <= moved and not os.path.exists(os.path.join(folder, "good.csv"))
+    assert sorted((r.k, r.v) for r in read_latest(spark, root).collect()) == [("1", "x"), ("2", None), ("3", "z")]
