@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridtables.operators import positional
 from gridtables.operators.merge import same_key, tagged
+from gridtables.session import cut_lineage
 
 
 def range_join(
@@ -26,7 +27,8 @@ def range_join(
 
     Ranges are laid out over cells and joined on key and cell, so one key with very many points or ranges is spread over its
     cells and no row meets all ranges of its key. Cells are ``width`` positions wide, or 8, 64, ... times that for longer
-    ranges: a range lies in at most 9 cells however long it is. Where a hot key has only few cells, ``salts`` spreads its
+    ranges: a range lies in at most 9 cells however long it is, and a point asks one cell for each width there is, in one join whose
+    key has the width. Where a hot key has only few cells, ``salts`` spreads its
     points further at the price of as many copies of the ranges.
     """
     length = F.col(end) - F.col(start)
@@ -34,25 +36,24 @@ def range_join(
     usable = ranges.filter(F.col(start) <= F.col(end)).withColumn("_level", level)
     levels = sorted(r[0] for r in usable.select("_level").distinct().collect())  # at most 21
     if not levels or levels == [0]:
-        return _one_level(points, usable.drop("_level"), keys, point, start, end, width, how, salts)
-    found, rest = None, points
-    for n in levels:
-        at_level = usable.filter(F.col("_level") == n).drop("_level")
-        more = _one_level(points, at_level, keys, point, start, end, width * 8**n, "inner", salts)
-        found = more if found is None else found.unionByName(more)
-        rest = _one_level(rest, at_level, keys, point, start, end, width * 8**n, "left_anti", salts)
+        return _in_cells(points, usable.drop("_level"), keys, point, start, end, F.lit(width), how, salts)
+    if how not in ("left", "inner"):
+        raise ValueError(f"how must be left or inner, not {how!r}")
+    wide = F.lit(width) * F.pow(F.lit(8.0), F.col("_level"))
+    rows = points if how == "inner" else cut_lineage(points.withColumn("_row", F.monotonically_increasing_id()))
+    asked = rows.withColumn("_level", F.explode(F.array(*map(F.lit, levels))))
+    found = _in_cells(asked, usable, [*keys, "_level"], point, start, end, wide, "inner", salts).drop("_level")
     if how == "inner":
         return found
-    if how != "left":
-        raise ValueError(f"how must be left or inner, not {how!r}")
-    return found.unionByName(rest, allowMissingColumns=True)
+    rest = rows.join(found.select("_row").distinct(), "_row", "left_anti")
+    return found.unionByName(rest, allowMissingColumns=True).drop("_row")
 
 
-def _one_level(
-    points: DataFrame, ranges: DataFrame, keys: Sequence[str], point: str, start: str, end: str, width: int, how: str, salts: int,
+def _in_cells(
+    points: DataFrame, ranges: DataFrame, keys: Sequence[str], point: str, start: str, end: str, width: Column, how: str, salts: int,
 ) -> DataFrame:
-    cell = F.floor(F.col(point) / F.lit(width))
-    cells = F.sequence(F.floor(F.col(start) / F.lit(width)), F.floor(F.col(end) / F.lit(width)))
+    cell = F.floor(F.col(point) / width)
+    cells = F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))
     laid = tagged(ranges.filter(F.col(start) <= F.col(end)).withColumn("_cell", F.explode(cells)))
     points_at = points.withColumn("_cell", cell)
     matched = [*keys, "_cell"]
@@ -63,8 +64,6 @@ def _one_level(
     on = same_key(matched, null_safe=False)
     inside = F.col(point).between(F.col(f"_r_{start}"), F.col(f"_r_{end}"))
     joined = points_at.join(laid, on & inside, how)
-    if how == "left_anti":
-        return joined.select(*points.columns)
     extra = [c for c in ranges.columns if c not in keys]
     return joined.select(*points.columns, *[F.col(f"_r_{c}").alias(c) for c in extra])
 
