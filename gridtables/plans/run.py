@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from gridtables.functions.expr import literal_path
+from gridtables.functions.expr import literal_path, plain_path
 from gridtables.operators import control
 from gridtables.operators.merge import check_keys
 from gridtables.plans.loads import HandlerError, dispatch, parameters, store, with_lineage
@@ -31,6 +31,7 @@ def process_queue(
     ledger: DataFrame,
     write: Callable[[Row, Parsed], None],
     max_files: int = 1000,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Loads all waiting files of each active job, ``max_files`` at a time, and returns their finished ledger rows.
 
@@ -38,13 +39,15 @@ def process_queue(
     ``source_file_id`` and, for last-row-wins, ``priority``, ``mtime`` and ``size``, once for each set of files that were read
     together. A fault of one job, such as bad parameters, fails that job's files and leaves the others alone. Any other fault
     is narrowed down to the files that have it, and these fail alone. A file that fails is entered with the reason, a loaded one
-    with the number of cells that were lost from it.
+    with the number of cells that were lost from it. ``wanted`` (job_id, file_name) leaves all other files waiting.
     """
     active = control.active_jobs(jobs).orderBy("priority", "id").collect()
     if not active:
         return spark.createDataFrame([], LEDGER)
     folders = sorted({job.source_folder.strip() for job in active})
     queue = control.file_queue(control.list_files(spark, folders), jobs)
+    if wanted is not None:
+        queue = queue.join(wanted.select("job_id", "file_name").distinct(), ["job_id", "file_name"], "left_semi")
     started = control.start_loads(queue, ledger).select("id", "job_id", "path", F.col("file_name").alias("shown"))
     waiting = cut_lineage(queue.join(started, ["job_id", "path"]))
     done = spark.createDataFrame([], LEDGER)
@@ -58,6 +61,24 @@ def process_queue(
     return done
 
 
+def backfill(
+    spark: SparkSession, jobs: DataFrame, ledger: DataFrame, write: Callable[[Row, Parsed], None], start: str, end: str,
+    step: str = "1 day", max_files: int = 1000,
+) -> tuple[DataFrame, DataFrame]:
+    """Loads the files that jobs expect for every moment from ``start`` to ``end``: (finished ledger rows, files that are not there).
+
+    A job's ``file_template`` names its file of a moment, see ``expr.expand_template``. All moments of a job are loaded together. Files that the
+    ledger holds are not loaded again, and the missing ones (job_id, run_time, file_name) can be asked for.
+    """
+    grid = control.backfill_grid(control.active_jobs(jobs), start, end, step).withColumn("file_name", F.col("file_template"))
+    grid = control.expand_templates(grid, ["file_name"], "run_time").select(F.col("id").alias("job_id"), "run_time", "file_name", "source_folder")
+    grid = cut_lineage(grid.withColumn("folder", plain_path(F.col("source_folder"))).drop("source_folder"))
+    folders = [r.folder for r in grid.select("folder").distinct().collect()]  # of the jobs, which are configuration
+    there = control.list_files(spark, folders).select("folder", "file_name") if folders else grid.select("folder", "file_name").limit(0)
+    missing = grid.join(there, ["folder", "file_name"], "left_anti").select("job_id", "run_time", "file_name")
+    return process_queue(spark, jobs, ledger, write, max_files, grid), missing
+
+
 #: What reading or writing files may raise; a fault of the job's own parameters is not among them.
 FAULTS = (PySparkException, ValueError, LookupError, ArithmeticError, TypeError, Py4JJavaError)
 

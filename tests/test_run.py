@@ -222,3 +222,25 @@ def test_a_keyed_job_in_buckets(spark, tmp_path):
     after = {p.bucket: p.part for p in commits.parts(spark, f"{root}/t") if p.bucket}
     got = {r.k: r.v for r in commits.read(spark, f"{root}/t", "t").collect()}
     assert len(got) == 61 and (got["7"], got["8"], got["99"]) == ("y", "x", "z") and sum(after[b] != before.get(b) for b in after) <= 2
+
+
+def test_backfill_loads_the_files_of_a_span_of_days(spark, tmp_path):
+    from gridtables.plans.run import backfill
+
+    (tmp_path / "in").mkdir()
+    for day in (1, 2, 4, 9):
+        (tmp_path / "in" / f"p_2020010{day}.csv").write_text(f"k,v\n{day},x")
+    (tmp_path / "in" / "other.csv").write_text("k,v\n77,x")
+    jobs = spark.createDataFrame(
+        [(1, f"{tmp_path}/in/", 1, "*.csv", "delimited", "{}", 1, "p_{year}{month}{day}.csv"), (2, f"{tmp_path}/in", 1, "*.csv", "delimited", "{}", 0, "p_{year}.csv")],
+        JOBS + ", file_template string")
+    seen = []
+
+    def write(job, parsed):
+        seen.extend(r.k for r in parsed.rows.collect())
+
+    ledger, missing = backfill(spark, jobs, spark.createDataFrame([], LEDGER), write, "2020-01-01", "2020-01-04")
+    assert sorted(seen) == ["1", "2", "4"] and {r.process_status for r in ledger.collect()} == {"SUCCESS"}
+    assert [(r.job_id, r.file_name) for r in missing.collect()] == [(1, "p_20200103.csv")]
+    again, _ = backfill(spark, jobs, ledger, write, "2020-01-01", "2020-01-09")
+    assert [r.file_name for r in again.collect()] == ["p_20200109.csv"]
