@@ -409,7 +409,11 @@ def encode_column(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_c
 
 
 def encode_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens and SHA-256 of the ids and of the decoded text: what ``encode_column`` gives, without moving it to the JVM."""
+    """id, n_tokens and SHA-256 of the ids and of the decoded text: what ``encode_column`` gives, without moving it to the JVM.
+
+    A null text counts as empty: no ids, and the digests of nothing. Repeated rows and null ids each give a row, an empty table gives none.
+    Other columns are not read.
+    """
     with open(tokenizer, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))

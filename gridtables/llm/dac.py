@@ -226,7 +226,11 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, folder: str | None = None) -> DataFrame:
-    """Writes the files and reads them back: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
+    """Writes the files and reads them back: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
+
+    A null or empty text has the end id only. Repeated rows each have their place; rows of equal id stand in any order, null ids first. An
+    empty table gives no rows. Other columns are not read.
+    """
     spark = docs.sparkSession
     folder = folder or shared_folder(spark)
     write_ids(docs, tokenizer, folder, id_col, text_col, end_id)

@@ -195,7 +195,11 @@ class Model:
 
 
 def evidence(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, features, matches: word number, term, exact, weight) of every whole text; a null text has no words."""
+    """(id, features, matches: word number, term, exact, weight) of every whole text.
+
+    A null or empty text has no words and zeros. Repeated rows and null ids each give a row, an empty table gives none, other columns are not
+    read. Long texts are worked on whole, in a step of their own.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model.lexicon, model.exceptions))
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
     match_type = pa.list_(pa.struct([("word", pa.int32()), ("term", pa.string()), ("exact", pa.bool_()), ("weight", pa.float64())]))

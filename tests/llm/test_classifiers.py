@@ -1,5 +1,8 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 from gridtables.llm import quality, toxicity
 from gridtables.llm.common import held_out
 from gridtables.llm.queries import op1, op2
+from gridtables.llm.registry import QUERIES
 from gridtables.llm.samples import labelled_sample
 
 FOLDER = "/root/testdata/sf0.01"
@@ -149,3 +153,68 @@ def test_all_clean_words_of_a_beginning_are_exempt(spark):
     df = spark.createDataFrame([(i, t, float(i < 80), 1.0) for i, t in enumerate(rows)], "id long, text string, label double, weight double")
     model = toxicity.learn(df)
     assert "idio*" in model.lexicon and set(many.split()) <= model.exceptions
+
+
+def brute_statistics(text):
+    b = (text or "").encode()
+    lower = bytes(c + 32 if 65 <= c <= 90 else c for c in b)
+    words, lowered = re.split(rb"[\x20\x09-\x0D]+", b), re.split(rb"[\x20\x09-\x0D]+", lower)
+    words, lowered = [w for w in words if w], [w for w in lowered if w]
+    lines = [x for x in lower.split(b"\n") if x]
+    share = lambda part, whole: part / whole if whole else 0.0
+    among = lambda chars: share(sum(c in chars for c in b), len(b))
+    symbols = b"#$%&*+/<=>@[\\]^_`{|}~"
+    upper = bytes(range(65, 91))
+    n = len(words)
+    return {
+        "n_bytes": len(b), "n_words": n, "mean_word": share(sum(map(len, words)), n), "long_words": share(sum(len(w) > 20 for w in words), n),
+        "distinct_words": share(len(set(lowered)), n), "repeated_words": share(sum(x == y for x, y in zip(lowered, lowered[1:])), n),
+        "top_word": share(max(Counter(lowered).values(), default=0), n), "letters": among(upper + bytes(range(97, 123))), "digits": among(b"0123456789"),
+        "symbols": among(symbols), "marks": among(b".,;:!?'\"()-"), "upper": among(upper), "non_ascii": among(bytes(range(128, 256))),
+        "n_lines": len(lines), "mean_line": share(len(b), len(lines)), "distinct_lines": share(len(set(lines)), len(lines)),
+        "odd_endings": share(sum(w[-1] in symbols for w in words), n), "bars": among(b"|")}
+
+
+def odd_texts():
+    pick = random.Random(11)
+    parts = ["word", "Word", "über", "x" * 25, "a|b", "12.5", "end#", "?!", "日本", "the", "the", "THE"]
+    texts = ["".join(pick.choice(parts) + pick.choice([" ", "\n", "\t", "  ", "\n\n"]) for _ in range(pick.randint(0, 40))) for _ in range(60)]
+    return [None, "", " \n\t", "one", *texts, "long word " * 60_000]
+
+
+def test_statistics_equal_plain_counts(spark):
+    texts = odd_texts()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.stats for r in quality.statistics(df).collect()}
+    for i, text in enumerate(texts):
+        want = brute_statistics(text)
+        assert got[i] == pytest.approx([want[c] for c in quality.STATISTICS], abs=1e-9), i
+    beside = {r.doc_id: r.stats for r in quality.with_statistics(df).collect()}
+    assert beside == got
+
+
+def test_scores_equal_the_rules_by_hand(spark):
+    texts = odd_texts()
+    at = {c: i for i, c in enumerate(quality.STATISTICS)}
+    rules = quality.Rules(((((at["letters"], False, 0.4), (at["n_words"], True, 30.0)), 1.5), (((at["top_word"], True, 0.2),), -2.0)), 0.25)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.score for r in quality.statistics(df).select("id", rules.score().alias("score")).collect()}
+    for i, text in enumerate(texts):
+        s = brute_statistics(text)
+        total = 0.25 + 1.5 * (s["letters"] > 0.4 and s["n_words"] <= 30) - 2.0 * (s["top_word"] <= 0.2)
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-12)
+
+
+@pytest.mark.parametrize("name", ["op1_quality_rules", "op2_toxicity", "op11_language_id"])
+def test_queries_on_odd_tables(spark, tmp_path, name):
+    texts = odd_texts()
+    rows = [(i, t, "en" if i % 2 else None, "s", 0) for i, t in enumerate(texts)] + [(None, "no id", "de", "s", 0), (3, "one", "en", "s", 0), (3, "one", "en", "s", 0)]
+    schema = "doc_id long, text string, lang string, source string, score int"
+    labels = [(i, i % 2, i % 3 // 2) for i in range(len(texts))] + [(None, 1, 1), (5, 0, 1), (777, 1, 0), (6, None, None)]
+    for folder, docs, given in (("some", rows, labels), ("none", [], []), ("unlabelled", rows, [])):
+        base = str(tmp_path / folder)
+        spark.createDataFrame(docs, schema).write.parquet(f"{base}/documents.parquet")
+        spark.createDataFrame(given, "doc_id long, quality int, toxic int").write.parquet(f"{base}/labels.parquet")
+        found = QUERIES[name](spark, base).collect()
+        assert sorted((str(r.doc_id) for r in found)) == sorted(str(d[0]) for d in docs)
+        assert all(0 <= r.score <= 1 and (r.held_out is not None) for r in found)
