@@ -17,6 +17,7 @@ pa.set_memory_pool(pa.system_memory_pool())
 
 #: Bytes of text that one step of a task works on; a longer document is a step of its own.
 SLICE = 1 << 20
+BATCH_ROWS = 1000
 #: Python's ``string.whitespace`` as bytes: what separates words where the contract says "words".
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 
@@ -30,6 +31,13 @@ def release() -> None:
         pass
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session to Arrow batches of at most ``BATCH_ROWS`` rows: JVM and worker each hold a few of them, and texts are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every executor and the driver see.
 
@@ -53,6 +61,13 @@ def staged(df: DataFrame, *partition: str, compression: str = "zstd") -> DataFra
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def drop_old_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the files of shuffles that no plan refers to any more: its cleaner learns of them when the driver collects garbage,
+    which an iterative job on a large heap may not do for long."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def mix(c: np.ndarray) -> np.ndarray:
     """Finalises 64-bit sums so that near sums have far hashes."""
     c = c ^ (c >> np.uint64(31))

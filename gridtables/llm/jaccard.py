@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridtables.llm.common import BLANKS, Words, mix, release, slices, staged, utf8, word_class
+from gridtables.llm.common import BLANKS, Words, drop_old_shuffles, mix, release, slices, staged, utf8, word_class
 from gridtables.llm.components import components
 
 SHINGLE = 5
@@ -32,6 +32,8 @@ FREQUENT = 64
 SHORT = 128  # sets up to this size pair their frequent tokens
 CROWD = 64  # nodes from which a signature's pairs are not listed but met in cells
 CELL = 128  # sets in a block
+CELL_TOKENS = 1 << 20  # tokens in a block
+COUNTED = 1 << 20  # tokens that a task holds to count them
 KEPT_BYTES = 6  # of a token's hash, in the sets that are moved for verification
 BITS = 1 << 27  # of the table of nodes whose sets are wanted
 
@@ -111,7 +113,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int) -> tuple[Da
                         total += len(held[-1])
                 ns.append(np.diff(offsets))
                 nodes.append(own)
-            if total > 1 << 23:
+            if total > COUNTED:
                 yield from counted()
                 total = 0
             n = len(batch)
@@ -119,6 +121,8 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int) -> tuple[Da
             yield pa.RecordBatch.from_arrays([batch["id"], batch["text_hash"], *columns, pa.nulls(n, pa.int64())], names=names)
         if held:
             yield from counted()
+        seen.clear()
+        release()
 
     schema = f"id {narrow.schema['id'].dataType.simpleString()}, text_hash long, n long, node long, bucket long"
     found = staged(narrow.mapInArrow(run, schema))
@@ -232,6 +236,8 @@ def sets_of(docs: DataFrame, text_col: str, size: int, nodes: DataFrame) -> Data
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())], names=["node", "tokens"])
+        seen.clear()
+        release()
 
     found = docs.select(F.col(text_col).alias("body")).mapInArrow(run, "node long, tokens binary")
     return staged(found.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("tokens").alias("tokens")), compression="none")
@@ -251,6 +257,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(100 * both >= 80 * (len(x) + len(y) - both))
             chosen = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["a"].filter(chosen), batch["b"].filter(chosen)], names=["a", "b"])
+        release()
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
@@ -260,6 +267,7 @@ def links(docs: DataFrame, text_col: str, size: int, table: np.ndarray) -> DataF
     every = staged(postings(docs, text_col, size, table))
     met = every.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
     shared = staged(every.join(met.select("sig"), "sig", "left_semi").groupBy("sig", "node").agg(F.max("n").alias("n"), F.max("small").alias("small")))
+    drop_old_shuffles(docs.sparkSession)
     # sizes of one class, or of one class of the other cut, are at most a quarter apart; any two fitting sizes are in neighbouring ones
     scale = F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))
     low = F.floor(scale - 1e-6).cast("int")
@@ -267,7 +275,9 @@ def links(docs: DataFrame, text_col: str, size: int, table: np.ndarray) -> DataF
         F.min("node").alias("low"), F.max("node").alias("high"), F.max("small").alias("small")).where("low != high AND small")
     kept = shared.withColumn("near", F.explode(F.array(low, low + 1))).join(fitting.select("sig", "near"), ["sig", "near"], "left_semi")
     shared = staged(kept.drop("near").distinct())
+    drop_old_shuffles(docs.sparkSession)
     sets = sets_of(docs, text_col, size, staged(shared.select("node").distinct()))
+    drop_old_shuffles(docs.sparkSession)
 
     classes = F.array((F.floor(scale) * 2).cast("int"), (F.floor(scale + 0.5) * 2 + 1).cast("int"))
     by_class = shared.withColumn("class", F.explode(classes))
@@ -276,6 +286,7 @@ def links(docs: DataFrame, text_col: str, size: int, table: np.ndarray) -> DataF
     star = near.groupBy("node").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("pivot"))
     star = staged(star.select(F.col("node").alias("a"), F.col("pivot").alias("b")))
     root = components(staged(verified(star, sets)))
+    drop_old_shuffles(docs.sparkSession)
 
     placed = staged(shared.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")))
     mixed = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("holders"), F.max("small").alias("small"))
@@ -288,6 +299,7 @@ def links(docs: DataFrame, text_col: str, size: int, table: np.ndarray) -> DataF
     pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     listed = verified(staged(pairs.join(tried, ["a", "b"], "left_anti")), sets)
+    drop_old_shuffles(docs.sparkSession)
 
     crowded = staged(placed.join(mixed.where(F.col("holders") > CROWD), "sig").select("sig", "node", "root", "n"))
     ties = crowded.join(crowded.groupBy("sig").agg(F.min("node").alias("least")), "sig")
@@ -298,13 +310,15 @@ def links(docs: DataFrame, text_col: str, size: int, table: np.ndarray) -> DataF
 
 
 def cell_links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) between different roots within each cluster, from cells of two blocks of at most about ``CELL`` sets.
+    """Links (a, b) between different roots within each cluster, from cells of two blocks of at most about ``CELL`` sets and
+    ``CELL_TOKENS`` tokens.
 
     Blocks follow the sets' sizes, so that cells of blocks whose sizes cannot fit are left out.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
     members = staged(members.withColumn("band", band))
-    counts = members.groupBy("cluster", "band").agg(F.ceil(F.count("*") / CELL).cast("int").alias("blocks"))
+    wanted = F.greatest(F.ceil(F.count("*") / CELL), F.ceil(F.sum("n") / CELL_TOKENS))
+    counts = members.groupBy("cluster", "band").agg(wanted.cast("int").alias("blocks"))
     after = counts.select("cluster", (F.col("band") - 1).alias("band"), F.col("blocks").alias("next_blocks"))
     before = counts.select("cluster", (F.col("band") + 1).alias("band"), F.col("blocks").alias("last_blocks"))
     counts = counts.join(after, ["cluster", "band"], "left").join(before, ["cluster", "band"], "left")
@@ -323,6 +337,7 @@ def cell_links(members: DataFrame, sets: DataFrame) -> DataFrame:
 
     def link(table: pa.Table) -> pa.Table:
         found = _cell(table["node"].to_numpy(), table["root"].to_numpy(), table["side"].to_numpy(), [unpacked(x) for x in table["tokens"]])
+        release()
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
     return rows.join(sets, "node").groupBy("cluster", "low_band", "i", "high_band", "j").applyInArrow(link, "a long, b long")
@@ -333,13 +348,19 @@ def _cell(node: np.ndarray, root: np.ndarray, side: np.ndarray, sets: list[np.nd
     sizes = np.array([len(s) for s in sets])
     one = len(set(side.tolist())) == 1
     left, right = (np.arange(len(node)),) * 2 if one else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+    order = np.argsort(tokens)
+    tokens, owner = tokens[order], owner[order]
+    del order
+    new = np.ones(len(tokens), bool)
+    new[1:] = tokens[1:] != tokens[:-1]
+    column = np.cumsum(new, dtype=np.int64) - 1
     both = np.zeros((len(left), len(right)), np.float32)
-    for low in range(0, len(tokens), 4096):
-        part = np.zeros((len(sets), min(4096, len(tokens) - low)), np.float32)
-        on = (column >= low) & (column < low + 4096)
-        part[owner[on], column[on] - low] = 1
+    # a run of 4096 distinct tokens at a time
+    steps = np.searchsorted(column, np.arange(0, int(column[-1]) + 4097, 4096))
+    for low, high in zip(steps[:-1].tolist(), steps[1:].tolist(), strict=True):
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[owner[low:high], column[low:high] - column[low]] = 1
         both += part[left] @ part[right].T
     union = sizes[left][:, None] + sizes[right][None, :] - both
     x, y = np.nonzero((100 * both >= 80 * union) & (root[left][:, None] != root[right][None, :]))

@@ -101,7 +101,10 @@ def _array(column: pa.Array) -> pa.Array:
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, stats array<double>) of every whole text; null and empty texts have only zeros."""
+    """(id, stats array<double>) of every whole text.
+
+    Null and empty texts have only zeros. Repeated rows and null ids each give a row, an empty table gives none, other columns are not read.
+    """
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,17 +115,17 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text", stats_col: str = "stats") -> DataFrame:
-    """All columns of ``docs`` plus their statistics, in one pass over the rows. A clashing column name is an error."""
+    """All columns of ``docs`` plus their statistics, in one pass over the rows, of which only the texts leave the JVM. A clashing column
+    name is an error."""
     if stats_col in docs.columns:
         raise ValueError(f"{stats_col} is already a column")
-    at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, _array(batch.column(at))], names=[*batch.schema.names, stats_col])
-        release()
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            yield _array(column)
+            release()
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(stats_col, T.ArrayType(T.DoubleType()))]))
+    return docs.withColumn(stats_col, F.arrow_udf(run, T.ArrayType(T.DoubleType()))(F.col(text_col)))
 
 
 @dataclass(frozen=True)
@@ -184,3 +187,9 @@ def fit(rows: DataFrame, trees: int = 12, depth: int = 3, penalty: float = 0.000
         featuresCol="features", labelCol="label", weightCol="weight", elasticNetParam=1.0, regParam=penalty, maxIter=60, standardization=False).fit(binary)
     weights = model.coefficients.toArray()
     return Rules(tuple((p, float(w)) for p, w in zip(paths, weights, strict=True) if w), float(model.intercept))
+
+
+def kept_documents(docs: DataFrame, rules: Rules, least: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, with all their columns, whatever these are called."""
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text_col}`").alias("body"))
+    return with_statistics(row, "body").where(rules.score() >= least).select("row.*")

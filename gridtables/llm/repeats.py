@@ -412,16 +412,23 @@ def without_repeats(docs: DataFrame, text_col: str = "text", crowd: int = CROWD)
 def cut_documents(docs: DataFrame, text_col: str = "text", n_chars_col: str | None = "n_chars") -> DataFrame:
     """``docs`` with the repeated strings cut out of their texts. A character that a cut splits goes. A document of which nothing is
     left goes; one that was empty or null before stays as it is."""
-    done = without_repeats(docs, text_col)
+    # the other columns travel by position in one struct, so none can clash with what is added
+    places = {c: f"row.c{i}" for i, c in enumerate(docs.columns) if c != text_col}
+    row = F.struct(F.lit(0).alias("one"), *(F.col(f"`{c}`").alias(p[4:]) for c, p in places.items()))
+    done = without_repeats(docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("body")), "body")
     some = F.size("removed") > 0
-    done = done.where(~some | (F.length("kept_text") > 0)).withColumn(text_col, F.when(some, F.col("kept_text")).otherwise(F.col(text_col)))
-    if n_chars_col in docs.columns:
-        done = done.withColumn(n_chars_col, F.when(some, F.char_length(text_col).cast(docs.schema[n_chars_col].dataType)).otherwise(F.col(n_chars_col)))
-    return done.select(*(F.col(f"`{c}`") for c in docs.columns))
+    values = {c: F.col(p) for c, p in places.items()} | {text_col: F.when(some, F.col("kept_text")).otherwise(F.col("body"))}
+    if n_chars_col in places:
+        values[n_chars_col] = F.when(some, F.char_length("kept_text").cast(docs.schema[n_chars_col].dataType)).otherwise(values[n_chars_col])
+    return done.where(~some | (F.length("kept_text") > 0)).select(*(values[c].alias(c) for c in docs.columns))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_bytes, n_removed, n_spans and kept_sha256 from what ``without_repeats`` gives."""
+    """id, n_bytes, n_removed, n_spans and kept_sha256 from what ``without_repeats`` gives.
+
+    A null text counts as empty. Rows of equal texts, repeated rows among them, are each other's repeats. Null ids stay, an empty table gives
+    no rows, other columns are not read.
+    """
     done = without_repeats(docs.select(id_col, text_col), text_col)
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return done.select(

@@ -49,3 +49,29 @@ def test_run_is_the_stages_in_order(spark):
     assert [name for name, _ in cp.STAGES] == ["quality", "near_copies", "repeats", "decontamination", "bpe"]
     found = cp.run(spark, FOLDER)
     assert found.columns == ["doc_id", "lang", "source", "ids", "n_tokens", "round_trip"] and found.count() > 0
+
+
+CLASHES = ("quality_stats", "stats", "row", "body", "kept", "kept_text", "removed", "n_bytes", "ids", "decoded", "spans", "items", "id", "text_hash", "open")
+
+
+def test_stages_with_clashing_columns_nulls_and_repeats(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHES)
+    long = " ".join(f"word{i}" for i in range(90))
+    texts = [(1, long), (1, long), (2, long + " end"), (None, "some words of its own here"), (None, "other words that stand alone"), (None, None), (None, ""),
+             (5, None), (6, ""), (7, " . "), (8, "x" * 300_000)]
+    docs = spark.createDataFrame([(i, t, None, "s", len(t or ""), *CLASHES) for i, t in texts], schema).repartition(3)
+    stages = dict(cp.STAGES)
+    for name in ("quality", "near_copies", "repeats", "decontamination"):
+        for given in (docs, docs.limit(0)):
+            found = stages[name](spark, given, FOLDER)
+            assert found.columns == docs.columns
+            rows = found.collect()
+            assert all(tuple(r[c] for c in CLASHES) == CLASHES for r in rows) and (rows or given is not docs or name == "quality")
+    one = sorted(((r.doc_id, r.text) for r in stages["near_copies"](spark, docs, FOLDER).collect()), key=repr)
+    assert one == sorted([(1, long), *texts[3:]], key=repr)
+    cut = sorted(((r.doc_id, r.text, r.n_chars) for r in stages["repeats"](spark, docs, FOLDER).collect()), key=repr)
+    assert cut == sorted([(2, " end", 4), *((i, t, len(t or "")) for i, t in texts[3:10]), (8, "x" * 300_000, 300_000)][:-1], key=repr)
+    encoded = stages["bpe"](spark, docs, FOLDER)
+    assert encoded.columns == ["doc_id", "lang", "source", "ids", "n_tokens", "round_trip"]
+    assert encoded.count() == len(texts) and {r.round_trip for r in encoded.collect()} == {True}
+    assert stages["bpe"](spark, docs.limit(0), FOLDER).count() == 0
