@@ -12,9 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridtables.session import cut_lineage
+
 # three hex digits of the key hash
 BUCKET_DIGITS = 3
 _COPIES = 10_000
+# rows that one task unrolls, about
+_TASK_ROWS = 250_000
 
 
 def key_bucket(columns: Sequence[Column]) -> Column:
@@ -61,10 +65,13 @@ def assign_ids_to_copies(df: DataFrame, id_col: str, start: Column) -> DataFrame
     """Numbers rows that may be exact copies of each other, however many copies there are.
 
     Copies are counted first (combined map-side) and unrolled again in runs of at most 10,000, so a
-    row repeated for a third of the table is neither sorted nor numbered in one task.
+    row repeated for a third of the table is neither sorted nor numbered in one task. The runs are dealt to
+    as many tasks as there are rows for: they are few and short before they are unrolled, so adaptive execution,
+    which goes by their bytes, would put them all into one. The counted rows are stored once, as three steps use them.
     """
     columns = df.columns
-    rows = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    rows = cut_lineage(df.groupBy(*columns).agg(F.count("*").alias("_copies")))
+    tasks = -(-(rows.agg(F.sum("_copies")).first()[0] or 1) // _TASK_ROWS)
     rows = rows.withColumn("_bucket", key_bucket([F.col(c) for c in columns]))
     placed = _with_offset(rows, ["_bucket"], F.col("_copies"))
     before = (
@@ -74,7 +81,7 @@ def assign_ids_to_copies(df: DataFrame, id_col: str, start: Column) -> DataFrame
     )
     placed = placed.withColumn("_base", F.col("_offset") + F.coalesce(F.sum("_copies").over(before), F.lit(0)))
     runs = placed.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("_copies") - 1), F.lit(_COPIES).cast("long"))))
-    spread = runs.repartition(F.col("_base"), F.col("_run"))
+    spread = runs.repartition(tasks, F.col("_base"), F.col("_run"))
     size = F.least(F.lit(_COPIES).cast("long"), F.col("_copies") - F.col("_run"))
     return spread.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(
         *columns, (start + F.col("_base") + F.col("_run") + F.col("_i")).cast("long").alias(id_col)

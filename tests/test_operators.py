@@ -82,6 +82,13 @@ def test_ids_of_copies(spark):
     assert rows(got.groupBy("k").count()) == sorted([(1, 25_000), (2, 3), (None, 4)], key=repr)
 
 
+def test_copies_are_unrolled_by_many_tasks(spark):
+    df = spark.range(3_000_000).select((F.col("id") % 2).alias("k"))
+    by_task = ids.assign_ids_to_copies(df, "n", F.lit(0)).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("n").alias("top")).collect()
+    assert sum(r.n for r in by_task) == max(r.top for r in by_task) == 3_000_000
+    assert len(by_task) > 6 and max(r.n for r in by_task) < 1_000_000
+
+
 # --- versioned tables ---------------------------------------------------------------------------------
 
 
