@@ -15,6 +15,12 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))
 
 
+def whole(c: Column, kind: str = "int") -> Column:
+    """The whole number a text holds, else null. Empty texts, the usual case of no number, are kept from the cast, which finds
+    a fault by an exception."""
+    return F.when(c != "", c).try_cast(kind)
+
+
 # --- headings -------------------------------------------------------------------------------------
 
 
@@ -65,7 +71,7 @@ def digits_to_timestamp(c: Column) -> Column:
     """``yyyyMMdd[HHmm[ss]]`` to a zone-less timestamp, null if not a real moment."""
 
     def piece(start: int, length: int) -> Column:
-        return F.coalesce(F.substring(c, start, length).try_cast("int"), F.lit(0))
+        return F.coalesce(whole(F.substring(c, start, length)), F.lit(0))
 
     moment = F.try_make_timestamp_ntz(
         piece(1, 4), piece(5, 2), piece(7, 2), piece(9, 2), piece(11, 2), piece(13, 2).cast("decimal(8,6)")

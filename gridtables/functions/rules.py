@@ -38,6 +38,20 @@ def integer_ok(c: Column, length: int) -> Column:
     return c.rlike(r"^[+-]?[0-9]+$") & (F.length(c) <= length)
 
 
+def decimal_shape(before: int, after: int) -> str:
+    """What ``decimal_ok`` takes, as a pattern for ``all_fit``; ``after`` is at least 1."""
+    return rf"(?=[^.,]{{0,{before}}}(?:[.,]|\z))(?:[+-]?[0-9]+(?:\.[0-9]{{1,{after}}})?|\.[0-9]{{1,{after}}})"
+
+
+def integer_shape(length: int) -> str:
+    return rf"(?=[^,]{{0,{length}}}(?:,|\z))[+-]?[0-9]+"
+
+
+def all_fit(texts: Column, shape: str) -> Column:
+    """True if every text of an array has the shape. They must hold no comma: the joined texts are searched once for one that does not fit."""
+    return (F.size(texts) <= 0) | ~F.array_join(texts, ",").rlike(rf"(?:^|,)(?!(?:{shape})(?:,|\z))")
+
+
 def value_ok(c: Column, f: Field) -> Column:
     empty = c == ""
     if f.kind == "C":

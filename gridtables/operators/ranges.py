@@ -19,7 +19,7 @@ def range_join(
     point: str,
     start: str,
     end: str,
-    width: int = 16,
+    width: int | None = 16,
     how: str = "left",
     salts: int = 1,
 ) -> DataFrame:
@@ -30,7 +30,12 @@ def range_join(
     ranges: a range lies in at most 9 cells however long it is, and a point asks one cell for each width there is, in one join whose
     key has the width. Where a hot key has only few cells, ``salts`` spreads its
     points further at the price of as many copies of the ranges.
+
+    ``width=None`` is for keys that have few ranges each, however many keys there are: there are no cells and no look at the ranges
+    before, and points that are dealt by the keys already are neither moved nor sorted. All ranges of a key meet each of its points.
     """
+    if width is None:
+        return _by_keys(points, ranges, keys, point, start, end, how)
     length = F.col(end) - F.col(start)
     level = F.greatest(F.lit(0), F.ceil(F.log(F.greatest(length, F.lit(1)) / F.lit(8.0 * width)) / F.log(F.lit(8.0)) - 1e-9)).cast("int")
     usable = ranges.filter(F.col(start) <= F.col(end)).withColumn("_level", level)
@@ -49,6 +54,14 @@ def range_join(
     return found.unionByName(rest, allowMissingColumns=True).drop("_row")
 
 
+def _by_keys(points: DataFrame, ranges: DataFrame, keys: Sequence[str], point: str, start: str, end: str, how: str) -> DataFrame:
+    held = tagged(ranges.filter(F.col(start) <= F.col(end))).hint("shuffle_hash")
+    inside = F.col(point).between(F.col(f"_r_{start}"), F.col(f"_r_{end}"))
+    joined = points.join(held, same_key(keys, null_safe=False) & inside, how)
+    extra = [c for c in ranges.columns if c not in keys]
+    return joined.select(*points.columns, *[F.col(f"_r_{c}").alias(c) for c in extra])
+
+
 def _in_cells(
     points: DataFrame, ranges: DataFrame, keys: Sequence[str], point: str, start: str, end: str, width: Column, how: str, salts: int,
 ) -> DataFrame:

@@ -329,3 +329,10 @@ def test_range_join_of_ranges_of_any_length(spark):
         names = [n for key, s, e, n in spans if key == k and s <= p <= e] or [None]
         want += [(k, p, n) for n in names]
     assert got == sorted(want, key=repr)
+
+
+def test_range_join_by_keys_alone(spark):
+    points = spark.range(40).selectExpr("id % 4 AS k", "cast(id AS int) AS p")
+    held = spark.createDataFrame([(0, 0, 8, "a"), (0, 4, 20, "b"), (1, 1, 2000000000, "c"), (2, 9, 3, "turned"), (None, 0, 40, "null")], "k long, a int, b int, name string")
+    for how in ("left", "inner"):
+        assert rows(ranges.range_join(points, held, ["k"], "p", "a", "b", width=None, how=how)) == rows(ranges.range_join(points, held, ["k"], "p", "a", "b", how=how))
