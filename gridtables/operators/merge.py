@@ -11,6 +11,10 @@ from gridtables.operators.ids import assign_ids, max_id
 from gridtables.session import cut_lineage, staged
 
 
+# rows of a source that one task joins, about
+_TASK_ROWS = 250_000
+
+
 class KeyColumnError(ValueError):
     """A key is not a column of the data."""
 
@@ -42,6 +46,30 @@ def same_key(keys: Sequence[str], null_safe: bool, tag: str = "_r_") -> Column:
     return test
 
 
+def whole_key(keys: Sequence[str], tag: str = "") -> Column:
+    """All keys as one value that is never null; nulls inside are equal to each other."""
+    return F.struct(*[F.col(tag + k).alias(f"k{n}") for n, k in enumerate(keys)])
+
+
+def matching(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
+    """``same_key`` between ``left`` and ``tagged(right)``, in the form by which ``dealt`` deals rows."""
+    if null_safe and all(left.schema[k].dataType == right.schema[k].dataType for k in keys):
+        return whole_key(keys) == whole_key(keys, "_r_")
+    return same_key(keys, null_safe)
+
+
+def dealt(source: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """A stored source dealt by key to as many tasks as its rows need; a small one, which may be broadcast, stays as it is.
+
+    Joins by key move short rows, and adaptive execution, which goes by their bytes, would sort many millions of them in one task.
+    """
+    rows = source.count()
+    if rows <= _TASK_ROWS:
+        return source
+    tasks = max(-(-rows // _TASK_ROWS), int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return source.repartition(tasks, *([whole_key(keys)] if null_safe else keys))
+
+
 def pick_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), last: bool = True
 ) -> DataFrame:
@@ -61,13 +89,13 @@ def pick_per_key(
 def present_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """Keys of ``source`` that ``target`` holds. Reads only key columns of the target."""
     wanted = tagged(source.select(*keys))
-    return target.select(*keys).join(wanted, same_key(keys, null_safe), "left_semi").distinct()
+    return target.select(*keys).join(wanted, matching(target, source, keys, null_safe), "left_semi").distinct()
 
 
 def absent(source: DataFrame, target: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """Rows of ``source`` whose key ``target`` does not hold."""
     found = tagged(present_keys(target, source, keys, null_safe))
-    return source.join(found, same_key(keys, null_safe), "left_anti")
+    return source.join(found, matching(source, target, keys, null_safe), "left_anti")
 
 
 def append(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -101,6 +129,7 @@ def upsert(
 
     usable = source if null_safe else source.filter(~any_null(keys))
     latest = staged(pick_per_key(usable, keys, order).select(*written))  # last rows are picked once for updates and inserts
+    latest = dealt(latest, keys, null_safe)
     inserts = absent(latest, target, keys, null_safe)
     if not null_safe:
         inserts = inserts.unionByName(source.filter(any_null(keys)).select(*written))
@@ -109,7 +138,7 @@ def upsert(
     if not data:
         return append(target, inserts)
     fresh = tagged(latest.withColumn("hit", F.lit(True)))
-    joined = target.join(fresh, same_key(keys, null_safe), "left")
+    joined = target.join(fresh, matching(target, latest, keys, null_safe), "left")
     columns = [
         F.when(F.col("_r_hit"), F.col(f"_r_{c}")).otherwise(F.col(c)).alias(c) if c in data else F.col(c)
         for c in target.columns
@@ -123,7 +152,7 @@ def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], ord
     check_keys(source, keys)
     check_keys(target, keys)
     written = [c for c in source.columns if c in target.columns or c not in order]
-    first = pick_per_key(source, keys, order, last=False).select(*written)
+    first = dealt(staged(pick_per_key(source, keys, order, last=False).select(*written)), keys, null_safe=True)
     return append(target, absent(first, target, keys, null_safe=True))
 
 
@@ -143,7 +172,7 @@ def new_keys(dim: DataFrame, source: DataFrame, keys: Sequence[str], id_col: str
     """The key combinations of ``source`` that the dimension lacks, numbered after it."""
     check_keys(source, keys)
     check_keys(dim, keys)
-    combos = source.select(*keys).distinct()
+    combos = dealt(staged(source.select(*keys).distinct()), keys, null_safe=True)
     new = cut_lineage(absent(combos, dim, keys, null_safe=True))
     return assign_ids(new, keys, id_col, max_id(dim, id_col))
 

@@ -48,6 +48,37 @@ def test_upsert_of_only_keys_and_new_columns(spark):
     assert rows(grown) == [(1, None), (2, "b"), (3, "c")]
 
 
+def test_many_short_keys_are_joined_by_many_tasks(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.range(1_200_000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+        source = spark.range(600_000, 1_800_000).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+        for null_safe in (False, True):
+            got = merge.upsert(target, source, ["k"], null_safe=null_safe)
+            by_task = got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count_if(F.col("v") == "new").alias("new")).collect()
+            assert sum(r.n for r in by_task) == 1_800_000 and sum(r.new for r in by_task) == 1_200_000
+            assert max(r.n for r in by_task) < 400_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("case", [test_upsert_rules, test_upsert_updates_every_row_of_a_repeated_target_key, test_upsert_of_only_keys_and_new_columns])
+def test_upsert_of_dealt_rows(spark, monkeypatch, case):
+    monkeypatch.setattr(merge, "_TASK_ROWS", 1)
+    case(spark)
+
+
+def test_dealt_keys_of_another_type_or_with_nulls(spark, monkeypatch):
+    monkeypatch.setattr(merge, "_TASK_ROWS", 1)
+    target = spark.createDataFrame([(1, None, "old"), (None, 0, "old"), (0, None, "old")], "a int, b long, v string")
+    source = [(1, None, "x"), (None, None, "y"), (0, None, "z"), (0, 0, "w")]
+    for kind in ("int", "long"):
+        got = merge.upsert(target, spark.createDataFrame(source, f"a {kind}, b long, v string"), ["a", "b"], null_safe=True)
+        assert rows(got) == sorted([(1, None, "x"), (None, 0, "old"), (0, None, "z"), (None, None, "y"), (0, 0, "w")], key=repr)
+        new = merge.insert_absent(target, spark.createDataFrame(source, f"a {kind}, b long, v string"), ["a", "b"])
+        assert rows(new) == sorted([(1, None, "old"), (None, 0, "old"), (0, None, "old"), (None, None, "y"), (0, 0, "w")], key=repr)
+
+
 def test_insert_absent_keeps_the_first_row(spark):
     target = spark.createDataFrame([(1, "old")], "k int, v string")
     source = spark.createDataFrame([(1, "a", 0), (2, "b", 1), (2, "c", 2), (None, "d", 3)], "k int, v string, n int")
