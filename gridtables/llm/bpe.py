@@ -34,7 +34,9 @@ PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L
 CACHE = 250_000
 LONG = 64
 #: Bytes of text that a task encodes as one batch.
-BATCH = 8 << 20
+BATCH = 4 << 20
+#: Units whose ids are put in place at once.
+RUN = 1 << 16
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -231,7 +233,7 @@ class UnitEncoder:
     def _packed(self, words: list[str]) -> list[bytes]:
         fresh = [w for w in words if w not in self.known and w not in self.special]
         if len(self.known) + len(fresh) > self.limit:
-            self.known, fresh = {}, [w for w in words if w not in self.special]
+            self.known = {w: self.known[w] for w in words if w in self.known}
         self.known |= self.special
         self.known.update(zip(fresh, self.encode_words(fresh), strict=True))
         out = [*map(self.known.__getitem__, words)]
@@ -251,8 +253,10 @@ class UnitEncoder:
         bounds = pieces.offsets.to_numpy().astype(np.int64)
         flat, bounds = pieces.flatten(), bounds - bounds[0]
         first = bounds[:-1]
+        heads = flat.take(pa.array(first)).to_pylist()
         units = flat.dictionary_encode()
-        codes = units.indices.to_numpy().astype(np.int64)
+        del pieces, flat
+        codes = units.indices.to_numpy().copy()
         units = units.dictionary
         total = len(units)
 
@@ -292,11 +296,9 @@ class UnitEncoder:
             own = [index.setdefault(w, len(index)) for w in self.cut(" " + unit)]
             start[i], count[i] = len(words) + len(more), len(own)
             more += own
-        doc = np.repeat(np.arange(n), np.diff(bounds))
-        is_first = np.zeros(len(flat), bool)
+        is_first = np.zeros(len(codes), bool)
         is_first[first] = True
-        odd[doc[bad[codes] & ~is_first]] = 1
-        heads = flat.take(pa.array(first)).to_pylist()
+        odd[np.searchsorted(bounds, np.flatnonzero(bad[codes] & ~is_first), "right") - 1] = 1
         odd[np.flatnonzero([h[-1:].isspace() for h in heads])] = 1
         for name in self.names:
             odd[np.flatnonzero(pc.match_substring(column, name).to_numpy(zero_copy_only=False))] = 1
@@ -304,23 +306,32 @@ class UnitEncoder:
             own = [index.setdefault(w, len(index)) for w in (self._whole(column[i].as_py()) if whole else self.cut(head) if head else ())]
             start[total + i], count[total + i] = len(words) + len(more), len(own)
             more += own
-        codes[first] = total + np.arange(n)
+        codes[first] = np.arange(total, total + n)
         words = np.concatenate([words, np.array(more, np.int64)])
-        reps = np.where(is_first | (odd[doc] == 0), count[codes], 0)
+        on = is_first | np.repeat(odd[:-1] == 0, np.diff(bounds))
+        del units, base, buf, high, heads, more, is_first
 
         packed = self._packed([*index])
         lengths = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         source = np.frombuffer(b"".join(packed), "<u4")
-        places = np.cumsum(lengths) - lengths
-        ids, ends = [], [np.zeros(1, np.int64)]
-        # texts in runs, so that index arrays stay small
-        for low, high in slices(bounds, 1 << 18):
-            a, b = bounds[low], bounds[high]
-            seq = words[_spread(start[codes[a:b]], reps[a:b])]
-            upto = np.concatenate([[0], np.cumsum(lengths[seq])])
-            ids.append(source[_spread(places[seq], lengths[seq])])
-            ends.append(upto[np.concatenate([[0], np.cumsum(reps[a:b])])[bounds[low + 1 : high + 1] - a]] + ends[-1][-1])
-        return np.concatenate(ids) if ids else np.zeros(0, np.uint32), np.concatenate(ends)
+        del packed, index
+        # the ids of distinct units in a row; where those of each begin and how many they are
+        sizes = lengths[words]
+        source = source[_spread((np.cumsum(lengths) - lengths)[words], sizes)]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        begin = upto[start]
+        size = (upto[start + count] - begin).astype(np.int32)
+        del words, sizes, upto, start, count
+        n_ids = size[codes]
+        n_ids[~on] = 0
+        ends = np.concatenate([[0], np.cumsum(np.add.reduceat(n_ids, first, dtype=np.int64))]) if n else np.zeros(1, np.int64)
+        ids, at = np.empty(int(ends[-1]), np.uint32), 0
+        # units in runs, so that index arrays stay small
+        for low in range(0, len(codes), RUN):
+            own = source[_spread(begin[codes[low : low + RUN]], n_ids[low : low + RUN])]
+            ids[at : at + len(own)] = own
+            at += len(own)
+        return ids, ends
 
 
 def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -374,6 +385,23 @@ def text_batches(column: pa.Array, size: int = BATCH) -> Iterator[tuple[int, pa.
         yield low, column.slice(low, high - low)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text_col: str, size: int = BATCH) -> Iterator[pa.RecordBatch]:
+    """Small batches put together until they hold ``size`` bytes of text."""
+    held: list[pa.RecordBatch] = []
+    got = 0
+    for batch in batches:
+        held.append(batch)
+        got += batch[text_col].nbytes
+        if got >= size:
+            yield from _together(held)
+            held, got = [], 0
+    yield from _together(held)
+
+
+def _together(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    return held if len(held) < 2 else [pa.concat_batches(held)]
+
+
 def encode_column(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
     """All columns of ``docs`` plus the ids (packed little-endian unsigned 32-bit) and, if named, the text decoded from them.
 

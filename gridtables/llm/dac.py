@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from gridtables.llm.bpe import library_encoder, text_batches
-from gridtables.llm.common import release, shared_folder, staged
+from gridtables.llm.bpe import gathered, library_encoder, text_batches
+from gridtables.llm.common import release, shared_folder, small_batches, staged
 
 MAGIC = b"DACODES1"
 HEADER = struct.Struct("<8sQQQQQ")
@@ -121,6 +121,7 @@ def write_ids(
     segment each, so a lost task leaves nothing behind.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     with open(tokenizer, encoding="utf-8") as file:
         shared = spark.sparkContext.broadcast(file.read())
     narrow = docs.select(
@@ -145,11 +146,12 @@ def write_ids(
             size = 0
             return pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["value"])
 
-        for batch in batches:
+        for batch in gathered(batches, "body"):
             for low, texts in text_batches(batch["body"]):
                 ids, bounds = encoder.batch(texts)
                 lengths = np.diff(bounds) + 1
-                with_end = np.insert(ids, bounds[1:], end_id).astype("<u4")
+                with_end = np.insert(ids, bounds[1:], end_id).astype("<u4", copy=False)
+                del ids
                 key = batch["id"].slice(low, len(texts))
                 nulls = key.is_null().to_numpy(zero_copy_only=False)
                 own = key.fill_null(0).to_numpy()

@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -131,3 +133,34 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode_digests(empty, tokenizer()).count() == 0
     assert dac.stored(empty, tokenizer()).count() == 0
+
+
+def test_a_writing_task_holds_little_beside_its_text(spark):
+    # most that the encoder holds at a time, in bytes a byte of text; what is encoded together is bounded by bytes, in whole small batches
+    with open(tokenizer(), encoding="utf-8") as file:
+        encoder = bpe.library_encoder(file.read())
+    pick = random.Random(5)
+    known = ["".join(pick.choices("abcdefghij", k=pick.randint(2, 8))) for _ in range(5000)]
+    texts = pa.array([" ".join(pick.choices(known, k=400)) for _ in range(2000)], pa.large_string())
+    encoder.batch(texts)
+    tracemalloc.start()
+    try:
+        encoder.batch(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 7 * texts.nbytes
+    batches = [pa.RecordBatch.from_arrays([texts.slice(i, 100)], names=["body"]) for i in range(0, 2000, 100)]
+    runs = list(bpe.gathered(iter(batches), "body", 1 << 20))
+    assert len(runs) > 1 and all(1 << 20 <= r.nbytes < (1 << 20) + 2 * batches[0].nbytes for r in runs[:-1])
+    assert pa.chunked_array([r["body"] for r in runs]).combine_chunks().equals(texts)
+    dac.stored(spark.createDataFrame([(1, "a")], "doc_id long, text string"), tokenizer()).collect()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+
+
+def test_a_full_cache_keeps_the_words_at_hand(library):
+    calls = []
+    own = bpe.UnitEncoder(lambda words: calls.append(len(words)) or [bytes(4 * len(w)) for w in words], str.split, {}, 4)
+    assert [len(x) for x in own._packed(["a", "bb", "ccc"])] == [4, 8, 12]
+    assert [len(x) for x in own._packed(["bb", "dddd", "eeeee"])] == [8, 16, 20]
+    assert calls == [3, 2] and sorted(own.known) == ["bb", "dddd", "eeeee"]
